@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OWN: dict[str, str] = {}  # by application, where no shared folder is set
+
 
 def local_session(cores: int | str = "*", app: str = "terrawave") -> SparkSession:
     """A local session for tests and benches; a cluster brings its own."""
@@ -26,8 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or in a local test a new temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
+        at = _OWN[app]
     return at.rstrip("/")
 
 
