@@ -30,6 +30,7 @@ ROWS, BANDS = 6, 64
 REGISTERS = ROWS * BANDS
 ROUNDS = 20  # of shared registers; what is empty then is filled by a round of its own for each register
 LZ_BITS, MANTISSA_BITS = 5, 6
+_OWN = np.array([seed(1000 + j) for j in range(REGISTERS)], np.uint64)
 MARGIN = 0.2  # five standard errors of the estimate, sqrt(0.75 * 0.25 / 384) = 0.022, and the collisions' own error
 
 
@@ -52,8 +53,9 @@ def registers_of(sets: list[np.ndarray]) -> np.ndarray:
             x, doc = x[keep], doc[keep]
     best = best.reshape(n, REGISTERS)
     for i in np.flatnonzero(best.max(axis=1) == np.iinfo(np.uint64).max):
-        for j in np.flatnonzero(best[i] == np.iinfo(np.uint64).max):
-            best[i, j] = (np.uint64(ROUNDS) << np.uint64(58)) | (mix(mix(sets[i] + seed(1000 + j))) >> np.uint64(6)).min()
+        for part in np.array_split(empty := np.flatnonzero(best[i] == np.iinfo(np.uint64).max), 1 + len(empty) * len(sets[i]) // 1_000_000):
+            value = mix(mix(sets[i][None, :] + _OWN[part][:, None])) >> np.uint64(6)
+            best[i, part] = (np.uint64(ROUNDS) << np.uint64(58)) | value.min(axis=1)
     rounds, u = best >> np.uint64(58), (best & np.uint64((1 << 58) - 1)).astype(np.float64) / 2.0**58
     mantissa, exponent = np.frexp(np.maximum(u, 2.0**-58))
     lz = np.minimum(-exponent, (1 << LZ_BITS) - 1).astype(np.uint64)

@@ -5,22 +5,48 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrawave.llm import near_dedup
+from terrawave.llm import mixing, near_dedup, packing, warc
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences of 1024 ids."""
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, written as WARC records and read back."""
+    found = warc.resolved(warc.read(warc.write(table(spark, sf_dir, "pages"))))
+    return found.withColumnRenamed("record_id", "page_id")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of each document."""
+    rows = mixing.allocate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return rows.select("doc.doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
+
+
 def queries() -> dict[str, Callable]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE}

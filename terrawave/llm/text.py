@@ -24,7 +24,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def seed(i: int) -> np.uint64:
     """The i-th of a row of unlike 64-bit numbers."""
-    return np.uint64(i * int(MIX) % 2**64)
+    return np.uint64(int(i) * int(MIX) % 2**64)
 
 
 def slices(texts: list[str | None]) -> Iterator[slice]:
