@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrawave.llm import mixing, near_dedup, packing, warc
+from terrawave.llm import language_id, mixing, near_dedup, packing, quality, toxicity, warc
+from terrawave.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -27,6 +28,34 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learnt from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = fold(F.col("doc_id"), 4) == 2
+    model = language_id.train(docs.where(~held))
+    return language_id.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from three quarters of the labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = fold(F.col("doc_id"), 4) == 2
+    labels = table(spark, sf_dir, "labels").where(~held & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("label"))
+    return _predicted(toxicity.score(docs, toxicity.train(docs, labels)), held)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learnt from four fifths of the positive labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = fold(F.col("doc_id"), 5) == 0
+    good = table(spark, sf_dir, "labels").where(~held & (F.col("quality") == 1)).select("doc_id")
+    return _predicted(quality.score(docs, quality.train(docs, good)), held)
+
+
+def _predicted(scores: DataFrame, held) -> DataFrame:
+    return scores.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 1024 ids."""
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path())
