@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrawave.llm import language_id, mixing, near_dedup, packing, quality, toxicity, warc
+from terrawave.llm import language_id, line_dedup, mixing, near_dedup, packing, quality, spotsigs, toxicity, warc
 from terrawave.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +28,17 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without repeated and nearly repeated lines."""
+    rows = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc.doc_id", "n_lines", "n_removed", "text")
+
+
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return spotsigs.compared(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learnt from three quarters of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
