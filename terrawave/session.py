@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _OWN: dict[str, str] = {}  # by application, where no shared folder is set
 
@@ -46,6 +47,11 @@ def stash(df: DataFrame, name: str = "t") -> DataFrame:
     return back
 
 
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """df, marked for broadcast if a count of it finds no more than so many (narrow) rows; else it is shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def release(*frames: DataFrame) -> None:
     """Delete stashed tables that no later plan reads."""
     for df in frames:
