@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrawave.llm import language_id, line_dedup, mixing, near_dedup, packing, quality, spotsigs, toxicity, warc
+from terrawave.llm import embedding_dedup, language_id, line_dedup, mixing, near_dedup, packing, quality, spotsigs, toxicity, warc
 from terrawave.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -78,6 +78,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("record_id", "page_id")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     rows = mixing.allocate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -89,4 +94,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op8_warc": warc.ORACLE, "op9_embedding_dedup": embedding_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
