@@ -50,9 +50,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents, learnt from three quarters of the labels."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    held = fold(F.col("doc_id"), 4) == 2
-    labels = table(spark, sf_dir, "labels").where(~held & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("label"))
-    return _predicted(toxicity.score(docs, toxicity.train(docs, labels)), held)
+    model = toxicity.train(docs, toxic_labels(spark, sf_dir))
+    return _predicted(toxicity.score(docs, model), fold(F.col("doc_id"), 4) == 2)
+
+
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, label of the training rows."""
+    rows = table(spark, sf_dir, "labels").where((fold(F.col("doc_id"), 4) != 2) & F.col("toxic").isNotNull())
+    return rows.select("doc_id", F.col("toxic").alias("label"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
