@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import defaultdict
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,27 +25,51 @@ PER_BUCKET = 20_000  # pieces ranked together
 
 
 class ChunkIds(dict):
-    """Ids (as little-endian 32-bit bytes) of a space and the characters after it; forgets all when it holds KNOWN."""
+    """Ids (as little-endian 32-bit bytes) of a space and the characters after it; forgets all when it holds KNOWN.
+
+    A byte-level tokenizer without normaliser cuts a text into pre-tokens before it merges bytes, and none of them holds
+    a character that is no space and a space after it. So a text is cut there, each chunk is looked up, and only the
+    pre-tokens of unseen chunks are merged. Any other tokenizer, and a text with a special token in it, goes whole.
+    """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        kind = str(tokenizer.pre_tokenizer)
+        self.by_chunk = tokenizer.normalizer is None and kind.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in kind
+        self.cut = regex.compile(PRE_TOKENS).findall
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self.letters = {b: chr(b if b in plain else next(others)) for b in range(256)}  # a letter for each byte
+        self.parts: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def part(self, pre_token: str) -> bytes:
+        found = self.parts.get(pre_token)
+        if found is None:
+            if len(self.parts) >= KNOWN:
+                self.parts.clear()
+            word = pre_token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
+            found = self.parts[pre_token] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        return found
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= KNOWN:
             self.clear()
-        self[chunk] = ids = self.encode(" " + chunk)
+        self[chunk] = ids = b"".join(map(self.part, self.cut(" " + chunk)))
         return ids
 
     def of(self, text: str) -> bytes:
-        """Byte-level pre-tokenisation never joins a character that is no space with a space after it, so a text may be cut there; what lies between is looked up."""
+        if not self.by_chunk or any(s in text for s in self.special):
+            return self.encode(text)
         first, *rest = text.split(" ") if not _SPACES(text) else _CUT(text)
-        return (self.encode(first) if first else b"") + b"".join(map(self.__getitem__, rest))
+        return b"".join(map(self.part, self.cut(first))) + b"".join(map(self.__getitem__, rest))
 
 
+# Fixed value: the pre-tokens of byte-level BPE.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _SPACES = re.compile(r"\s\s|^\s|\s$").search
 _CUT = re.compile(r"(?<=\S) ").split
 
