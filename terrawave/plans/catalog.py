@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
-_MODULES: list[str] = []
+_MODULES = ["intervals", "products", "transfer"]
 
 
 def query(name: str, sql: str | None = None):
