@@ -19,7 +19,7 @@ from terrawave.session import stash
 
 WORDS, GRAMS, LONGEST = 20_000, 5_000, 4
 FLUSH = 200_000  # counts that a task holds before it passes them on
-KNOWN = 100_000  # words whose scores a task remembers
+KNOWN = 300_000  # words whose scores a task remembers
 
 
 def letters(word: bytes) -> str:
@@ -41,40 +41,52 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def _counts(kind: str):
+    """Partial counts of a task by language: of raw words, made words only when passed on, or of the n-grams of counted words."""
+
     def run(batches):
         counts: dict[str, Counter] = {}
-        names = ["lang", "kind", "item", "n"]
 
         def flush():
-            rows = [(lang, kind, item, n) for lang, c in counts.items() for item, n in c.items()]
+            for lang, c in counts.items():
+                if kind == "word":
+                    made: Counter = Counter()
+                    for raw, n in c.items():
+                        if w := letters(raw):
+                            made[w] += n
+                    c = made
+                items = list(c)
+                for s in range(0, len(items), 50_000):
+                    part = items[s : s + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([kind] * len(part)), pa.array(part), pa.array([c[x] for x in part], pa.int64())], ["lang", "kind", "item", "n"])
             counts.clear()
-            for s in range(0, len(rows), 20_000):
-                part = list(zip(*rows[s : s + 20_000], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.string()), pa.array(part[1], pa.string()), pa.array(part[2], pa.string()), pa.array(part[3], pa.int64())], names)
 
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             if kind == "word":
                 for lang, text in zip(*columns, strict=True):
-                    c = counts.setdefault(lang, Counter())
-                    for raw, n in Counter((text or "").encode("utf-8", "replace").split()).items():
-                        if w := letters(raw):
-                            c[w] += n
-                    if sum(map(len, counts.values())) > FLUSH:
-                        yield from flush()
+                    counts.setdefault(lang, Counter()).update((text or "").encode("utf-8", "replace").split())
             else:
                 for lang, word, n in zip(*columns, strict=True):
                     c = counts.setdefault(lang, Counter())
                     for k in range(1, LONGEST + 1):
                         for g in grams(word, k):
                             c[f"{k}{g}"] += n
-                if sum(map(len, counts.values())) > FLUSH:
-                    yield from flush()
+            if sum(map(len, counts.values())) > FLUSH:
+                yield from flush()
         yield from flush()
 
     return run
 
 
+def _top(counts: DataFrame) -> DataFrame:
+    """The most frequent items of each language and kind, as many as the model has room for: those above the count at which more would not fit. Cuts come from the number of items by count, so no language is in one task."""
+    by_count = counts.groupBy("lang", "kind", "n").agg(F.count("*").alias("items"))
+    above = Window.partitionBy("lang", "kind").orderBy(F.desc("n"))
+    room = F.when(F.col("kind") == "w", WORDS).otherwise(GRAMS)
+    cuts = by_count.withColumn("upto", F.sum("items").over(above)).where(F.col("upto") <= room).groupBy("lang", "kind").agg(F.min("n").alias("cut"))
+    return counts.join(F.broadcast(cuts), ["lang", "kind"]).where("n >= cut").drop("cut")  # a few rows for each language
+
+
 def train(docs: DataFrame) -> dict:
     """A model from docs(text, lang), rows without lang left out. Its tables are of bounded size; counting is done by Spark."""
     schema = "lang string, kind string, item string, n long"
@@ -84,9 +96,7 @@ def train(docs: DataFrame) -> dict:
     pieces = pieces.select("lang", F.substring("item", 1, 1).alias("kind"), F.expr("substring(item, 2)").alias("item"), "n")
     everything = found.select("lang", F.lit("w").alias("kind"), "item", "n").unionByName(pieces)
     totals = everything.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count("*").alias("items")).collect()  # a few rows for each language
-    rank = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    most = F.when(F.col("kind") == "w", WORDS).otherwise(GRAMS)
-    top = everything.withColumn("r", F.row_number().over(rank)).where((F.col("r") <= WORDS) & (F.col("r") <= most)).drop("r")
+    top = _top(everything)
     langs = sorted({t["lang"] for t in totals})
     if not langs:
         return {"langs": ["und"], "tables": {}, "floor": {}}
@@ -106,15 +116,23 @@ def train(docs: DataFrame) -> dict:
 
 
 class Scores(dict):
-    """Scores of each language for words as they stand in the text; forgets all when it holds KNOWN."""
+    """Rows of `matrix`, which has the score of each language, by words as they stand in the text; forgets all when it holds KNOWN."""
 
     def __init__(self, model: dict):
         self.tables = model["tables"]
         self.none = np.zeros(len(model["langs"]))
+        self.matrix = np.zeros((KNOWN, len(model["langs"])))
 
-    def __missing__(self, raw: bytes) -> np.ndarray:
-        if len(self) >= KNOWN:
+    def of(self, text: str) -> np.ndarray:
+        """The sum of the scores of a text's words."""
+        count = Counter(text.encode("utf-8", "replace").split())
+        if len(self) + len(count) > len(self.matrix):
             self.clear()
+            self.matrix = np.zeros((max(KNOWN, len(count)), self.matrix.shape[1]))
+        at = np.fromiter(map(self.__getitem__, count), np.int64, len(count))
+        return np.fromiter(count.values(), np.float64, len(count)) @ self.matrix[at]
+
+    def __missing__(self, raw: bytes) -> int:
         word, score = letters(raw), self.none
         if word:
             score = self.tables.get("w", {}).get(word)
@@ -125,8 +143,9 @@ class Scores(dict):
                 hits = [known[g] for g in grams(word, n) if g in known]
                 if hits:
                     score = sum(hits) / len(hits)
-        self[raw] = score = self.none if score is None else score
-        return score
+        self[raw] = at = len(self)
+        self.matrix[at] = self.none if score is None else score
+        return at
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -143,8 +162,7 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                     pred.append("und")
                     score.append(0.0)
                     continue
-                count = Counter(text.encode("utf-8", "replace").split())
-                total = np.fromiter(count.values(), np.float64, len(count)) @ np.array([known[w] for w in count])
+                total = known.of(text)
                 p = np.exp(total - total.max())
                 pred.append(langs[int(total.argmax())])
                 score.append(float(1 / p.sum()))
