@@ -67,9 +67,10 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(u[best] / p[best], 0.05, 0.98))
 
 
-def non_negative_risk(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 1500, rate: float = 0.2, l2: float = 1e-4) -> tuple[np.ndarray, float]:
+def non_negative_risk(p: np.ndarray, u: np.ndarray, prior: float, rounds: int = 1500, rate: float = 0.2) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise prior * R_p(+) + max(0, R_u(-) - prior * R_p(-)) with the logistic loss."""
     w, b, vw, vb = np.zeros(p.shape[1]), 0.0, np.zeros(p.shape[1]), 0.0
+    l2 = 1e-4 + 4 / len(p)  # few positives allow only small weights
     for _ in range(rounds):
         sp, su = (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) for x in (p, u))
         negative = -np.log1p(-np.minimum(su, 1 - 1e-9)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-9)).mean()
@@ -94,7 +95,7 @@ def train(docs: DataFrame, positives: DataFrame) -> dict:
     mean, scale = u.mean(axis=0), u.std(axis=0)
     scale = np.where(scale > 1e-6, scale, 1.0)
     p, u = (np.clip((x - mean) / scale, -8, 8) for x in (p, u))
-    w, b = logistic(np.concatenate([p, u]), np.concatenate([np.ones(len(p)), np.zeros(len(u))]), rate=0.2, rounds=300)
+    w, b = logistic(np.concatenate([p, u]), np.concatenate([np.ones(len(p)), np.zeros(len(u))]), l2=1e-3, rounds=300)
     prior = class_prior(p @ w + b, u @ w + b)
     w, b = non_negative_risk(p, u, prior)
     return {"mean": mean, "scale": scale, "w": w, "b": b, "prior": prior}

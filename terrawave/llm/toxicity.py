@@ -25,6 +25,7 @@ VOTERS = 400
 PREFIXES = (4, 5, 6)
 KNOWN = 300_000
 THRESHOLD = 0.3
+PRECISION = 0.97  # least share of label 1 among the sampled rows that a voter speaks on
 
 
 def _items(text: str | None) -> set[str]:
@@ -64,38 +65,50 @@ class Votes(dict):
         return Counter(i for hits in map(self.__getitem__, (text or "").encode("utf-8", "replace").split()) if hits for i in hits)
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> np.ndarray:
-    """Posterior of class 1 for votes [document, voter] of 0 and 1, from a latent class model with correlated voters."""
+def label_model(votes: np.ndarray, prior: float, rounds: int = 50, accuracy: float = 0.9, strength: float = 4.0) -> np.ndarray:
+    """Posterior of class 1 for votes [document, voter] of 0 and 1, from a generative model of correlated voters.
+
+    A voter speaks for class 1 or is silent; what it says is divided by the number of voters on the document that it repeats. Its accuracy, the share of class 1 where it speaks, is estimated from the posterior that the other voters share in, with a prior of `strength` votes. What the class balance leaves for documents without any vote is their posterior.
+    """
     n, m = votes.shape
-    if not m:
-        return np.full(n, prior)
-    p = np.clip(prior + 0.9 * (votes.any(axis=1) - votes.any(axis=1).mean()), 0.01, 0.99)
     some = votes.any(axis=1)
+    if not m or not some.any():
+        return np.full(n, prior)
+    spoken = votes[some].astype(np.float64)
+    base = np.log(prior / (1 - prior))
+    p, times = np.full(len(spoken), accuracy), spoken.sum(axis=0)
     for _ in range(rounds):
-        yes = (p @ votes + 0.5) / (p.sum() + 1)
-        no = ((1 - p) @ votes + 0.05) / ((1 - p).sum() + 1)
+        right = np.clip((p @ spoken + strength * accuracy) / (times + strength), 0.01, 0.995)
         # Voters that speak together within class 1 more than chance allows repeat each other.
-        seen = votes[some] * np.sqrt(p[some])[:, None]
+        rate = (p @ spoken) / max(p.sum(), 1)
+        seen = spoken * np.sqrt(p)[:, None]
         both = seen.T @ seen / max(p.sum(), 1)
-        spread = np.sqrt(np.maximum(yes * (1 - yes), 1e-9))
-        corr = np.clip((both - np.outer(yes, yes)) / np.outer(spread, spread), 0, 1)
+        spread = np.sqrt(np.maximum(rate * (1 - rate), 1e-9))
+        corr = np.clip((both - np.outer(rate, rate)) / np.outer(spread, spread), 0, 1)
         np.fill_diagonal(corr, 1)
-        weight = 1 / (corr * (corr > 0.3)).sum(axis=1)
-        logit = np.log(prior / (1 - prior)) + votes @ (weight * np.log(yes / no)) + (1 - votes) @ (weight * np.log((1 - yes) / (1 - no)))
-        new = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        if np.abs(new - p).max() < 1e-4:
-            return new
+        repeats = np.maximum(spoken @ (corr * (corr > 0.3)), 1)  # of each voter, among those that speak on the document
+        new = 1 / (1 + np.exp(-np.clip(base + (spoken / repeats) @ (np.log(right / (1 - right)) - base), -30, 30)))
+        done = np.abs(new - p).max() < 1e-4
         p = new
-    return p
-
-
-def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, rounds: int = 400, rate: float = 0.5) -> tuple[np.ndarray, float]:
-    """Weights and bias for targets in [0, 1], by gradient descent with momentum from zero."""
+        if done:
+            break
+    out = np.full(n, min(prior, max(0.002, (prior * n - p.sum()) / max(n - len(p), 1))))
+    out[some] = p
+    return out
+
+
+def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, rounds: int = 400, times: np.ndarray | None = None) -> tuple[np.ndarray, float]:
+    """Weights and bias for targets in [0, 1] of rows that count `times` each, from zero, by gradient steps with momentum; each weight's step is the inverse of a bound of the risk's curvature, so rare features keep up."""
+    size = np.abs(x)
+    reach = size.sum(axis=1) + 1
+    share = np.full(len(y), 1 / len(y)) if times is None else times / times.sum()
+    step = 1 / (0.25 * (size.T @ (reach * share)) + l2)
+    step_b = 1 / (0.25 * (reach @ share))
     w, b, vw, vb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
     for _ in range(rounds):
-        g = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y
-        vw = 0.9 * vw - rate * (x.T @ g / len(y) + l2 * w)
-        vb = 0.9 * vb - rate * g.mean()
+        g = share * (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y)
+        vw = 0.9 * vw - step * (x.T @ g + l2 * w)
+        vb = 0.9 * vb - step_b * g.sum()
         w, b = w + vw, b + vb
     return w, float(b)
 
@@ -113,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     q = F.col("yes") / (F.col("yes") + F.col("no"))
     gain = (F.col("yes") + F.col("no")) * (q * F.log(q / rate) + F.when(q < 1, (1 - q) * F.log((1 - q) / (1 - rate))).otherwise(0.0))
     candidates = max(1, counts.count())
-    picked = counts.where(q >= 0.5).withColumn("gain", gain).where(F.col("gain") >= float(np.log(candidates / 0.05))).orderBy(F.desc("gain"), "item").limit(VOTERS).collect()
+    picked = counts.where(q >= PRECISION).withColumn("gain", gain).where(F.col("gain") >= float(np.log(candidates / 0.05))).orderBy(F.desc("gain"), "item").limit(VOTERS).collect()
     voters = [r["item"] for r in picked]
 
     def run(batches):
@@ -126,7 +139,13 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
     x = np.zeros((len(seen), len(voters)), np.float32)
     for i, (v, t) in enumerate(zip(seen["voters"], seen["times"], strict=True)):
         x[i, v] = 1 + np.log(t)
-    w, b = logistic(x, label_model((x > 0).astype(np.float32), rate))
+    y = label_model(x > 0, rate)
+    some = (x > 0).any(axis=1)
+    silent = int((~some).sum())  # documents without a vote are alike: one row
+    rows_x, rows_y, times = x[some].astype(np.float64), y[some], np.ones(int(some.sum()))
+    if silent:
+        rows_x, rows_y, times = np.vstack([rows_x, np.zeros(len(voters))]), np.append(rows_y, y[~some][0]), np.append(times, silent)
+    w, b = logistic(rows_x, rows_y, l2=1e-5, rounds=3000, times=times)
     return {"voters": voters, "w": w, "b": b}
 
 
