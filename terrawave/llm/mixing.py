@@ -69,7 +69,7 @@ def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     last = F.coalesce(F.col("_cut.last"), F.lit(SLICES))
     inside = Window.partitionBy("source").orderBy("_key", "_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = rows.where(F.col("_slice") == last).withColumn("_sum", F.col("_cut.before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    edge = edge.withColumn("_more", F.col("_sum") + F.col("size") / 2 <= F.col("_quota")).drop("_sum")
+    edge = edge.withColumn("_more", (F.col("_quota") > 0) & (F.col("_sum") + F.col("size") / 2 <= F.col("_quota"))).drop("_sum")
     sure = rows.where(F.col("_slice") != last).withColumn("_more", (F.col("_slice") < last) & (F.col("_quota") > 0))
     return sure.unionByName(edge).select("doc", "size", "source_size", "target", (F.col("_whole") + F.col("_more").cast("int")).cast("int").alias("copies"))
 
