@@ -40,7 +40,7 @@ def pr6_24(spark: SparkSession, path: str) -> DataFrame:
     name = F.regexp_extract("file", r"([^/]+)$", 1)
     rows = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file")).withColumn("name", name)
     channel = F.create_map(*(F.lit(x) for kv in {"BX": "hx", "BY": "hy", "BZ": "hz", "EX": "ex", "EY": "ey"}.items() for x in kv))
-    rows = rows.select(F.regexp_extract("name", r"^(.*?)(\d{12})\.", 1).alias("station"), F.to_timestamp(F.regexp_extract("name", r"(\d{12})\.", 1), "yyMMddHHmmss").alias("stamp"), channel[F.upper(F.regexp_extract("name", r"\.(\w+)$", 1))].alias("channel"), F.posexplode(F.split(F.trim("value"), r"\s+")).alias("k", "x"))
+    rows = rows.select(F.regexp_extract("name", r"^(.*?)(\d{12})\.", 1).alias("station"), F.to_timestamp(F.regexp_extract("name", r"(\d{12})\.", 1), "yyMMddHHmmss").alias("stamp"), channel[F.upper(F.regexp_extract("name", r"\.(\w+)$", 1))].alias("channel"), F.posexplode(F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")).alias("k", "x"))
     return rows.select("station", "stamp", "channel", F.col("k").cast("long").alias("k"), F.expr("try_cast(x as int)").alias("x"))
 
 
