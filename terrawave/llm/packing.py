@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from terrawave.session import stash
 
 LENGTH = 1024
-KNOWN = 400_000  # chunks whose ids a task remembers
+KNOWN = 800_000  # chunks whose ids a task remembers, about 150 MB
 PER_BUCKET = 20_000  # pieces ranked together
 
 
@@ -46,19 +46,25 @@ class ChunkIds(dict):
     def encode(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def merged(self, pre_token: str) -> bytes:
+        word = pre_token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+
     def part(self, pre_token: str) -> bytes:
         found = self.parts.get(pre_token)
         if found is None:
-            if len(self.parts) >= KNOWN:
+            found = self.get(pre_token[1:]) if pre_token[0] == " " else None  # met as a whole chunk
+        if found is None:
+            if len(self.parts) >= KNOWN // 2:
                 self.parts.clear()
-            word = pre_token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-            found = self.parts[pre_token] = array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+            found = self.parts[pre_token] = self.merged(pre_token)
         return found
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= KNOWN:
             self.clear()
-        self[chunk] = ids = b"".join(map(self.part, self.cut(" " + chunk)))
+        parts = self.cut(" " + chunk)
+        self[chunk] = ids = self.merged(parts[0]) if len(parts) == 1 else b"".join(map(self.part, parts))
         return ids
 
     def of(self, text: str) -> bytes:
