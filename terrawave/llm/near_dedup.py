@@ -11,27 +11,28 @@ that agree by collision, estimates the similarity; pairs far below the threshold
 the full sets. Thus no link rests on a sketch.
 
 Documents of one set are one node. In a band's bucket every member is compared with one centre (its least id) first;
-then only members of different components are compared with each other, and of those only the pairs that the triangle
-inequality of the Jaccard distance to their common centre does not rule out.
+then only members of different components are compared with each other, and of those only pairs that share rare enough
+shingles which the centre lacks, or whose sizes allow a link through the centre's shingles alone. This leaves few pairs
+of a large group of near copies, and loses no link.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrawave.llm.components import components
 from terrawave.llm.text import WordHashes, mix, seed, shingle_sets, slices, words
-from terrawave.session import release, stash
+from terrawave.session import release, small, stash
 
 ROWS, BANDS = 6, 64
 REGISTERS = ROWS * BANDS
 ROUNDS = 20  # of shared registers; what is empty then is filled by a round of its own for each register
 LZ_BITS, MANTISSA_BITS = 5, 6
 _OWN = np.array([seed(1000 + j) for j in range(REGISTERS)], np.uint64)
-MARGIN = 0.2  # five standard errors of the estimate, sqrt(0.75 * 0.25 / 384) = 0.022, and the collisions' own error
+MARGIN = 0.12  # five standard errors of the estimate, sqrt(0.75 * 0.25 / 384) = 0.022
 
 
 def registers_of(sets: list[np.ndarray]) -> np.ndarray:
@@ -63,6 +64,12 @@ def registers_of(sets: list[np.ndarray]) -> np.ndarray:
     return ((rounds << np.uint64(LZ_BITS + MANTISSA_BITS)) | (lz << np.uint64(MANTISSA_BITS)) | m).astype(np.uint16)
 
 
+def bits_of(regs: np.ndarray) -> list[list[int]]:
+    """A well-mixed bit of each register, 64 in a long: bits of unlike registers agree by half."""
+    bit = (mix(regs.astype(np.uint64) + seed(7)) >> np.uint64(63)).astype(np.uint8)
+    return np.packbits(bit, axis=1).view(np.int64).tolist()
+
+
 def collision_rate(per_register: np.ndarray) -> np.ndarray:
     """Probability that two registers of unlike minima agree, for sets with so many values in each register."""
     lz = np.arange(1 << LZ_BITS)
@@ -85,8 +92,8 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest and regs of each row; digest and regs are null for a set without shingles."""
-    schema = "doc_id long, n_shingles long, digest binary, regs binary"
+    """doc_id, n_shingles, digest, regs and bits (a bit of each register, in longs) of each row; the last three are null for a set without shingles."""
+    schema = "doc_id long, n_shingles long, digest binary, regs binary, bits array<long>"
 
     def run(batches):
         import xxhash
@@ -98,10 +105,11 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 sets = shingle_sets(*known.of([words(t) for t in texts[s]]))
                 full = [i for i, x in enumerate(sets) if len(x)]
                 regs = registers_of([sets[i] for i in full])
-                out: list = [(0, None, None)] * len(sets)
-                for r, i in zip(regs, full, strict=True):
-                    out[i] = (len(sets[i]), xxhash.xxh3_128_digest(sets[i].tobytes()), r.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ids[s], pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], ["doc_id", "n_shingles", "digest", "regs"])
+                out: list = [(0, None, None, None)] * len(sets)
+                bits = bits_of(regs)
+                for r, b, i in zip(regs, bits, full, strict=True):
+                    out[i] = (len(sets[i]), xxhash.xxh3_128_digest(sets[i].tobytes()), r.tobytes(), b)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[s], pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "regs", "bits"])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
@@ -137,22 +145,25 @@ def _estimated(pairs: DataFrame, regs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs(a, b) with shared and total: the sizes of the intersection and the union of their full sets."""
+    """pairs(a, b) with n_b, shared and total: the sizes of b's set, the intersection and the union of both full sets; and rest, b's shingles that a lacks."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b"))
+    names = ["a", "b", "n_b", "shared", "total", "rest"]
 
     def run(batches):
         for batch in batches:
             x, y = batch.column("s_a"), batch.column("s_b")
-            shared, total = [], []
+            out = []
             for i in range(batch.num_rows):
                 p, q = np.frombuffer(x[i].as_py(), np.uint64), np.frombuffer(y[i].as_py(), np.uint64)
-                k = len(np.intersect1d(p, q, assume_unique=True))
-                shared.append(k)
-                total.append(len(p) + len(q) - k)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(shared, pa.int64()), pa.array(total, pa.int64())], ["a", "b", "shared", "total"])
+                lacks = q[~np.isin(q, p, assume_unique=True)] if len(p) else q
+                k = len(q) - len(lacks)
+                out.append((len(q), k, len(p) + len(q) - k, lacks.view(np.int64)))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 4
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names)
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long, shared long, total long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long, n_b long, shared long, total long, rest array<long>")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -164,49 +175,82 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sk = stash(sketch(src), "sketch")
     copies = stash(sk.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "copies")
     member = sk.select("doc_id", "n_shingles", "digest").join(copies, "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
-    regs = stash(sk.where("digest is not null").join(copies, "digest", "left").where("rep is null or rep = doc_id").select("doc_id", "n_shingles", "regs").dropDuplicates(["doc_id"]), "regs")
+    regs = stash(sk.where("digest is not null").join(copies, "digest", "left").where("rep is null or rep = doc_id").select("doc_id", "n_shingles", "regs", "bits").dropDuplicates(["doc_id"]), "regs")
 
     width = 2 * ROWS
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.col("regs").substr(i * width + 1, F.lit(width)))))
     bands = regs.select("doc_id", band.alias("key"))
-    buckets = stash(bands.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1").select("key", "centre"), "buckets")
+    buckets = stash(bands.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1"), "buckets")
     members = stash(bands.join(buckets, "key"), "members")
 
-    done, links, sets = None, None, None
-    near, root = None, None
-    for step in ("centre", "rest"):
-        if step == "centre":
-            pairs = members.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct()
-        else:
-            pairs = _rest(members, root, near, percent)
-        est = stash(_estimated(pairs, regs), "est")
-        likely = est.where(F.col("est") >= percent / 100 - MARGIN)
-        wanted = stash(likely.select(F.col("a").alias("doc_id")).union(likely.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
-        sets = stash(sets_of(src.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
-        seen = stash(_verified(likely.select("a", "b"), sets), "seen")
-        release(wanted, sets)
-        found = seen.where(100 * F.col("shared") >= percent * F.col("total")).select("a", "b")
-        if step == "centre":
-            done, links = (est, seen), found
-            near = est.join(seen, ["a", "b"], "left").select(F.col("a").alias("centre"), F.col("b").alias("doc_id"), F.coalesce(1 - F.col("shared") / F.col("total"), 1 - F.col("est") - F.lit(MARGIN)).alias("far_lo"), F.coalesce(1 - F.col("shared") / F.col("total"), F.lit(1.0)).alias("far_hi"))
-            near = stash(near, "near")
-            root = stash(components(links), "root")
-        elif not found.isEmpty():
-            root = stash(components(links.unionByName(found)), "root")
-    release(members, buckets, *done)
+    # Every member against its bucket's centre. In a bucket of two that is all; there the estimate can rule a pair out.
+    pairs = members.where("doc_id <> centre").groupBy(F.col("centre").alias("a"), F.col("doc_id").alias("b")).agg(F.max("n").alias("n"))
+    est = stash(_estimated(pairs.select("a", "b"), regs), "est")
+    first = est.join(stash(pairs, "pairs"), ["a", "b"]).where((F.col("est") >= percent / 100 - MARGIN) | (F.col("n") > 2)).select("a", "b")
+    star = _checked(first, src)
+    link = 100 * F.col("shared") >= percent * F.col("total")
+    links = star.where(link).select("a", "b")
+    root = stash(components(links), "root")
+
+    # What is left: members of one bucket in different components.
+    others = stash(_rest(members, root, star, regs.select("doc_id", "bits"), percent), "others")
+    likely = _estimated(others, regs).where(F.col("est") >= percent / 100 - MARGIN).select("a", "b")
+    found = _checked(likely, src).where(link).select("a", "b")
+    release(members, buckets, est)
+    if not found.isEmpty():
+        root = stash(components(links.unionByName(found)), "root")
     out = member.join(root.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _rest(members: DataFrame, root: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket in different components that the distances to its centre leave possible."""
-    rows = members.join(root.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+def _checked(pairs: DataFrame, src: DataFrame) -> DataFrame:
+    """pairs(a, b) verified on the sets of src's texts; only texts in pairs are read into sets."""
+    pairs = stash(pairs, "likely")
+    wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    sets = stash(sets_of(src.join(small(wanted), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
+    seen = stash(_verified(pairs, sets), "seen")
+    release(pairs, wanted, sets)
+    return seen
+
+
+def _rest(members: DataFrame, root: DataFrame, star: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of one centre in different components that may be similar enough.
+
+    Of two such texts x and y with s(x), s(y) shingles in the centre, |x & y| >= t (|x| + |y|) with t = percent / (100 + percent); all but s(x) of these, and all but s(y), are shingles that the centre lacks. So they share one of these, or t (|x| + |y|) <= s(x), s(y). And with |x| <= |y|, x holds 2 t |x| - s(x) of the shared ones at least and y holds percent |y| - s(y): each has one of them among its rarest |rest| - need + 1. Bits of the registers that differ too often rule out further pairs, by five standard errors.
+    """
+    t = percent / (100 + percent)
+    rows = members.join(small(root.withColumnRenamed("node", "doc_id")), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     mixed = stash(rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1 and n > 2").select("key"), "mixed")
-    open_rows = rows.join(mixed, "key", "left_semi").where("doc_id <> centre").join(near, ["centre", "doc_id"])
-    open_rows = stash(open_rows.select("key", "doc_id", "root", "far_lo", "far_hi"), "open")
-    x = open_rows.select("key", *(F.col(c).alias(f"x_{c}") for c in ("doc_id", "root", "far_lo", "far_hi")))
-    y = open_rows.select("key", *(F.col(c).alias(f"y_{c}") for c in ("doc_id", "root", "far_lo", "far_hi")))
-    most = 1 - percent / 100 + 1e-9
-    pairs = x.join(y, "key").where("x_doc_id < y_doc_id and x_root <> y_root")
-    pairs = pairs.where((F.col("x_far_lo") - F.col("y_far_hi") <= most) & (F.col("y_far_lo") - F.col("x_far_hi") <= most))
-    return pairs.select(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b")).distinct()
+    held = rows.join(small(mixed), "key", "left_semi").where("doc_id <> centre").select("key", "centre", "doc_id", "root")
+    facts = stash(star.select(F.col("a").alias("centre"), F.col("b").alias("doc_id"), F.col("n_b").alias("n"), F.col("shared").alias("s"), "rest").join(bits, "doc_id"), "facts")
+    held = stash(held.join(facts.drop("rest"), ["centre", "doc_id"]), "held")
+
+    def side(df: DataFrame, name: str, *keys: str) -> DataFrame:
+        return df.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "root", "n", "s", "bits")))
+
+    differ = sum(F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(REGISTERS // 64))
+    p = (1 - percent / 100) / 2
+    ordered = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_doc_id") < F.col("y_doc_id")))
+    alike = ordered & (F.col("x_root") != F.col("y_root")) & (100 * F.col("x_n") >= percent * F.col("y_n")) & (differ <= REGISTERS * p + 5 * (REGISTERS * p * (1 - p)) ** 0.5)
+    pair = [F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")]
+
+    by_size = side(held, "x", "key").join(side(held, "y", "key"), "key").where(alike & (t * 0.999999 * (F.col("x_n") + F.col("y_n")) <= F.least("x_s", "y_s"))).select(*pair)
+
+    once = held.select("centre", "doc_id", "root").distinct()
+    items = stash(once.join(facts, ["centre", "doc_id"]).select("centre", "doc_id", "root", "n", "s", "bits", F.size("rest").alias("k"), F.explode("rest").alias("item")), "items")
+    often = items.groupBy("centre", "item").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(Window.partitionBy("centre", "doc_id").orderBy("often", "item"))
+    items = items.join(stash(often, "often"), ["centre", "item"]).withColumn("rank", rank).where("often > 1")
+    of_text = Window.partitionBy("centre", "doc_id")
+
+    def first(most: str):
+        return F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= F.col(most), F.struct("rank", "item"))).over(of_text)), lambda z: z["item"]).alias(f"{most}_items")
+
+    def need(share: float):
+        return F.greatest(F.lit(1), F.ceil(share * 0.999999 * F.col("n") - F.col("s")))
+
+    items = stash(items.withColumn("less", F.col("k") - need(2 * t) + 1).withColumn("more", F.col("k") - need(percent / 100) + 1).where("rank <= less or rank <= more").drop("k").select("*", first("less"), first("more")), "rare")
+    x, y = side(items.where("rank <= less"), "x", "centre", "item", "less_items"), side(items.where("rank <= more"), "y", "centre", "item", "more_items")
+    once = F.get(F.array_intersect("less_items", "more_items"), F.lit(0)) == F.col("item")  # a pair meets on its rarest shared one alone
+    by_item = x.join(y, ["centre", "item"]).where(alike & once).select(*pair)
+    return by_size.unionByName(by_item).distinct()
