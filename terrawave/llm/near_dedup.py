@@ -29,6 +29,7 @@ from terrawave.session import release, small, stash
 
 ROWS, BANDS = 6, 64
 REGISTERS = ROWS * BANDS
+BITS = 2  # of each register, for a first look at a pair
 ROUNDS = 20  # of shared registers; what is empty then is filled by a round of its own for each register
 LZ_BITS, MANTISSA_BITS = 5, 6
 _OWN = np.array([seed(1000 + j) for j in range(REGISTERS)], np.uint64)
@@ -65,8 +66,9 @@ def registers_of(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def bits_of(regs: np.ndarray) -> list[list[int]]:
-    """A well-mixed bit of each register, 64 in a long: bits of unlike registers agree by half."""
-    bit = (mix(regs.astype(np.uint64) + seed(7)) >> np.uint64(63)).astype(np.uint8)
+    """BITS well-mixed bits of each register, 64 in a long: bits of unlike registers agree by half."""
+    h = mix(regs.astype(np.uint64) + seed(7))
+    bit = np.concatenate([(h >> np.uint64(63 - i)) & np.uint64(1) for i in range(BITS)], axis=1).astype(np.uint8)
     return np.packbits(bit, axis=1).view(np.int64).tolist()
 
 
@@ -92,7 +94,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest, regs and bits (a bit of each register, in longs) of each row; the last three are null for a set without shingles."""
+    """doc_id, n_shingles, digest, regs and bits (BITS of each register, in longs) of each row; the last three are null for a set without shingles."""
     schema = "doc_id long, n_shingles long, digest binary, regs binary, bits array<long>"
 
     def run(batches):
@@ -176,6 +178,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = stash(sk.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "copies")
     member = sk.select("doc_id", "n_shingles", "digest").join(copies, "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
     regs = stash(sk.where("digest is not null").join(copies, "digest", "left").where("rep is null or rep = doc_id").select("doc_id", "n_shingles", "regs", "bits").dropDuplicates(["doc_id"]), "regs")
+    member = stash(member, "member")
+    release(sk)  # registers are kept once, for one text of each set
 
     width = 2 * ROWS
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.col("regs").substr(i * width + 1, F.lit(width)))))
@@ -228,10 +232,12 @@ def _rest(members: DataFrame, root: DataFrame, star: DataFrame, bits: DataFrame,
     def side(df: DataFrame, name: str, *keys: str) -> DataFrame:
         return df.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "root", "n", "s", "bits")))
 
-    differ = sum(F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(REGISTERS // 64))
-    p = (1 - percent / 100) / 2
+    differ = sum(F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(REGISTERS * BITS // 64))
+    unlike = 1 - percent / 100
+    usual = REGISTERS * unlike * BITS / 2
+    error = (REGISTERS * (unlike * (BITS + BITS**2) / 4 - (unlike * BITS / 2) ** 2)) ** 0.5
     ordered = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_doc_id") < F.col("y_doc_id")))
-    alike = ordered & (F.col("x_root") != F.col("y_root")) & (100 * F.col("x_n") >= percent * F.col("y_n")) & (differ <= REGISTERS * p + 5 * (REGISTERS * p * (1 - p)) ** 0.5)
+    alike = ordered & (F.col("x_root") != F.col("y_root")) & (100 * F.col("x_n") >= percent * F.col("y_n")) & (differ <= usual + 5 * error)
     pair = [F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")]
 
     by_size = side(held, "x", "key").join(side(held, "y", "key"), "key").where(alike & (t * 0.999999 * (F.col("x_n") + F.col("y_n")) <= F.least("x_s", "y_s"))).select(*pair)
