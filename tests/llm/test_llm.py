@@ -118,6 +118,39 @@ def test_similar_lines_join_one_group(spark):
     assert all(out[100 + i] == (apart[i] <= line_dedup.BITS) for i in range(5)) and not any(out[i] for i in range(5))
 
 
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_similar_lines_of_every_length_are_found(spark):
+    r = random.Random(9)
+    lines = [w for n in (2, 3, 4, 5, 7, 10, 12, 20, 50) for w in (_text(r, n) for _ in range(5))]
+    lines += ["".join(r.choice("abcdefghij") for _ in range(200)) for _ in range(3)]
+    for t in list(lines):
+        for edits in (1, len(t) // 20, len(t) // 10):  # edits in one place, as a changed word makes, or all over
+            for spread in (False, True):
+                at, c = r.randrange(len(t)), list(t)
+                for i in range(edits):
+                    c[(r.randrange(len(t)) if spread else at + i) % len(t)] = r.choice("abcdefghij ")
+                lines.append(" ".join("".join(c).split()))
+    lines = sorted(set(lines), key=lambda t: (len(t), t))
+    most, counts = [int(0.1 * len(t) + 1e-9) for t in lines], [Counter(t) for t in lines]
+    near = [(i, j) for j in range(len(lines)) for i in range(j) if len(lines[j]) - len(lines[i]) <= most[j] and (counts[j] - counts[i]).total() <= most[j]]
+    links = [(i, j) for i, j in near if _distance(lines[i], lines[j]) <= most[j]]
+    root = _roots(range(len(lines)), links)
+    out = {x["doc"]["doc_id"]: x["n_removed"] for x in line_dedup.deduplicated(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")).collect()}
+    assert len(links) > 200 and not any(out[i] for i in range(len(lines)) if root[i] == i)
+    short = [i for i, t in enumerate(lines) if len(t) < line_dedup.EXACT and root[i] != i]
+    assert all(out[i] for i in short)
+    long = [i for i, t in enumerate(lines) if len(t) >= line_dedup.EXACT and root[i] != i]
+    assert sum(out[i] for i in long) >= 0.98 * len(long)
+
+
 def test_fingerprints(spark, docs, empty):
     rows = spotsigs.compared(docs).collect()
     assert len(rows) == len(_docs())
