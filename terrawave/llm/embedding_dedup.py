@@ -2,7 +2,9 @@
 
 Vectors are dealt by label and a hash of their id into shards of about SHARD; each shard gets a graph. Every shard is
 searched for the vectors of every shard of its label (once for each two shards: a hit counts for both). A search is
-audited: AUDIT queries are compared with the whole shard, and the beam doubles until the audit finds them all. Hits are
+audited: AUDIT queries are compared with the whole shard, and as many members of the shard, moved to about the least
+cosine, are looked for as queries, so that the audit has links to find where the queries have none; the beam doubles
+until the audit finds them all. Hits are
 verified by their cosine in double precision; a block of two shards passes on each vector's number of links and one
 link to the least vector that it is connected with inside the block, and components are joined from these.
 """
@@ -52,14 +54,27 @@ def _layers(graph: bytes, n: int) -> list:
     return out
 
 
+def _planted(x: np.ndarray, least: float) -> np.ndarray:
+    """Members of x, spread over it, each moved in a direction of its own to a cosine just above the least."""
+    members = x[np.unique(np.linspace(0, len(x) - 1, min(AUDIT, len(x))).astype(int))]
+    if x.shape[1] < 2:
+        return members
+    away = np.random.default_rng(len(x)).standard_normal(members.shape)
+    away -= np.einsum("kd,kd->k", away, members)[:, None] * members
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+    cosine = min(least + 0.1 * (1 - least), 1.0)
+    return cosine * members + np.sqrt(1 - cosine**2) * away
+
+
 def _hits(q: np.ndarray, x: np.ndarray, layers: list, least: float) -> np.ndarray:
     """bool [query, node], from a search whose beam is widened until its audit passes, verified in double precision."""
     small_q, small_x = q.astype(np.float32), x.astype(np.float32)
     audit = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
-    true = q[audit] @ x.T >= least
+    asked = np.concatenate([q[audit], _planted(x, least)])
+    true, small_asked = asked @ x.T >= least, asked.astype(np.float32)
     beam = hnsw.BEAM
     while beam < len(x):
-        if (true <= hnsw.within(small_x, layers, small_q[audit], least, beam)).all():
+        if (true <= hnsw.within(small_x, layers, small_asked, least, beam)).all():
             hits = hnsw.within(small_x, layers, small_q, least, beam)
             break
         beam *= 2

@@ -301,6 +301,30 @@ def test_embeddings_equal_brute_force(spark):
     assert all((got[i]["n_links"], got[i]["component_id"]) == (n[i], root[i]) for i, _, _ in x)
 
 
+def test_few_links_across_shards_are_found():
+    r = np.random.default_rng(6)
+
+    def unit(v):
+        return v / np.linalg.norm(v, axis=-1, keepdims=True)
+
+    x = unit(r.standard_normal((2048, 64)))
+    layers = embedding_dedup.hnsw.build(x.astype(np.float32))
+    cut = [(members, np.where(np.arange(len(members))[:, None] % 4, -1, links).astype(np.int32)) for members, links in layers]  # a graph that leads nowhere from most nodes
+    q = unit(r.standard_normal((2048, 64)))
+    audit = np.linspace(0, len(q) - 1, embedding_dedup.AUDIT).astype(int)
+    at = np.setdiff1d(np.arange(len(q)), audit)[::100]
+    members = r.choice(len(x), len(at), replace=False)
+    q[at] = unit(x[members] + 0.3 * unit(r.standard_normal((len(at), 64))))
+    true = q @ x.T >= embedding_dedup.LEAST
+    assert not true[audit].any() and true.sum() == len(at)
+    lost = true & ~embedding_dedup.hnsw.within(x.astype(np.float32), cut, q.astype(np.float32), embedding_dedup.LEAST, embedding_dedup.hnsw.BEAM)
+    assert lost.sum() > 0.1 * true.sum()  # an audit of these queries alone sees none of this
+    for graph in (layers, cut):
+        hits = embedding_dedup._hits(q, x, graph, embedding_dedup.LEAST)
+        assert (hits & true).sum() >= 0.9 * true.sum()
+        assert not (hits & ~true).any()
+
+
 def test_mixing(spark, docs, empty):
     rows = [r.asDict() | {"doc_id": r["doc"]["doc_id"], "source": r["doc"]["source"]} for r in mixing.allocate(docs).collect()]
     assert len(rows) == len(_docs())
