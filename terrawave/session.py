@@ -47,9 +47,27 @@ def stash(df: DataFrame, name: str = "t") -> DataFrame:
     return back
 
 
-def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    """df, marked for broadcast if a count of it finds no more than so many (narrow) rows; else it is shuffled."""
-    return F.broadcast(df) if df.count() <= rows else df
+BROADCAST = 64 << 20  # bytes
+
+
+def _width(df: DataFrame) -> int:
+    """Bytes of a row by its schema, as the optimizer counts them."""
+    return df._jdf.schema().defaultSize() + 8
+
+
+def small(df: DataFrame, most: int = BROADCAST) -> DataFrame:
+    """df, marked for broadcast if its measured size is no more than so many bytes, else left to be shuffled.
+
+    The size is that of the files of a written table, whose pages may be packed five times over, or else a count of rows times the width of one.
+    """
+    path = getattr(df, "_stash_path", None)
+    if path:
+        jvm = df.sparkSession._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        size = 5 * where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+    else:
+        size = df.count() * _width(df)
+    return F.broadcast(df) if size <= most else df
 
 
 def release(*frames: DataFrame) -> None:
