@@ -7,77 +7,68 @@ patterns change. The slots of the patterns are then joined back to the pieces by
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
 from collections import defaultdict
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrawave.session import stash
 
 LENGTH = 1024
-KNOWN = 800_000  # chunks whose ids a task remembers, about 150 MB
 PER_BUCKET = 20_000  # pieces ranked together
 
 
-class ChunkIds(dict):
-    """Ids (as little-endian 32-bit bytes) of a space and the characters after it; forgets all when it holds KNOWN.
+# Fixed value: the pre-tokens of byte-level BPE.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_DEEP = re.compile(r"\s{1000}").search
+
 
-    A byte-level tokenizer without normaliser cuts a text into pre-tokens before it merges bytes, and none of them holds
-    a character that is no space and a space after it. So a text is cut there, each chunk is looked up, and only the
-    pre-tokens of unseen chunks are merged. Any other tokenizer, and a text with a special token in it, goes whole.
+def _merger(definition: dict):
+    """A function from a text to its ids, for a byte-level tokenizer whose merges stand in the order of their ids; else None.
+
+    Merging the pair with the least id first is then the same as merging by the list; merges of one token in two ways, or out of order, are left to the tokenizer itself.
+    """
+    model = definition.get("model", {})
+    vocab, merges = model.get("vocab"), model.get("merges")
+    kind = definition.get("pre_tokenizer") or {}
+    plain = kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space") and not definition.get("normalizer")
+    if not plain or model.get("type") != "BPE" or any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback")):
+        return None
+    made = [vocab.get("".join(x) if isinstance(x, list) else x.replace(" ", "", 1)) for x in merges]
+    if None in made or any(x >= y for x, y in zip(made, made[1:], strict=False)):
+        return None
+    printed = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    byte = {chr(b if b in printed else next(others)): b for b in range(256)}  # the letter that stands for each byte
+    ranks = {bytes(byte[c] for c in t): i for t, i in vocab.items() if all(c in byte for c in t)}
+    if len(ranks) < 256 or len(made) and min(made) <= max(ranks[bytes([b])] for b in range(256)):
+        return None
+    import tiktoken
+
+    return tiktoken.Encoding("bytes", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
+class Ids:
+    """Ids of texts as little-endian 32-bit bytes, without special tokens; nothing is remembered between texts.
+
+    A text with a special token in it, or with so much white space in a row that cutting it would go too deep, is left to
+    the tokenizer itself, as is any tokenizer of another kind.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        kind = str(tokenizer.pre_tokenizer)
-        self.by_chunk = tokenizer.normalizer is None and kind.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in kind
-        self.cut = regex.compile(PRE_TOKENS).findall
-        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        others = iter(range(256, 512))
-        self.letters = {b: chr(b if b in plain else next(others)) for b in range(256)}  # a letter for each byte
-        self.parts: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def merged(self, pre_token: str) -> bytes:
-        word = pre_token.encode("utf-8", "replace").decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-
-    def part(self, pre_token: str) -> bytes:
-        found = self.parts.get(pre_token)
-        if found is None:
-            found = self.get(pre_token[1:]) if pre_token[0] == " " else None  # met as a whole chunk
-        if found is None:
-            if len(self.parts) >= KNOWN // 2:
-                self.parts.clear()
-            found = self.parts[pre_token] = self.merged(pre_token)
-        return found
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= KNOWN:
-            self.clear()
-        parts = self.cut(" " + chunk)
-        self[chunk] = ids = self.merged(parts[0]) if len(parts) == 1 else b"".join(map(self.part, parts))
-        return ids
+        self.merge = _merger(json.loads(tokenizer.to_str()))
 
     def of(self, text: str) -> bytes:
-        if not self.by_chunk or any(s in text for s in self.special):
-            return self.encode(text)
-        first, *rest = text.split(" ") if not _SPACES(text) else _CUT(text)
-        return b"".join(map(self.part, self.cut(first))) + b"".join(map(self.__getitem__, rest))
-
-
-# Fixed value: the pre-tokens of byte-level BPE.
-PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_SPACES = re.compile(r"\s\s|^\s|\s$").search
-_CUT = re.compile(r"(?<=\S) ").split
+        if self.merge is None or any(s in text for s in self.special) or _DEEP(text):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.merge(text)).tobytes()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, with_ids: bool = False) -> DataFrame:
@@ -87,7 +78,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     def run(batches):
         from tokenizers import Tokenizer
 
-        known = ChunkIds(Tokenizer.from_file(tokenizer_path))
+        known = Ids(Tokenizer.from_file(tokenizer_path))
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -145,7 +136,7 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     ranked = rows.withColumn("_in", F.row_number().over(inside) - 1).join(stash(starts, "starts"), ["length", "_bucket"]).withColumn("_rank", F.col("_first") + F.col("_in"))
     # slots: at most two patterns for each of the lengths, whatever the input
     table = spark.createDataFrame(slots, "length long, _from long, _to long, _base long, offset long")
-    placed = ranked.join(F.broadcast(table), "length").where("_rank >= _from and _rank < _to")
+    placed = ranked.join(F.broadcast(table), ["length"]).where("_rank >= _from and _rank < _to")
     return placed.withColumn("sequence_id", F.col("_base") + F.col("_rank") - F.col("_from")).select(*cut.columns, "sequence_id", "offset")
 
 
