@@ -15,11 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrawave.session import stash
+from terrawave.session import small, stash
 
 WORDS, GRAMS, LONGEST = 20_000, 5_000, 4
+TIES = 1024
 FLUSH = 200_000  # counts that a task holds before it passes them on
-KNOWN = 300_000  # words whose scores a task remembers
+KNOWN = 100_000  # words whose scores a task remembers
 
 
 def letters(word: bytes) -> str:
@@ -68,9 +69,14 @@ def _counts(kind: str):
             else:
                 for lang, word, n in zip(*columns, strict=True):
                     c = counts.setdefault(lang, Counter())
-                    for k in range(1, LONGEST + 1):
-                        for g in grams(word, k):
-                            c[f"{k}{g}"] += n
+                    had = c.get
+                    for g in grams(word, 1):
+                        c[g] = had(g, 0) + n
+                    w = f" {word} "
+                    for k in range(2, LONGEST + 1):
+                        for i in range(len(w) - k + 1):
+                            g = w[i : i + k]
+                            c[g] = had(g, 0) + n
             if sum(map(len, counts.values())) > FLUSH:
                 yield from flush()
         yield from flush()
@@ -79,12 +85,14 @@ def _counts(kind: str):
 
 
 def _top(counts: DataFrame) -> DataFrame:
-    """The most frequent items of each language and kind, as many as the model has room for: those above the count at which more would not fit. Cuts come from the number of items by count, so no language is in one task."""
-    by_count = counts.groupBy("lang", "kind", "n").agg(F.count("*").alias("items"))
-    above = Window.partitionBy("lang", "kind").orderBy(F.desc("n"))
+    """The most frequent items of each language and kind, as many as the model has room for. Where items of one count do not all fit, those stay whose hash falls into the first of TIES parts that do. Cuts come from the number of items by count and part, so no language is in one task."""
+    counts = counts.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(TIES)))
+    by_count = counts.groupBy("lang", "kind", "n", "part").agg(F.count("*").alias("items"))
+    above = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "part")
     room = F.when(F.col("kind") == "w", WORDS).otherwise(GRAMS)
-    cuts = by_count.withColumn("upto", F.sum("items").over(above)).where(F.col("upto") <= room).groupBy("lang", "kind").agg(F.min("n").alias("cut"))
-    return counts.join(F.broadcast(cuts), ["lang", "kind"]).where("n >= cut").drop("cut")  # a few rows for each language
+    fits = by_count.withColumn("upto", F.sum("items").over(above)).where(F.col("upto") <= room)
+    cuts = fits.groupBy("lang", "kind").agg(F.min(F.struct("n", -F.col("part"))).alias("last")).select("lang", "kind", F.col("last.n").alias("cut"), (-F.col("last.col2")).alias("upto"))
+    return counts.join(small(stash(cuts, "cuts")), ["lang", "kind"]).where((F.col("n") > F.col("cut")) | ((F.col("n") == F.col("cut")) & (F.col("part") <= F.col("upto")))).select("lang", "kind", "item", "n")
 
 
 def train(docs: DataFrame) -> dict:
@@ -93,7 +101,7 @@ def train(docs: DataFrame) -> dict:
     rows = docs.where("lang is not null").select("lang", "text")
     found = stash(rows.mapInArrow(_counts("word"), schema).groupBy("lang", "item").agg(F.sum("n").alias("n")), "words")
     pieces = stash(found.mapInArrow(_counts("gram"), schema).groupBy("lang", "item").agg(F.sum("n").alias("n")), "grams")
-    pieces = pieces.select("lang", F.substring("item", 1, 1).alias("kind"), F.expr("substring(item, 2)").alias("item"), "n")
+    pieces = pieces.select("lang", F.char_length("item").cast("string").alias("kind"), "item", "n")
     everything = found.select("lang", F.lit("w").alias("kind"), "item", "n").unionByName(pieces)
     totals = everything.groupBy("lang", "kind").agg(F.sum("n").alias("n"), F.count("*").alias("items")).collect()  # a few rows for each language
     top = _top(everything)
@@ -119,9 +127,13 @@ class Scores(dict):
     """Rows of `matrix`, which has the score of each language, by words as they stand in the text; forgets all when it holds KNOWN."""
 
     def __init__(self, model: dict):
-        self.tables = model["tables"]
+        self.words = model["tables"].get("w", {})
         self.none = np.zeros(len(model["langs"]))
         self.matrix = np.zeros((KNOWN, len(model["langs"])))
+        # All known n-grams in one table: lengths tell them apart.
+        tables = [model["tables"].get(str(n), {}) for n in range(1, LONGEST + 1)]
+        self.row = {g: i for i, g in enumerate(g for t in tables for g in t)}
+        self.grams = np.array([v for t in tables for v in t.values()]).reshape(len(self.row), len(model["langs"]))
 
     def of(self, text: str) -> np.ndarray:
         """The sum of the scores of a text's words."""
@@ -129,27 +141,41 @@ class Scores(dict):
         if len(self) + len(count) > len(self.matrix):
             self.clear()
             self.matrix = np.zeros((max(KNOWN, len(count)), self.matrix.shape[1]))
+        new = [raw for raw in count if raw not in self]
+        if new:
+            self.learn(new)
         at = np.fromiter(map(self.__getitem__, count), np.int64, len(count))
         return np.fromiter(count.values(), np.float64, len(count)) @ self.matrix[at]
 
-    def __missing__(self, raw: bytes) -> int:
-        word, score = letters(raw), self.none
-        if word:
-            score = self.tables.get("w", {}).get(word)
-            for n in range(LONGEST, 0, -1):
-                if score is not None:
-                    break
-                known = self.tables.get(str(n), {})
-                hits = [known[g] for g in grams(word, n) if g in known]
-                if hits:
-                    score = sum(hits) / len(hits)
-        self[raw] = at = len(self)
-        self.matrix[at] = self.none if score is None else score
-        return at
+    def learn(self, new: list[bytes]) -> None:
+        """Scores of words not met before; those of unseen words are means over the longest known n-grams, taken for all of them at once."""
+        hits, sizes, backed = [], [], []
+        find = self.row.get
+        for raw in new:
+            self[raw] = at = len(self)
+            word, score = letters(raw), self.none
+            if word:
+                score = self.words.get(word)
+                if score is None:
+                    w = f" {word} "
+                    for n in range(LONGEST, 0, -1):
+                        if n == 1:
+                            w = word
+                        found = [j for i in range(len(w) - n + 1) if (j := find(w[i : i + n])) is not None]
+                        if found:
+                            hits += found
+                            sizes.append(len(found))
+                            backed.append(at)
+                            break
+                    continue
+            self.matrix[at] = score
+        if backed:
+            starts = np.cumsum([0, *sizes[:-1]])
+            self.matrix[backed] = np.add.reduceat(self.grams[hits], starts, axis=0) / np.array(sizes)[:, None]
 
 
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score for each row: `und` with score 0 for a null text or one without a letter."""
+    """doc_id, lang_pred, score for each row: `und` with score 0 for a null text or one without a letter. Of languages with one score, the first by code point is taken."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, lang_pred string, score double"
 
