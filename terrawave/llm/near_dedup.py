@@ -176,56 +176,59 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sk = stash(sketch(src), "sketch")
     copies = stash(sk.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("digest", "rep"), "copies")
-    member = sk.select("doc_id", "n_shingles", "digest").join(copies, "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
-    regs = stash(sk.where("digest is not null").join(copies, "digest", "left").where("rep is null or rep = doc_id").select("doc_id", "n_shingles", "regs", "bits").dropDuplicates(["doc_id"]), "regs")
-    member = stash(member, "member")
+    member = stash(sk.select("doc_id", "n_shingles", "digest").join(small(copies), "digest", "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "member")
+    regs = sk.where("digest is not null").join(small(copies), "digest", "left").where("rep is null or rep = doc_id").select("doc_id", "n_shingles", "regs", "bits")
+    again = small(stash(sk.groupBy("doc_id").count().where("count > 1").select("doc_id"), "again"))  # only registers of repeated ids are shuffled
+    regs = stash(regs.join(again, "doc_id", "left_anti").unionByName(regs.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])), "regs")
     release(sk)  # registers are kept once, for one text of each set
 
     width = 2 * ROWS
     band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.col("regs").substr(i * width + 1, F.lit(width)))))
     bands = regs.select("doc_id", band.alias("key"))
-    buckets = stash(bands.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = stash(bands.join(buckets, "key"), "members")
-
-    # Every member against its bucket's centre. In a bucket of two that is all; there the estimate can rule a pair out.
-    pairs = members.where("doc_id <> centre").groupBy(F.col("centre").alias("a"), F.col("doc_id").alias("b")).agg(F.max("n").alias("n"))
-    est = stash(_estimated(pairs.select("a", "b"), regs), "est")
-    first = est.join(stash(pairs, "pairs"), ["a", "b"]).where((F.col("est") >= percent / 100 - MARGIN) | (F.col("n") > 2)).select("a", "b")
-    star = _checked(first, src)
+    buckets = stash(bands.groupBy("key").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("n > 1"), "buckets")
+    big = stash(buckets.where("n > 2").select("key", "centre"), "big")  # a bucket of two is a pair, and its bands aren't needed again
+    members = stash(bands.join(small(big), "key"), "members")
+
+    # Every member against its bucket's centre, as far as the estimate allows a link.
+    pairs = buckets.where("n = 2").select(F.col("centre").alias("a"), F.col("last").alias("b")).unionByName(members.where("doc_id <> centre").select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))).distinct()
+    likely = F.col("est") >= percent / 100 - MARGIN
+    star = _checked(_estimated(pairs, regs).where(likely).select("a", "b"), src)
     link = 100 * F.col("shared") >= percent * F.col("total")
     links = star.where(link).select("a", "b")
     root = stash(components(links), "root")
 
     # What is left: members of one bucket in different components.
-    others = stash(_rest(members, root, star, regs.select("doc_id", "bits"), percent), "others")
-    likely = _estimated(others, regs).where(F.col("est") >= percent / 100 - MARGIN).select("a", "b")
-    found = _checked(likely, src).where(link).select("a", "b")
-    release(members, buckets, est)
+    others = stash(_rest(members, root, src, regs.select("doc_id", "bits"), percent), "others")
+    found = _checked(_estimated(others, regs).where(likely).select("a", "b"), src).where(link).select("a", "b")
+    release(members, buckets, big, regs)
     if not found.isEmpty():
         root = stash(components(links.unionByName(found)), "root")
-    out = member.join(root.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
+    out = member.join(small(root.withColumnRenamed("node", "rep")), "rep", "left").select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _checked(pairs: DataFrame, src: DataFrame) -> DataFrame:
-    """pairs(a, b) verified on the sets of src's texts; only texts in pairs are read into sets."""
+def _checked(pairs: DataFrame, src: DataFrame, rest: bool = False) -> DataFrame:
+    """pairs(a, b) verified on the sets of src's texts, with b's shingles that a lacks if asked for; only texts in pairs are read into sets."""
     pairs = stash(pairs, "likely")
     wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     sets = stash(sets_of(src.join(small(wanted), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
-    seen = stash(_verified(pairs, sets), "seen")
+    seen = _verified(pairs, sets)
+    seen = stash(seen if rest else seen.drop("rest"), "seen")
     release(pairs, wanted, sets)
     return seen
 
 
-def _rest(members: DataFrame, root: DataFrame, star: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
+def _rest(members: DataFrame, root: DataFrame, src: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of one centre in different components that may be similar enough.
 
     Of two such texts x and y with s(x), s(y) shingles in the centre, |x & y| >= t (|x| + |y|) with t = percent / (100 + percent); all but s(x) of these, and all but s(y), are shingles that the centre lacks. So they share one of these, or t (|x| + |y|) <= s(x), s(y). And with |x| <= |y|, x holds 2 t |x| - s(x) of the shared ones at least and y holds percent |y| - s(y): each has one of them among its rarest |rest| - need + 1. Bits of the registers that differ too often rule out further pairs, by five standard errors.
     """
     t = percent / (100 + percent)
     rows = members.join(small(root.withColumnRenamed("node", "doc_id")), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    mixed = stash(rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1 and n > 2").select("key"), "mixed")
+    mixed = stash(rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key"), "mixed")
     held = rows.join(small(mixed), "key", "left_semi").where("doc_id <> centre").select("key", "centre", "doc_id", "root")
+    held = stash(held, "held")
+    star = _checked(held.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), src, rest=True)
     facts = stash(star.select(F.col("a").alias("centre"), F.col("b").alias("doc_id"), F.col("n_b").alias("n"), F.col("shared").alias("s"), "rest").join(bits, "doc_id"), "facts")
     held = stash(held.join(facts.drop("rest"), ["centre", "doc_id"]), "held")
 
