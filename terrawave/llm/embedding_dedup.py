@@ -1,6 +1,6 @@
 """Near-duplicate embeddings by hierarchical navigable small-world graphs.
 
-Vectors are dealt by label and a hash of their id into shards of about SHARD; each shard gets a graph. Every shard is
+Vectors are dealt by label and a hash of their id into shards of about SHARD bytes; each shard gets a graph. Every shard is
 searched for the vectors of every shard of its label (once for each two shards: a hit counts for both). A search is
 audited: AUDIT queries are compared with the whole shard, and as many members of the shard, moved to about the least
 cosine, are looked for as queries, so that the audit has links to find where the queries have none; the beam doubles
@@ -21,7 +21,8 @@ from terrawave.llm import hnsw
 from terrawave.llm.components import components
 from terrawave.session import small, stash
 
-SHARD, AUDIT, LEAST = 8192, 64, 0.93
+SHARD, AUDIT, LEAST = 8 << 20, 64, 0.93  # bytes of vectors; queries
+BEAM = 16  # to begin with
 
 
 def _unit(vectors: bytes, n: int) -> np.ndarray:
@@ -31,7 +32,7 @@ def _unit(vectors: bytes, n: int) -> np.ndarray:
 
 def shards(vectors: DataFrame) -> DataFrame:
     """A row for each shard of vectors(label, node, copies, vector): label, shard, nodes, copies, vectors and the graph."""
-    sizes = vectors.groupBy("label", F.size("vector").alias("dim")).agg(F.ceil(F.count("*") / SHARD).alias("n"))
+    sizes = vectors.groupBy("label", F.size("vector").alias("dim")).agg(F.ceil(F.count("*") * F.greatest(F.col("dim"), F.lit(64)) * 8 / SHARD).alias("n"))
     dealt = vectors.withColumn("dim", F.size("vector")).join(small(stash(sizes, "sizes")), ["label", "dim"])
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("node"), F.col("n")))
 
@@ -67,24 +68,40 @@ def _planted(x: np.ndarray, least: float) -> np.ndarray:
 
 
 def _hits(q: np.ndarray, x: np.ndarray, layers: list, least: float) -> np.ndarray:
-    """bool [query, node], from a search whose beam is widened until its audit passes, verified in double precision."""
+    """Bits [query, node] of the hits of a search whose beam is widened until its audit passes, verified in double precision. Only hnsw.QUERIES queries are compared at once."""
     small_q, small_x = q.astype(np.float32), x.astype(np.float32)
     audit = np.unique(np.linspace(0, len(q) - 1, min(AUDIT, len(q))).astype(int))
     asked = np.concatenate([q[audit], _planted(x, least)])
     true, small_asked = asked @ x.T >= least, asked.astype(np.float32)
-    beam = hnsw.BEAM
-    while beam < len(x):
-        if (true <= hnsw.within(small_x, layers, small_asked, least, beam)).all():
-            hits = hnsw.within(small_x, layers, small_q, least, beam)
-            break
+    beam = BEAM
+    while beam < len(x) and not (true <= hnsw.within(small_x, layers, small_asked, least, beam)).all():
         beam *= 2
-    else:
-        return q @ x.T >= least
-    i, j = np.nonzero(hits)
-    for s in range(0, len(i), 200_000):
-        part = slice(s, s + 200_000)
-        hits[i[part], j[part]] = np.einsum("kd,kd->k", q[i[part]], x[j[part]]) >= least
-    return hits
+    bits = np.zeros((len(q), (len(x) + 7) // 8), np.uint8)
+    for s in range(0, len(q), hnsw.QUERIES):
+        part = q[s : s + hnsw.QUERIES]
+        if beam < len(x):
+            hits = hnsw.within(small_x, layers, small_q[s : s + hnsw.QUERIES], least, beam)
+            i, j = np.nonzero(hits)
+            for t in range(0, len(i), 50_000):
+                some = slice(t, t + 50_000)
+                hits[i[some], j[some]] = np.einsum("kd,kd->k", part[i[some]], x[j[some]]) >= least
+        else:
+            hits = part @ x.T >= least
+        bits[s : s + hnsw.QUERIES] = np.packbits(hits, axis=1)
+    return bits
+
+
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots after joining a[i] with b[i]: each root points at the least it meets, until all that are joined agree."""
+    while True:
+        r, s = root[a], root[b]
+        apart = r != s
+        if not apart.any():
+            return root
+        a, b, r, s = a[apart], b[apart], r[apart], s[apart]
+        np.minimum.at(root, np.maximum(r, s), np.minimum(r, s))
+        while (root[root] != root).any():
+            root = root[root]
 
 
 def _block(a: dict, b: dict, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,40 +109,45 @@ def _block(a: dict, b: dict, least: float) -> tuple[np.ndarray, np.ndarray, np.n
     nodes_a, nodes_b = np.frombuffer(a["nodes"], np.int64), np.frombuffer(b["nodes"], np.int64)
     same = a["shard"] == b["shard"]
     q, x = _unit(a["vectors"], len(nodes_a)), _unit(b["vectors"], len(nodes_b))
-    hits = _hits(q, x, _layers(b["graph"], len(nodes_b)), least)
-    if same:
-        hits |= hits.T
-        np.fill_diagonal(hits, False)
-    copies_a, copies_b = np.frombuffer(a["copies"], np.int64), np.frombuffer(b["copies"], np.int64)
+    bits = _hits(q, x, _layers(b["graph"], len(nodes_b)), least)
+    copies_a, copies_b = (np.frombuffer(z["copies"], np.int64).astype(np.float64) for z in (a, b))  # whole numbers, far below 2^53
     nodes = nodes_a if same else np.concatenate([nodes_a, nodes_b])
-    links = hits @ copies_b if same else np.concatenate([hits @ copies_b, hits.T @ copies_a])
-    root, shift = np.arange(len(nodes)), 0 if same else len(nodes_a)
-    for i in np.flatnonzero(hits.any(axis=1)):
-        joined = np.unique(root[np.append(np.flatnonzero(hits[i]) + shift, i)])
-        if len(joined) > 1:
-            root[np.isin(root, joined)] = joined[0]
+    links, root, shift = np.zeros(len(nodes)), np.arange(len(nodes)), 0 if same else len(nodes_a)
+    for s in range(0, len(q), hnsw.QUERIES):
+        hits = np.unpackbits(bits[s : s + hnsw.QUERIES], axis=1, count=len(x)).astype(bool)
+        if same:  # a pair counts if either found the other
+            back = np.unpackbits(bits[:, s // 8 : (s + hnsw.QUERIES) // 8], axis=1)[:, : len(hits)]
+            hits |= back.T.astype(bool)
+            hits[np.arange(len(hits)), s + np.arange(len(hits))] = False
+        i, j = np.nonzero(hits)
+        links[s : s + len(hits)] += np.bincount(i, copies_b[j], len(hits))
+        if not same:
+            links[shift:] += np.bincount(j, copies_a[s + i], len(x))
+        root = _joined(root, s + i, shift + j)
     least_of = np.full(len(nodes), np.iinfo(np.int64).max)
     np.minimum.at(least_of, root, nodes)
     some = links > 0
-    return nodes[some], links[some], least_of[root][some]
+    return nodes[some], links[some].astype(np.int64), least_of[root][some]
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", least: float = LEAST) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of vectors.
 
-    Rows without label, vectors that are null, zero, or hold a null or a component that is not finite link with nothing. Only vectors of one length are compared. Rows of one vector and label are one node with copies. Rows that share an id count as links of each other only if their vectors link.
+    Rows without id or label, vectors that are null, zero, or hold a null or a component that is not finite link with nothing. Only vectors of one length are compared. Rows of one vector and label are one node with copies. Rows that share an id count as links of each other only if their vectors link.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
-    fine = F.col("label").isNotNull() & F.col("vector").isNotNull() & F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vector", lambda v: v != 0)
+    fine = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull() & F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("vector", lambda v: v != 0)
     key = F.when(F.coalesce(fine, F.lit(False)), F.unhex(F.md5(F.concat_ws("|", "label", F.col("vector").cast("string")))))
     rows = rows.withColumn("key", key)
     nodes = rows.where("key is not null").groupBy("key", "label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     nodes = stash(nodes, "nodes")
     packed = stash(shards(nodes.select("label", "node", "copies", "vector")), "shards")
-    a, b = (packed.select("label", "dim", F.struct("shard", "nodes", "copies", "vectors", "graph").alias(c)) for c in "ab")
-    a = a.withColumn("a", F.col("a").dropFields("graph"))
-    blocks = a.join(b, ["label", "dim"]).where("a.shard <= b.shard").select("a", "b")
-    blocks = blocks.repartition(F.col("a.nodes"), F.col("b.shard"))
+    # Numbers of blocks first, so that no label is one group; the vectors come to their blocks by shard.
+    i, j = (packed.select("label", "dim", F.col("shard").alias(c)) for c in "ij")
+    blocks = stash(i.join(j, ["label", "dim"]).where("i <= j"), "blocks")
+    a = packed.select("label", "dim", F.col("shard").alias("i"), F.struct("shard", "nodes", "copies", "vectors").alias("a"))
+    b = packed.select("label", "dim", F.col("shard").alias("j"), F.struct("shard", "nodes", "copies", "vectors", "graph").alias("b"))
+    blocks = blocks.join(a, ["label", "dim", "i"]).join(b, ["label", "dim", "j"]).repartition("label", "dim", "i", "j").select("a", "b")
 
     def run(batches):
         for batch in batches:

@@ -25,36 +25,42 @@ def _choose(x: np.ndarray, cand: np.ndarray, sims: np.ndarray, m: int) -> np.nda
     return np.where(np.isfinite(np.take_along_axis(sims, keep, 1)), out, -1).astype(np.int32)
 
 
-def _search(x: np.ndarray, links: np.ndarray, q: np.ndarray, entry: np.ndarray, beam: int, until: float = 2.0) -> np.ndarray:
-    """Similarities [query, node] of the nodes that a best-first search met, -inf for others. It expands `beam` nodes, and further ones while they are at least `until` similar."""
-    n_q, n = len(q), len(x)
-    sims = np.full((n_q, n), -np.inf, np.float32)
-    todo = np.full((n_q, n), -np.inf, np.float32)  # sims of met nodes that are not yet expanded
-    rows = np.arange(n_q)
-    first = np.einsum("qed,qd->qe", x[entry], q)
-    np.put_along_axis(sims, entry, first, 1)
-    np.put_along_axis(todo, entry, first, 1)
-    live, steps = rows, 0
-    while len(live):
-        best = todo[live].argmax(axis=1)
-        value = todo[live, best]
-        go = np.isfinite(value) & ((steps < beam) | (value >= until))
+def _search(x: np.ndarray, links: np.ndarray, q: np.ndarray, entry: np.ndarray, beam: int, until: float = 2.0) -> tuple[np.ndarray, np.ndarray]:
+    """The 2 * beam nodes nearest to each query, and their similarities, of those that a best-first search met; -1 and -inf where there are fewer. It expands `beam` nodes, and further ones while they are at least `until` similar."""
+    width = 2 * beam
+    met = np.zeros((len(q), len(x)), bool)
+    node, sims = np.full((len(q), width), -1, np.int32), np.full((len(q), width), -np.inf, np.float32)
+    done = np.zeros((len(q), width), bool)
+    k = min(entry.shape[1], width)
+    node[:, :k], sims[:, :k] = entry[:, :k], np.einsum("qed,qd->qe", x[entry[:, :k]], q)
+    np.put_along_axis(met, entry[:, :k], True, 1)
+    live = np.arange(len(q))
+    for step in range(4 * beam + 1):
+        left = np.where(done[live], -np.inf, sims[live])
+        best = left.argmax(axis=1)
+        value = left[np.arange(len(live)), best]
+        go = np.isfinite(value) & ((step < beam) | (value >= until))
         live, best = live[go], best[go]
         if not len(live):
             break
-        todo[live, best] = -np.inf
-        near = links[best]
-        near = np.where(near < 0, best[:, None], near)
-        new = ~np.isfinite(sims[live[:, None], near])
-        i, j = np.nonzero(new)
-        at, node = live[i], near[i, j]
-        value = np.einsum("kd,kd->k", x[node], q[at])
-        sims[at, node] = value
-        todo[at, node] = value
-        steps += 1
-        if steps > 4 * beam:
-            break
-    return sims
+        done[live, best] = True
+        at = node[live, best]
+        near = links[at]
+        near = np.where(near < 0, at[:, None], near)
+        i, j = np.nonzero(~met[live[:, None], near])
+        if not len(i):
+            continue
+        found = near[i, j]
+        met[live[i], found] = True
+        more = np.full(near.shape, -np.inf, np.float32)
+        more[i, j] = np.einsum("kd,kd->k", x[found], q[live[i]])
+        every = np.concatenate([sims[live], more], axis=1)
+        keep = np.argpartition(-every, width - 1, axis=1)[:, :width]
+        sims[live] = np.take_along_axis(every, keep, 1)
+        node[live] = np.take_along_axis(np.concatenate([node[live], near], axis=1), keep, 1)
+        done[live] = np.take_along_axis(np.concatenate([done[live], np.zeros(near.shape, bool)], axis=1), keep, 1)
+    node[~np.isfinite(sims)] = -1
+    return node, sims
 
 
 def _layer(x: np.ndarray) -> np.ndarray:
@@ -69,12 +75,14 @@ def _layer(x: np.ndarray) -> np.ndarray:
         np.fill_diagonal(inner, -np.inf)
         if done:
             entry = np.tile(np.linspace(0, done - 1, min(4, done)).astype(np.int64), (size, 1))
-            sims = np.concatenate([_search(x[:done], links[:done], x[new], entry, BEAM), inner], axis=1)
+            node, sims = _search(x[:done], links[:done], x[new], entry, BEAM)
+            node, sims = np.concatenate([node, np.tile(new, (size, 1))], axis=1), np.concatenate([sims, inner], axis=1)
         else:
-            sims = inner
+            node, sims = np.tile(new, (size, 1)), inner
         k = min(2 * M, sims.shape[1])
-        cand = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        links[new, :M] = _choose(x, cand, np.take_along_axis(sims, cand, 1), M)[:, :M] if k >= M else np.pad(_choose(x, cand, np.take_along_axis(sims, cand, 1), k), ((0, 0), (0, M - k)), constant_values=-1)
+        at = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+        cand = np.maximum(np.take_along_axis(node, at, 1), 0)
+        links[new, :M] = _choose(x, cand, np.take_along_axis(sims, at, 1), M)[:, :M] if k >= M else np.pad(_choose(x, cand, np.take_along_axis(sims, at, 1), k), ((0, 0), (0, M - k)), constant_values=-1)
         # The nodes that were linked to link back.
         a, b = np.repeat(new, M), links[new, :M].ravel()
         a, b = a[b >= 0], b[b >= 0]
@@ -109,22 +117,23 @@ def build(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def within(x: np.ndarray, layers: list, q: np.ndarray, least: float, beam: int) -> np.ndarray:
-    """bool [query, node]: nodes found with a cosine of `least` or more. A query that finds `beam` such nodes is compared with the whole shard."""
+    """bool [query, node], queries few enough for that: nodes found with a cosine of `least` or more. A query that finds `beam` such nodes is compared with the whole shard."""
+    members, _ = layers[-1]
+    entry = np.argsort(-(q @ x[members].T), axis=1)[:, :4]
+    for level in range(len(layers) - 1, -1, -1):
+        members, links = layers[level]
+        if level < len(layers) - 1:
+            entry = entry * M
+        node, sims = _search(x[members] if level else x, links, q, entry, beam if level == 0 else 8, least if level == 0 else 2.0)
+        if level:
+            order = np.argsort(-sims, axis=1)[:, : min(4, len(members))]
+            entry = np.take_along_axis(node, order, 1)
+            entry = np.where(entry < 0, entry[:, :1], entry)
+    near = sims >= least - 1e-6
     found = np.zeros((len(q), len(x)), bool)
-    for s in range(0, len(q), QUERIES):
-        part = q[s : s + QUERIES]
-        members, _ = layers[-1]
-        entry = np.argsort(-(part @ x[members].T), axis=1)[:, :4]
-        for level in range(len(layers) - 1, -1, -1):
-            members, links = layers[level]
-            if level < len(layers) - 1:
-                entry = entry * M
-            sims = _search(x[members], links, part, entry, beam if level == 0 else 8, least if level == 0 else 2.0)
-            if level:
-                entry = np.argsort(-sims, axis=1)[:, : min(4, len(members))]
-        hits = sims >= least - 1e-6
-        many = hits.sum(axis=1) >= beam
-        if many.any():
-            hits[many] = part[many] @ x.T >= least - 1e-6
-        found[s : s + QUERIES] = hits
+    i, j = np.nonzero(near)
+    found[i, node[i, j]] = True
+    many = near.sum(axis=1) >= beam
+    if many.any():
+        found[many] = q[many] @ x.T >= least - 1e-6
     return found
