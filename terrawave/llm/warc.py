@@ -28,13 +28,13 @@ def _clean(c: Column) -> Column:
 
 
 def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """record_id, url, payload, digest, refers_to of each row. Of equal payloads of LEAST bytes or more, the record with the largest id is written and others refer to it. A null page is empty; rows that share id and payload are all written."""
+    """record_id, url, payload, digest, refers_to of each row. Of equal payloads of LEAST bytes or more, the record with the largest id is written and others refer to it. A null page is empty, a null id is the least and is written as an empty one; rows that share id and payload are all written."""
     rows = pages.select(F.col(id_col).cast("long").alias("record_id"), F.col(url_col).cast("string").alias("url"), F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     groups = rows.where(F.octet_length("payload") >= LEAST).groupBy("digest").agg(F.max("record_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     rows = rows.join(stash(groups, "groups"), "digest", "left")
     first = F.when(F.octet_length("payload") >= LEAST, F.col("first"))
-    return rows.select("record_id", "url", "payload", "digest", F.when(first != F.col("record_id"), first).alias("refers_to"))
+    return rows.select("record_id", "url", "payload", "digest", F.when(~first.eqNullSafe(F.col("record_id")), first).alias("refers_to"))
 
 
 def chunks(rows: DataFrame, date: str = "2000-01-01T00:00:00Z", chunk: int = CHUNK) -> DataFrame:
@@ -44,7 +44,7 @@ def chunks(rows: DataFrame, date: str = "2000-01-01T00:00:00Z", chunk: int = CHU
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), F.when(again, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.col("record_id").cast("string"), F.lit(">")),
+        F.concat(F.lit("WARC-Record-ID: <urn:page:"), F.coalesce(F.col("record_id").cast("string"), F.lit("")), F.lit(">")),
         F.lit(f"WARC-Date: {date}"),
         F.concat(F.lit("WARC-Target-URI: "), _clean(F.col("url"))),
         F.lit("Content-Type: application/http; msgtype=response"),
@@ -54,9 +54,10 @@ def chunks(rows: DataFrame, date: str = "2000-01-01T00:00:00Z", chunk: int = CHU
     ]
     head = F.encode(F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n" + HTTP)), "UTF-8")
     n = F.when(again, 0).otherwise(F.ceil(F.octet_length("payload") / chunk)).cast("int")
-    cut = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.col("payload").substr(i * chunk + 1, F.lit(chunk)))).otherwise(F.array().cast("array<binary>"))
-    parts = F.concat(F.array(head), cut, F.array(F.encode(F.lit("\r\n\r\n"), "UTF-8")))
-    return rows.withColumn("part", F.monotonically_increasing_id()).select("record_id", "part", F.posexplode(parts).alias("chunk_no", "data"))
+    rows = rows.select("record_id", F.monotonically_increasing_id().alias("part"), head.alias("head"), "payload", n.alias("n"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("n") + 1)).alias("chunk_no"))  # a chunk is cut as its row is made
+    data = F.when(F.col("chunk_no") == 0, F.col("head")).when(F.col("chunk_no") > F.col("n"), F.encode(F.lit("\r\n\r\n"), "UTF-8")).otherwise(F.col("payload").substr((F.col("chunk_no") - 1) * chunk + 1, F.lit(chunk)))
+    return rows.select("record_id", "part", "chunk_no", data.alias("data"))
 
 
 def write(pages: DataFrame, **columns) -> DataFrame:
@@ -65,18 +66,20 @@ def write(pages: DataFrame, **columns) -> DataFrame:
 
 
 def read(table: DataFrame) -> DataFrame:
-    """record_id, record_type, refers_to, payload_bytes, payload_digest, stated_digest of each record of a chunk table; bytes and digest are of what is in the archive."""
-    schema = "record_id long, record_type string, refers_to long, payload_bytes long, payload_digest string, stated_digest string"
+    """record_id, record_type, refers_to, payload_bytes, payload_digest, stated_digest and whole of each record of a chunk table; bytes and digest are of what is in the archive. whole: no byte of the stated length is missing, and a response has the digest that it states."""
+    schema = "record_id long, record_type string, refers_to long, payload_bytes long, payload_digest string, stated_digest string, whole boolean"
     dealt = table.repartition("part").sortWithinPartitions("part", "chunk_no").select("part", "chunk_no", "data")
 
     def number(value: str | None):
-        return int(value.removeprefix("<urn:page:").removesuffix(">")) if value else None
+        digits = (value or "").removeprefix("<urn:page:").removesuffix(">")
+        return int(digits) if digits else None
 
     def run(batches):
         head, size, sha, room = None, 0, None, 0
 
         def row():
-            return number(head["WARC-Record-ID"]), head["WARC-Type"], number(head.get("WARC-Refers-To")), size, sha.hexdigest(), head["WARC-Payload-Digest"].removeprefix("sha1:")
+            digest, stated = sha.hexdigest(), head["WARC-Payload-Digest"].removeprefix("sha1:")
+            return number(head["WARC-Record-ID"]), head["WARC-Type"], number(head.get("WARC-Refers-To")), size, digest, stated, room == 0 and (digest == stated or head["WARC-Type"] == "revisit")
 
         for batch in batches:
             out = []
@@ -94,11 +97,12 @@ def read(table: DataFrame) -> DataFrame:
                     sha.update(payload)
                     size, room = size + len(payload), room - len(payload)
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
         if head:
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row(), (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)], names)
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row(), kinds, strict=True)], names)
 
-    names = ["record_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "stated_digest"]
+    names = ["record_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "stated_digest", "whole"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
     return dealt.mapInArrow(run, schema)
 
 
@@ -115,7 +119,7 @@ WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS n, sha1(b) AS s FROM p),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY s, n) AS first FROM d)
 SELECT page_id, n AS payload_bytes, s AS payload_digest,
-       CASE WHEN n >= 1000 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN n >= 1000 AND first <> page_id THEN first END AS refers_to
+       CASE WHEN n >= 1000 AND first IS NOT NULL AND first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND first IS NOT NULL AND first IS DISTINCT FROM page_id THEN first END AS refers_to
 FROM m
 """
