@@ -12,7 +12,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 A, B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 S30, S27, S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 CHARS = 1_000_000  # of texts handled at once in a task; a longer text goes alone
-KNOWN = 300_000  # words whose hash a task remembers
+KNOWN = 100_000  # words whose hash a task remembers
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -23,7 +23,7 @@ from terrawave.session import stash
 SAMPLE = 20_000  # labelled rows that voters and classifier are fitted on
 VOTERS = 400
 PREFIXES = (4, 5, 6)
-KNOWN = 300_000
+KNOWN = 100_000
 THRESHOLD = 0.3
 PRECISION = 0.97  # least share of label 1 among the sampled rows that a voter speaks on
 

@@ -298,9 +298,10 @@ def test_packing_round_trip(spark, docs, empty):
 
 def test_chunked_ids_equal_the_tokenizer():
     _, tokenizer = _tokenizer()
-    known, r = packing.ChunkIds(tokenizer), random.Random(3)
+    known, r = packing.Ids(tokenizer), random.Random(3)
     texts = ["".join(r.choices("ab  \n\t\x1c\x85é'sA1!.,日🙂\r", k=r.randint(0, 40))) for _ in range(3000)] + ["<|endoftext|> a", "don't  we'll ", ""]
-    assert known.by_chunk
+    texts += [" " * 5000 + "a b", "a" * 5000, "\n" * 3000]
+    assert known.merge is not None
     for t in texts:
         assert known.of(t) == np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
@@ -327,6 +328,66 @@ def test_warc_round_trip(spark):
     assert warc.read(warc.write(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
 
 
+def test_warc_nulls_repeats_and_damage(spark):
+    rows = [(None, "u", "page without an id", "x"), (None, "v", "y" * 2000, "x"), (7, "w", "y" * 2000, "x"), (7, "w", "y" * 2000, "x"), (8, "z", "w" * 200_000, "x")]
+    table = warc.write(spark.createDataFrame(rows, "page_id long, url string, html string, payload string"))
+    found = warc.read(table)
+    assert sorted((r["record_id"] or -1, r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.resolved(found).collect()) == [(-1, "response", None, 18), (-1, "revisit", 7, 2000), (7, "response", None, 2000), (7, "response", None, 2000), (8, "response", None, 200_000)]
+    assert found.where("not whole").isEmpty()
+    torn = warc.read(table.where("not (record_id = 8 and chunk_no = 2)"))
+    assert [r["record_id"] for r in torn.where("not whole").collect()] == [8]
+
+
+def test_language_vocabulary_with_ties(spark, monkeypatch):
+    """Where more words than fit share a count, the model takes a part of them, not none."""
+    monkeypatch.setattr(language_id, "WORDS", 200)
+    words = ["".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(2000)]
+    model = language_id.train(spark.createDataFrame([("aa", " ".join(words)), ("bb", "zzzzz zzzzz yyyyy")], "lang string, text string"))
+    assert 150 < len([w for w in model["tables"]["w"] if w in set(words)]) <= 200
+    assert {"zzzzz", "yyyyy"} <= set(model["tables"]["w"])
+    rows = language_id.predict(spark.createDataFrame([(1, "zzzzz"), (2, None), (3, "1 2"), (1, "zzzzz"), (4, "zz " * 100_000)], "doc_id long, text string"), model).collect()
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in rows) == [(1, "bb"), (1, "bb"), (2, "und"), (3, "und"), (4, "bb")]
+
+
+def test_language_scores_equal_a_plain_version(spark):
+    """Scores of words and of n-grams, longest first, against loops over a small corpus."""
+    r = random.Random(5)
+    rows = [(lang, " ".join(r.choice(letters_of) * r.randint(1, 3) + r.choice(letters_of) for _ in range(30))) for lang, letters_of in (("aa", "abcd"), ("bb", "cdef")) for _ in range(5)]
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        for w in text.split():
+            counts[lang, "w"][w] += 1
+            for n in range(1, 5):
+                counts[lang, n].update(language_id.grams(w, n))
+    langs = ["aa", "bb"]
+
+    def log_odds(kind, item, lang):
+        c = counts[lang, kind]
+        return np.log(((c[item] + 0.5) if item in c else 0.5) / (c.total() + len(c) + 1))
+
+    def plain(word):
+        for kind in ("w", 4, 3, 2, 1):
+            items = [word] if kind == "w" else language_id.grams(word, kind)
+            hits = [i for i in items if any(i in counts[lang, kind] for lang in langs)]
+            if hits:
+                return np.array([np.mean([log_odds(kind, i, lang) for i in hits]) for lang in langs])
+        return np.zeros(2)
+
+    scores = language_id.Scores(model)
+    for text in ("aab cef zzz", "abab cde", "ffa q", "ab " * 50 + "xyza"):
+        assert np.allclose(scores.of(text), sum(plain(w) for w in text.split()))
+
+
+def test_embeddings_nulls_repeats_and_empty(spark):
+    v, w = [1.0, 0.0, 2.0], [1.0, 0.05, 2.0]
+    schema = "vec_id long, label string, embedding array<double>, links long, node string"
+    rows = [(1, "a", v, 0, ""), (1, "a", v, 0, ""), (2, "a", w, 0, ""), (None, "a", v, 0, ""), (3, None, v, 0, ""), (4, "b", v, 0, ""), (5, "a", None, 0, ""), (6, "a", [0.0, 0.0, 0.0], 0, ""), (7, "a", [1.0, None, 2.0], 0, ""), (8, "a", [1.0, float("nan"), 2.0], 0, "")]
+    got = sorted(((r["vec_id"] or -1, r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, schema)).collect()))
+    assert got == [(-1, 0, None, None), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), *((i, 0, i, True) for i in (3, 4, 5, 6, 7, 8))]
+    assert embedding_dedup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_embeddings_equal_brute_force(spark):
     r = np.random.default_rng(1)
     centres = r.standard_normal((12, 16))
@@ -359,7 +420,7 @@ def test_few_links_across_shards_are_found():
     lost = true & ~embedding_dedup.hnsw.within(x.astype(np.float32), cut, q.astype(np.float32), embedding_dedup.LEAST, embedding_dedup.hnsw.BEAM)
     assert lost.sum() > 0.1 * true.sum()  # an audit of these queries alone sees none of this
     for graph in (layers, cut):
-        hits = embedding_dedup._hits(q, x, graph, embedding_dedup.LEAST)
+        hits = np.unpackbits(embedding_dedup._hits(q, x, graph, embedding_dedup.LEAST), axis=1, count=len(x)).astype(bool)
         assert (hits & true).sum() >= 0.9 * true.sum()
         assert not (hits & ~true).any()
 
