@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from terrawave.functions import cx
 
 ELEMENTS = ("xx", "xy", "yx", "yy")
+MIN_GROUPS = 5  # of a jackknife
 #: Cross-powers needed for e = Z h with remote r: electric and magnetic channels against the remote.
 PAIRS = [(a, r) for a in ("ex", "ey", "hx", "hy") for r in ("rx", "ry")]
 
@@ -32,7 +33,7 @@ def remote_reference(sums: DataFrame, keys: list[str]) -> DataFrame:
 def jackknife(groups: DataFrame, keys: list[str]) -> DataFrame:
     """keys, Z, and z.._err from band sums by group (keys, group, n, sums): the weighted delete-a-group jackknife.
 
-    With weights n_g / n, the pseudo-values h Z - (h - 1) Z_without_g, h = n / n_g, give the estimate's variance as the mean of their squared distances from their weighted mean over h - 1.
+    With weights n_g / n, the pseudo-values h Z - (h - 1) Z_without_g, h = n / n_g, give the estimate's variance as the mean of their squared distances from their weighted mean over h - 1. Fewer than MIN_GROUPS groups give no errors.
     """
     names = [f"{a}_{r}_{p}" for a, r in PAIRS for p in ("re", "im")]
     total = groups.groupBy(*keys).agg(F.sum("n").alias("_n"), F.count("*").alias("_g"), *(F.sum(c).alias(f"t_{c}") for c in names))
@@ -46,7 +47,7 @@ def jackknife(groups: DataFrame, keys: list[str]) -> DataFrame:
     means = rows.groupBy(*keys).agg(*((F.sum(F.col(f"p_{n}") / F.col("_h"))).alias(f"m_{n}") for n in zs))
     rows = rows.join(means, keys)
     var = {z: F.sum((F.pow(F.col(f"p_z{z}_re") - F.col(f"m_z{z}_re"), 2) + F.pow(F.col(f"p_z{z}_im") - F.col(f"m_z{z}_im"), 2)) / F.nullif(F.col("_h") - 1, F.lit(0.0))) for z in ELEMENTS}
-    out = rows.groupBy(*keys).agg(F.max("_g").alias("groups"), *(F.max(n).alias(n) for n in zs), *((F.sqrt(v / F.max("_g") / 2)).alias(f"z{z}_err") for z, v in var.items()))
+    out = rows.groupBy(*keys).agg(F.max("_g").alias("groups"), *(F.max(n).alias(n) for n in zs), *((F.when(F.max("_g") >= MIN_GROUPS, F.sqrt(v / F.max("_g")))).alias(f"z{z}_err") for z, v in var.items()))
     return out
 
 

@@ -79,9 +79,9 @@ SPANS = "spans AS (SELECT 'C' || o_custkey AS site, o_orderkey AS run_id, CAST(e
 
 
 def masks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """site, a, b (hours), pmin, pmax, scope, channel, reason: masks of the hourly sites, from error events of large value."""
+    """site, a, b (hours), pmin, pmax, scope, channel, reason: masks of the hourly sites, one for each error event."""
     k = F.expr("unix_micros(cast(ts as timestamp)) div 3600000000")
-    e = table(spark, sf_dir, "events").where("event_type = 'error' and event_id % 7 = 0")
+    e = table(spark, sf_dir, "events").where("event_type = 'error'")
     scope = F.element_at(F.array(*map(F.lit, ("local", "both", "remote"))), (F.col("event_id") % 3 + 1).cast("int"))
     channel = F.element_at(F.array(F.lit(None).cast("string"), F.lit("ex"), F.lit("ey"), F.lit("hx")), (F.col("event_id") % 4 + 1).cast("int"))
     banded = F.col("event_id") % 2 == 0
@@ -93,7 +93,7 @@ MASKS = """masks AS (
     CASE WHEN event_id % 2 = 0 THEN 2.0::DOUBLE END AS pmin, CASE WHEN event_id % 2 = 0 THEN 8.0::DOUBLE END AS pmax,
     ['local', 'both', 'remote'][event_id % 3 + 1] AS scope, [NULL, 'ex', 'ey', 'hx'][event_id % 4 + 1] AS channel,
     ['time', 'polar', 'cluster'][event_id % 3 + 1] AS found_by
-  FROM events WHERE event_type = 'error' AND event_id % 7 = 0)"""
+  FROM events WHERE event_type = 'error')"""
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,13 +156,12 @@ def gaps_filled(spark, sf_dir):
     return out.select(*_S, "k", r6("x", "x"))
 
 
-@query("calibration_as_of", sql(SPANS, "SELECT s.site, s.run_id, CAST(s.a AS BIGINT) AS a, CAST(max(o.a) AS BIGINT) AS valid_from FROM spans s JOIN spans o ON s.site = o.site AND o.run_id % 5 = 0 AND o.a <= s.a GROUP BY s.site, s.run_id, s.a"))
+@query("calibration_as_of", sql(SPANS, "SELECT s.site, s.run_id, CAST(s.a AS BIGINT) AS a, CAST(coalesce(max(CASE WHEN o.a <= s.a THEN o.a END), min(o.a)) AS BIGINT) AS valid_from FROM spans s JOIN spans o ON s.site = o.site AND o.run_id % 5 = 0 GROUP BY s.site, s.run_id, s.a"))
 def calibration_as_of(spark, sf_dir):
-    """As-of join: the latest calibration at or before each run, by one pass over both in time order."""
-    s = spans(spark, sf_dir)
-    w = Window.partitionBy("site").orderBy("a").rangeBetween(Window.unboundedPreceding, 0)
-    both = s.withColumn("valid_from", F.max(F.when(F.col("run_id") % 5 == 0, F.col("a"))).over(w))
-    return both.where("valid_from is not null").select("site", "run_id", "a", "valid_from")
+    """As-of join: the latest calibration at or before each run, else its site's first; by one pass over both in blocks of time."""
+    s = spans(spark, sf_dir).select("site", "run_id", "a")
+    facts = s.where(F.col("run_id") % 5 == 0).select("site", F.col("a").alias("from"), F.col("a").alias("valid_from"))
+    return iv.as_of(s, facts, ["site"], "a", "from", "valid_from", earliest=True).where("valid_from is not null").select("site", "run_id", "a", "valid_from")
 
 
 @query("overlap_trim", sql(SPANS, "SELECT site, run_id, CAST(a AS BIGINT) AS a, CAST(greatest(0, coalesce(p, a) - a) AS BIGINT) AS trim, b <= coalesce(p, a) AS left_out FROM (SELECT *, max(b) OVER (PARTITION BY site ORDER BY a, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM spans)"))
@@ -184,9 +183,9 @@ def members_per_day(spark, sf_dir):
 def best_window(spark, sf_dir):
     """The longest run of days at nearly the largest member count (a top-1 report)."""
     n = members_per_day(spark, sf_dir)
-    top = n.agg(F.max("members").alias("top"))
-    best = n.join(F.broadcast(top)).where("members >= top - 2").withColumn("all", F.lit(1))
-    return iv.islands(best, ["all"], "day").orderBy(F.desc(F.col("b") - F.col("a")), "a").limit(1).select("a", "b")
+    top = n.agg(F.max("members")).first()[0] or 0  # one number
+    best = n.where(F.col("members") >= top - 2)
+    return iv.islands(best, [], "day", block=64).orderBy(F.desc(F.col("b") - F.col("a")), "a").limit(1)
 
 
 @query("mask_jaccard", sql(MASKS, "h AS (SELECT DISTINCT site, found_by, unnest(range(a, b)) AS k FROM masks)", "SELECT x.found_by AS one, y.found_by AS other, " + q6("sum(CASE WHEN x.found_by IS NOT NULL AND y.found_by IS NOT NULL THEN 1 ELSE 0 END)::DOUBLE / ((SELECT count(*) FROM h WHERE found_by = x.found_by) + (SELECT count(*) FROM h WHERE found_by = y.found_by) - count(*))", "jaccard") + " FROM h x JOIN h y ON x.site = y.site AND x.k = y.k AND x.found_by < y.found_by GROUP BY x.found_by, y.found_by"))

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terrawave.functions import cx
+from terrawave.operators import space
 from terrawave.plans.base import DAILY, HOURLY, LONG, PRODUCTS, daily, hourly, long_daily, products, q6, r6, sql, table
 from terrawave.plans.catalog import query
 
@@ -163,14 +164,14 @@ def block_reduction(spark, sf_dir):
     return g.where("n = 16").select("site", "channel", "block", r6("a", "mean"), r6("b", "least"), r6("c", "most"))
 
 
-@query("cycle_stack_subtracted", sql(LONG, "c AS (SELECT site, channel, k, x, k // 280 AS win, k % 7 AS phase FROM long_daily)", "m AS (SELECT site, channel, win, phase, median(x) AS med FROM c GROUP BY ALL)", "z AS (SELECT site, channel, win, median(med) AS mid FROM m GROUP BY ALL)", f"SELECT c.site, c.channel, CAST(c.k AS BIGINT) AS k, {q6('c.x - (m.med - z.mid)', 'x')} FROM c JOIN m ON c.site = m.site AND c.channel = m.channel AND c.win = m.win AND c.phase = m.phase JOIN z ON c.site = z.site AND c.channel = z.channel AND c.win = z.win"))
+@query("cycle_stack_subtracted", sql(LONG, "c AS (SELECT site, channel, k, x, k // 280 AS win, k % 7 AS phase FROM long_daily)", "w AS (SELECT site, channel, win, (max(k) - min(k) + 1) // 7 AS cycles FROM c GROUP BY ALL)", "m AS (SELECT site, channel, win, phase, median(x) AS med FROM c GROUP BY ALL)", "z AS (SELECT site, channel, win, median(med) AS mid FROM m GROUP BY ALL)", f"SELECT c.site, c.channel, CAST(c.k AS BIGINT) AS k, {q6('CASE WHEN w.cycles >= 5 THEN c.x - (m.med - z.mid) ELSE c.x END', 'x')} FROM c JOIN m ON c.site = m.site AND c.channel = m.channel AND c.win = m.win AND c.phase = m.phase JOIN z ON c.site = z.site AND c.channel = z.channel AND c.win = z.win JOIN w ON c.site = w.site AND c.channel = w.channel AND c.win = w.win"))
 def cycle_stack_subtracted(spark, sf_dir):
-    """A periodic disturbance removed: the median cycle of each window, less its own median."""
+    """A periodic disturbance removed: the median cycle of each window, less its own median; a window of fewer than five cycles stays."""
     c = long_daily(spark, sf_dir).withColumn("win", F.floor(F.col("k") / 280)).withColumn("phase", F.col("k") % 7)
-    m = c.groupBy("site", "channel", "win", "phase").agg(F.percentile("x", F.lit(0.5)).alias("med"))
-    z = m.groupBy("site", "channel", "win").agg(F.percentile("med", F.lit(0.5)).alias("mid"))
-    out = c.join(m, ["site", "channel", "win", "phase"]).join(z, ["site", "channel", "win"])
-    return out.select("site", "channel", "k", r6(F.col("x") - (F.col("med") - F.col("mid")), "x"))
+    m = c.groupBy("site", "channel", "win", "phase").agg(F.percentile("x", F.lit(0.5)).alias("med"), F.min("k").alias("lo"), F.max("k").alias("hi"))
+    z = m.groupBy("site", "channel", "win").agg(F.percentile("med", F.lit(0.5)).alias("mid"), F.expr("(max(hi) - min(lo) + 1) div 7").alias("cycles"))
+    out = c.join(m.drop("lo", "hi"), ["site", "channel", "win", "phase"]).join(z, ["site", "channel", "win"])
+    return out.select("site", "channel", "k", r6(F.when(F.col("cycles") >= 5, F.col("x") - (F.col("med") - F.col("mid"))).otherwise(F.col("x")), "x"))
 
 
 @query("lag_correlation", sql(DAILY, "l AS (SELECT unnest(range(-5, 6)) AS lag)", "c AS (SELECT a.site, l.lag, corr(a.hx, b.rx) AS r, count(*) AS n FROM daily a CROSS JOIN l JOIN daily b ON a.site = b.site AND b.k = a.k + l.lag GROUP BY a.site, l.lag)", f"SELECT site, CAST(lag AS INTEGER) AS lag, CAST(n AS BIGINT) AS n, {q6('r', 'r')} FROM c"))
@@ -201,12 +202,8 @@ def longest_sound_weeks(spark, sf_dir):
     return r.where("n = 1").select("site", "a", "b")
 
 
-@query("nearest_sites", sql("s AS (SELECT s_suppkey AS id, (s_suppkey * 37 % 120) - 60 + 0.25 AS lat, (s_suppkey * 53 % 300) - 150 + 0.5 AS lon FROM supplier)", "p AS (SELECT x.id, y.id AS other, 2 * 6371.0088 * asin(sqrt(pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2))) AS km FROM s x JOIN s y ON x.id <> y.id AND floor(x.lat / 10) = floor(y.lat / 10) AND floor(x.lon / 30) = floor(y.lon / 30))", f"SELECT CAST(id AS BIGINT) AS id, CAST(other AS BIGINT) AS other, {q6('km', 'km')} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), other) AS r FROM p) WHERE r <= 3"))
+@query("nearest_sites", sql("s AS (SELECT s_suppkey AS id, (s_suppkey * 37 % 120) - 60 + 0.25 AS lat, (s_suppkey * 53 % 300) - 150 + 0.5 AS lon FROM supplier)", "p AS (SELECT x.id, y.id AS other, 2 * 6371.0088 * asin(sqrt(pow(sin(radians(y.lat - x.lat) / 2), 2) + cos(radians(x.lat)) * cos(radians(y.lat)) * pow(sin(radians(y.lon - x.lon) / 2), 2))) AS km FROM s x JOIN s y ON x.id <> y.id)", f"SELECT CAST(id AS BIGINT) AS id, CAST(other AS BIGINT) AS other, {q6('km', 'km')} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(km, 6), other) AS r FROM p) WHERE r <= 3"))
 def nearest_sites(spark, sf_dir):
-    """The three nearest sites in the same cell of the map, by great-circle distance."""
+    """The three nearest sites of each site, by great-circle distance."""
     s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), (F.col("s_suppkey") * 37 % 120 - 60 + 0.25).alias("lat"), (F.col("s_suppkey") * 53 % 300 - 150 + 0.5).alias("lon"))
-    s = s.withColumn("row", F.floor(F.col("lat") / 10)).withColumn("column", F.floor(F.col("lon") / 30))
-    y = s.select("row", "column", F.col("id").alias("other"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    p = s.join(y, ["row", "column"]).where("id <> other").withColumn("km", cx.distance_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")))
-    r = F.row_number().over(Window.partitionBy("id").orderBy(F.round("km", 6), "other"))
-    return p.withColumn("r", r).where("r <= 3").select("id", "other", r6("km", "km"))
+    return space.nearest(s, 3).select("id", "other", r6("km", "km"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrawave.functions import cx
 from terrawave.operators import spectra
+from terrawave.operators.order import ranked
 from terrawave.plans.base import DAILY, HOURLY, LONG, MASKS, PRODUCTS, SPANS, daily, hourly, long_daily, masks, products, q6, r6, spans, sql, table
 from terrawave.plans.catalog import query
 from terrawave.plans.transfer import _spec_sql, spectrum
@@ -38,13 +39,13 @@ _RUNS = """f AS (SELECT site, a, b, a - lag(a) OVER (PARTITION BY site ORDER BY
 m AS (SELECT site, median(d) AS m FROM f GROUP BY site)"""
 
 
-@query("file_runs", sql(SPANS, _RUNS, "g AS (SELECT f.site, a, b, sum(CASE WHEN d <= m THEN 0 ELSE 1 END) OVER (PARTITION BY f.site ORDER BY i) AS run FROM f JOIN m ON f.site = m.site)", "SELECT site, CAST(run AS BIGINT) AS run, CAST(min(a) AS BIGINT) AS a, CAST(max(b) AS BIGINT) AS b, CAST(count(*) AS BIGINT) AS files FROM g GROUP BY site, run"))
+@query("file_runs", sql(SPANS, _RUNS, "g AS (SELECT f.site, a, b, sum(CASE WHEN d = m THEN 0 ELSE 1 END) OVER (PARTITION BY f.site ORDER BY i) AS run FROM f JOIN m ON f.site = m.site)", "SELECT site, CAST(run AS BIGINT) AS run, CAST(min(a) AS BIGINT) AS a, CAST(max(b) AS BIGINT) AS b, CAST(count(*) AS BIGINT) AS files FROM g GROUP BY site, run"))
 def file_runs(spark, sf_dir):
-    """Files grouped into runs: a step up to the site's median spacing goes on, a longer one begins a run."""
+    """Files grouped into runs: a step of the site's median spacing goes on, any other begins a run."""
     w = Window.partitionBy("site").orderBy("a", "run_id")
     f = spans(spark, sf_dir).withColumn("d", F.col("a") - F.lag("a").over(w)).withColumn("i", F.row_number().over(w))
     m = f.groupBy("site").agg(F.percentile("d", F.lit(0.5)).alias("m"))
-    new = F.when(F.col("d") <= F.col("m"), 0).otherwise(1)
+    new = F.when(F.col("d") == F.col("m"), 0).otherwise(1)
     g = f.join(m, "site").withColumn("run", F.sum(new).over(Window.partitionBy("site").orderBy("i")))
     return g.groupBy("site", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("files"))
 
@@ -140,7 +141,7 @@ def gauge_rank(spark, sf_dir):
     e = edges(spark, sf_dir)
     both = e.select(F.col("one").alias("site"), F.col("other").alias("p"), "n").unionByName(e.select(F.col("other").alias("site"), F.col("one").alias("p"), "n"))
     g = both.groupBy("site").agg(F.sum("n").alias("equations"), F.countDistinct("p").alias("partners"))
-    return g.withColumn("place", F.row_number().over(Window.orderBy(F.desc("equations"), F.desc("partners"), "site")).cast("long"))
+    return ranked(g, [F.desc("equations"), F.desc("partners"), F.asc("site")], "place")
 
 
 @query("circular_band_reading", sql(_EDGES, f"SELECT CAST(one AS BIGINT) AS site, CAST(sum(n) AS BIGINT) AS n, {q6('degrees(atan2(sum(n * sin(radians(2 * psi))), sum(n * cos(radians(2 * psi))))) / 2', 'psi')} FROM edges GROUP BY one"))

@@ -105,7 +105,7 @@ ps AS (SELECT *, {", ".join(f"h * {n} - (h - 1) * o_{n} AS p_{n}" for n in _ZS)}
 ms AS (SELECT site, band, {", ".join(f"sum(p_{n} / h) AS m_{n}" for n in _ZS)} FROM ps GROUP BY site, band)"""
 
 
-@query("jackknife_errors", sql(DAILY, _BANDS, _spec_sql(CHANNELS), _GROUPS, _SUM_G, _JACK, "SELECT p.site, CAST(p.band AS INTEGER) AS band, CAST(max(tg) AS BIGINT) AS groups, " + ", ".join(q6(f"max({n})", n) for n in _ZS) + ", " + ", ".join(q6(f"sqrt(sum((pow(p_z{e}_re - m_z{e}_re, 2) + pow(p_z{e}_im - m_z{e}_im, 2)) / nullif(h - 1, 0)) / max(tg) / 2)", f"z{e}_err") for e in estimate.ELEMENTS) + " FROM ps p JOIN ms m ON p.site = m.site AND p.band = m.band GROUP BY p.site, p.band"))
+@query("jackknife_errors", sql(DAILY, _BANDS, _spec_sql(CHANNELS), _GROUPS, _SUM_G, _JACK, "SELECT p.site, CAST(p.band AS INTEGER) AS band, CAST(max(tg) AS BIGINT) AS groups, " + ", ".join(q6(f"max({n})", n) for n in _ZS) + ", " + ", ".join(q6(f"CASE WHEN max(tg) >= 5 THEN sqrt(sum((pow(p_z{e}_re - m_z{e}_re, 2) + pow(p_z{e}_im - m_z{e}_im, 2)) / nullif(h - 1, 0)) / max(tg)) END", f"z{e}_err") for e in estimate.ELEMENTS) + " FROM ps p JOIN ms m ON p.site = m.site AND p.band = m.band GROUP BY p.site, p.band"))
 def jackknife_errors(spark, sf_dir):
     """Impedance with grouped jackknife errors."""
     spec = spectrum(spark, sf_dir).withColumn("grp", F.floor(F.col("w") / 4))

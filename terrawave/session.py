@@ -29,6 +29,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or in a local test a new temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-")
