@@ -57,12 +57,42 @@ def _collected(rows: DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(got), np.float32).reshape(-1, FEATURES).astype(np.float64)
 
 
-def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
-    """Share of positives among the unlabelled, from scores of both: the least ratio of their shares above a cut, with room for sampling error."""
-    cuts = np.quantile(positive, np.linspace(0.02, 0.9, 45))
-    p = (positive[:, None] >= cuts).mean(axis=0)
-    u = (unlabelled[:, None] >= cuts).mean(axis=0)
-    slack = np.sqrt(np.log(20) / (2 * len(positive))) + np.sqrt(np.log(20) / (2 * len(unlabelled)))
+def _added(rows: DataFrame, of, size: int) -> np.ndarray:
+    """The sum over all rows(text) of of(features [rows, FEATURES]), an array of `size` numbers: a task passes on one partial sum."""
+
+    def run(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for s in slices(texts):
+                total += of(np.stack([features(t) for t in texts[s]]).astype(np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array([i for i in range(size)], pa.int32()), pa.array(total)], ["i", "v"])
+
+    sums = rows.select(F.col("text").cast("string")).mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()  # `size` rows
+    out = np.zeros(size)
+    for r in sums:
+        out[r["i"]] = r["v"]
+    return out
+
+
+def moments(docs: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of documents, and the mean and scale of each feature over all of them."""
+    got = _added(docs, lambda x: np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)]), 1 + 2 * FEATURES)
+    n, first, second = max(got[0], 1.0), got[1 : 1 + FEATURES], got[1 + FEATURES :]
+    mean = first / n
+    scale = np.sqrt(np.maximum(second / n - mean**2, 0))
+    return int(got[0]), mean, np.where(scale > 1e-6, scale, 1.0)
+
+
+def cuts_of(positive: np.ndarray) -> np.ndarray:
+    return np.quantile(positive, np.linspace(0.02, 0.9, 45))
+
+
+def class_prior(positive: np.ndarray, above: np.ndarray, n: int) -> float:
+    """Share of positives among n unlabelled documents, from positives' scores and the number of documents at or above each of their cuts: the least ratio of the shares, with room for sampling error."""
+    p = (positive[:, None] >= cuts_of(positive)).mean(axis=0)
+    u = above / max(n, 1)
+    slack = np.sqrt(np.log(20) / (2 * len(positive))) + np.sqrt(np.log(20) / (2 * max(n, 1)))
     best = int(np.argmin((u + slack) / p))
     return float(np.clip(u[best] / p[best], 0.05, 0.98))
 
@@ -86,17 +116,18 @@ def non_negative_risk(p: np.ndarray, u: np.ndarray, prior: float, rounds: int =
 
 
 def train(docs: DataFrame, positives: DataFrame) -> dict:
-    """A model from docs(doc_id, text), all of them unlabelled, and positives(doc_id). Without positives or documents every score is 0.5."""
+    """A model from docs(doc_id, text), all of them unlabelled, and positives(doc_id). Means, scales and the class prior are of all documents; only the risk's steps are taken on bounded samples. Without positives or documents every score is 0.5."""
     chosen = sample(positives.select("doc_id").dropDuplicates(), POSITIVES)
     p = _collected(docs.join(F.broadcast(chosen), "doc_id", "left_semi"))
     u = _collected(sample(docs.select("doc_id", "text"), UNLABELLED, seed=11))
     if not len(p) or not len(u):
         return {"mean": np.zeros(FEATURES), "scale": np.ones(FEATURES), "w": np.zeros(FEATURES), "b": 0.0, "prior": 0.5}
-    mean, scale = u.mean(axis=0), u.std(axis=0)
-    scale = np.where(scale > 1e-6, scale, 1.0)
+    n, mean, scale = moments(docs)
     p, u = (np.clip((x - mean) / scale, -8, 8) for x in (p, u))
     w, b = logistic(np.concatenate([p, u]), np.concatenate([np.ones(len(p)), np.zeros(len(u))]), l2=1e-3, rounds=300)
-    prior = class_prior(p @ w + b, u @ w + b)
+    at = cuts_of(p @ w + b)
+    above = _added(docs, lambda x: (np.clip((x - mean) / scale, -8, 8) @ w + b >= at[:, None]).sum(axis=1).astype(np.float64), len(at))
+    prior = class_prior(p @ w + b, above, n)
     w, b = non_negative_risk(p, u, prior)
     return {"mean": mean, "scale": scale, "w": w, "b": b, "prior": prior}
 

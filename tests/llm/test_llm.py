@@ -447,3 +447,23 @@ def test_mixing(spark, docs, empty):
 def test_fold(spark):
     rows = spark.range(200).select("id", folds.fold(F.col("id"), 4).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 4 for r in rows)
+
+
+def test_quality_statistics_are_of_all_documents(spark):
+    """Moments and class prior over all rows against plain loops, and no positives."""
+    r = random.Random(8)
+    texts = [_text(r, r.randint(1, 60)) for _ in range(80)] + [None, "", "x" * 200_000, texts_of_one_kind(r)]
+    docs = spark.createDataFrame([(i, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, score string").repartition(5)
+    x = np.stack([quality.features(t) for t in texts]).astype(np.float64)
+    n, mean, scale = quality.moments(docs)
+    assert n == len(texts) and np.allclose(mean, x.mean(axis=0)) and np.allclose(scale, np.where(x.std(axis=0) > 1e-6, x.std(axis=0), 1.0), atol=1e-6)
+    positive = np.linspace(0, 1, 50)
+    everything = np.concatenate([positive, -np.ones(50)])
+    prior = quality.class_prior(positive, (everything[:, None] >= quality.cuts_of(positive)).sum(axis=0), 100)
+    assert abs(prior - 0.5) < 0.03
+    model = quality.train(docs, docs.select("doc_id").limit(0))
+    assert {r["score"] for r in quality.score(docs, model).collect()} == {0.5}
+
+
+def texts_of_one_kind(r):
+    return "\n".join([_text(r, 5)] * 20)
