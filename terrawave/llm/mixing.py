@@ -44,13 +44,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP
     return rows.select("source", "n_docs", "source_size", "target")
 
 
-def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix") -> DataFrame:
-    """doc (a struct of all columns of docs), size, source_size, target, copies for each row of docs.
+def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", size_col: str | None = None) -> DataFrame:
+    """doc (a struct of all columns of docs), size, source_size, target, copies for each row of docs. Words are counted, unless size_col names a column that has their number; then no text is needed.
 
     A null text has no words; a null source is a source of its own. Rows that share an id share their random number; rows that tie in all ways are alike, so any order serves.
     """
     u = (F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.col("doc")[id_col].cast("string"))), 1, 12), 16, 10).cast("double") + 0.5) / 2.0**48
-    rows = docs.select(F.struct("*").alias("doc")).select("doc", F.col("doc")[id_col].alias("_id"), F.coalesce(u, F.lit(0.5)).alias("_u"), words_in(F.col("doc")[text_col]).alias("size"), F.col("doc")[source_col].cast("string").alias("source"))
+    rows = docs.select(F.struct("*").alias("doc")).select("doc", F.col("doc")[id_col].alias("_id"), F.coalesce(u, F.lit(0.5)).alias("_u"), (F.col("doc")[size_col].cast("long") if size_col else words_in(F.col("doc")[text_col])).alias("size"), F.col("doc")[source_col].cast("string").alias("source"))
     sizes = rows.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("size").alias("source_size"))
     plan = stash(targets(sizes), "targets").withColumnRenamed("source", "_source")
     rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -74,6 +74,11 @@ def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     return sure.unionByName(edge).select("doc", "size", "source_size", "target", (F.col("_whole") + F.col("_more").cast("int")).cast("int").alias("copies"))
 
 
+def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """id, source and number of words of each row, written once: all that an allocation needs."""
+    return stash(docs.select(id_col, source_col, words_in(F.col(text_col)).alias("_words")), "words")
+
+
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The columns of docs, each row as often as the mix takes it."""
     return allocate(docs, **options).where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

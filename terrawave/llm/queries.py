@@ -90,7 +90,7 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
-    rows = mixing.allocate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    rows = mixing.allocate(mixing.counted(table(spark, sf_dir, "documents")), size_col="_words")
     return rows.select("doc.doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
 
 

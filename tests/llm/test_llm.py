@@ -467,3 +467,10 @@ def test_quality_statistics_are_of_all_documents(spark):
 
 def texts_of_one_kind(r):
     return "\n".join([_text(r, 5)] * 20)
+
+
+def test_mixing_from_counted_words(spark, docs):
+    """Words counted first give the same copies, very long texts included."""
+    whole = Counter((r["doc"]["doc_id"], r["size"], r["copies"]) for r in mixing.allocate(docs).collect())
+    first = Counter((r["doc"]["doc_id"], r["size"], r["copies"]) for r in mixing.allocate(mixing.counted(docs), size_col="_words").collect())
+    assert whole == first and max(n for _, n, _ in whole) == 30_000
