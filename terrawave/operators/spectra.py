@@ -35,8 +35,26 @@ def hann(n: int) -> np.ndarray:
     return 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(n) / n)
 
 
-def spectra(wins: DataFrame, keys: list[str], channels: list[str], first: int, last: int, taper: np.ndarray | None = None) -> DataFrame:
-    """keys, w, h and re, im of each channel: transforms of windows less their means, tapered, for harmonics first..last."""
+def taper(name: str, n: int) -> np.ndarray:
+    """hann, hamming, boxcar, or dpss (the first Slepian sequence of time-bandwidth product 3, of unit peak)."""
+    t = np.arange(n)
+    if name == "dpss":
+        w = 3 / n
+        off = (t[1:] * (n - t[1:])) / 2
+        matrix = np.diag(((n - 1 - 2 * t) / 2) ** 2 * np.cos(2 * np.pi * w)) + np.diag(off, 1) + np.diag(off, -1)
+        v = np.abs(np.linalg.eigh(matrix)[1][:, -1])
+        return v / v.max()
+    return {"hann": hann(n), "hamming": 0.54 - 0.46 * np.cos(2 * np.pi * t / n), "boxcar": np.ones(n)}[name]
+
+
+def hop_of(win: int, rate: float, half: bool = False) -> int:
+    """Samples from a window to the next: windows overlap by a quarter, by three quarters if longer than 600 s, or by half if asked for."""
+    share = 0.5 if half else 0.25 if win / rate > 600 else 0.75
+    return max(1, round(win * share))
+
+
+def spectra(wins: DataFrame, keys: list[str], channels: list[str], first: int, last: int, taper: np.ndarray | None = None, whiten: bool = False) -> DataFrame:
+    """keys, w, h and re, im of each channel: transforms of windows less their means, tapered, for harmonics first..last (from 1). Whitened, first differences are transformed and the difference's response is divided out."""
     fields = ", ".join(f"{wins.schema[k].name} {wins.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{fields}, w long, h int, " + ", ".join(f"{c}_re double, {c}_im double" for c in channels)
 
@@ -50,7 +68,10 @@ def spectra(wins: DataFrame, keys: list[str], channels: list[str], first: int, l
             for c in channels:
                 x = batch.column(batch.schema.get_field_index(c)).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
                 t = hann(x.shape[1]) if taper is None else taper
-                s = np.fft.rfft((x - x.mean(axis=1, keepdims=True)) * t, axis=1)[:, first : last + 1].ravel()
+                if whiten:
+                    x = np.diff(x, axis=1, append=x[:, -1:])
+                s = np.fft.rfft((x - x.mean(axis=1, keepdims=True)) * t, axis=1)[:, first : last + 1]
+                s = (s / (np.exp(2j * np.pi * h / x.shape[1]) - 1) if whiten else s).ravel()
                 columns += [pa.array(s.real), pa.array(s.imag)]
             rows = pa.array(np.repeat(np.arange(n), len(h)))
             front = [batch.column(i).take(rows) for i in range(len(keys) + 1)]

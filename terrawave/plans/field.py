@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrawave.operators import choosing, corrections, filters, graph, levels, masking, robust, runs
+from terrawave.functions import names
+from terrawave.operators import choosing, corrections, filters, graph, levels, masking, robust, runs, tables
 from terrawave.plans.base import CHANNELS, SPANS, q6, r6, spans, sql, table
 from terrawave.plans.catalog import query
 from terrawave.plans.transfer import spectrum
@@ -370,3 +371,72 @@ def huber_impedance(spark, sf_dir):
         one = robust.huber(spec, ["site", "h"], e, ("hx", "hy"), ("rx", "ry"), rounds=6).withColumn("output", F.lit(e))
         out = one if out is None else out.unionByName(one)
     return out.select("site", "h", "output", "n", *(r6(c, c) for c in ("b1_re", "b1_im", "b2_re", "b2_im")))
+
+
+@query("gains_applied", sql(SAMPLES, f"SELECT site, channel, k, {q6("CASE WHEN site % 3 = 1 AND channel = 'hx' THEN x / (1 + site % 4) ELSE x END", 'x')} FROM samples"))
+def gains_applied(spark, sf_dir):
+    """Samples over the gains of their channels; a gain of zero counts for none."""
+    rows = samples(spark, sf_dir)
+    sites = rows.select("site").distinct()
+    gains = sites.where("site % 3 = 1").select("site", F.lit("hx").alias("channel"), (1.0 + F.col("site") % 4).alias("gain")).unionByName(sites.where("site % 3 = 2").select("site", F.lit("hy").alias("channel"), F.lit(0.0).alias("gain")))
+    return tables.gained(rows, gains).select(F.col("site").cast("long").alias("site"), "channel", "k", r6("x", "x"))
+
+
+@query("positions_filled", sql("s AS (SELECT CAST(s_suppkey AS BIGINT) AS site, s_nationkey, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS lat FROM supplier)", "f AS (SELECT n_nationkey AS k, avg(c_acctbal) AS lat FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1)", f"SELECT site, {q6('coalesce(s.lat, f.lat)', 'lat')} FROM s LEFT JOIN f ON s_nationkey = k"))
+def positions_filled(spark, sf_dir):
+    """Positions of sites filled from a table where the site has none."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("site"), F.col("s_nationkey").alias("nation"), F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("lat"))
+    facts = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.avg("c_acctbal").alias("lat"))
+    return tables.filled(s, facts, ["nation"], ["lat"]).select("site", r6("lat", "lat"))
+
+
+@query("stale_products", sql("p AS (SELECT o_orderkey AS id, o_custkey % 3 AS win, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END AS taper FROM orders)", "n AS (SELECT l_orderkey AS id, min(l_linenumber) % 3 AS win, CASE WHEN l_orderkey % 4 = 0 THEN '1-URGENT' END AS taper FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 5 <> 0)", "SELECT CAST(p.id AS BIGINT) AS id, CASE WHEN n.id IS NULL THEN 'missing' WHEN p.win IS DISTINCT FROM n.win THEN 'win' WHEN p.taper IS DISTINCT FROM n.taper THEN 'taper' END AS changed FROM p LEFT JOIN n ON p.id = n.id"))
+def stale_products(spark, sf_dir):
+    """Products whose settings are no longer those in force, with the first that differs."""
+    p = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"), (F.col("o_custkey") % 3).cast("long").alias("win"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("taper"))
+    n = table(spark, sf_dir, "lineitem").where("l_orderkey % 5 <> 0").groupBy(F.col("l_orderkey").cast("long").alias("id")).agg((F.min("l_linenumber") % 3).cast("long").alias("win")).withColumn("taper", F.when(F.col("id") % 4 == 0, "1-URGENT"))
+    return tables.stale(p, n, ["id"], ["win", "taper"]).select("id", "changed")
+
+
+@query("usable_ranges", sql(SAMPLES, "f AS (SELECT site, k FROM samples GROUP BY 1, 2 HAVING max(x) > 30)", "g AS (SELECT site, k, k - row_number() OVER (PARTITION BY site ORDER BY k) AS g FROM f)", "r AS (SELECT site, min(k) AS a, max(k) + 1 AS b FROM g GROUP BY site, g)", "SELECT site, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY b - a DESC, a) AS i FROM r) WHERE i = 1"))
+def usable_ranges(spark, sf_dir):
+    """The longest stretch of each site that is fit for use."""
+    rows = samples(spark, sf_dir).groupBy("site", "k").agg(F.max("x").alias("x"))
+    return tables.longest_run(rows, ["site"], F.col("x") > 30).select(F.col("site").cast("long").alias("site"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+
+
+@query("stack_medians", sql(VECTORS, f"SELECT k, count(hx) AS members, {q6('median(hx)', 'hx')}, {q6('median(hy)', 'hy')} FROM vectors GROUP BY k HAVING count(hx) >= 2"))
+def stack_medians(spark, sf_dir):
+    """Median of the members of a stack, parts apart, where two or more are there."""
+    out = tables.marginal_median(vectors(spark, sf_dir), ["k"], ["hx", "hy"], 2)
+    return out.select(F.col("k").cast("long").alias("k"), "members", r6("hx", "hx"), r6("hy", "hy"))
+
+
+@query("sound_weeks", sql(VECTORS, "w AS (SELECT site, k // 7 AS week, avg(hx) AS f FROM vectors GROUP BY 1, 2)", "SELECT site, count(*) AS weeks, count(*) FILTER (round(f, 6) BETWEEN 20 AND 60) AS sound, CAST(min(week) FILTER (round(f, 6) BETWEEN 20 AND 60) AS BIGINT) AS first, CAST(max(week) FILTER (round(f, 6) BETWEEN 20 AND 60) AS BIGINT) AS last FROM w GROUP BY site"))
+def sound_weeks(spark, sf_dir):
+    """Weeks of each site, sound and in all."""
+    w = vectors(spark, sf_dir).groupBy("site", F.floor(F.col("k") / 7).alias("week")).agg(F.avg("hx").alias("f"))
+    out = tables.sound_summary(w, ["site"], F.round("f", 6).between(20, 60))
+    return out.select(F.col("site").cast("long").alias("site"), "weeks", "sound", "first", "last")
+
+
+@query("azimuth_spreads", sql(VECTORS, "h AS (SELECT site, k // 30 AS hour, median(hx) AS x, median(hy) AS y FROM vectors GROUP BY 1, 2)", "m AS (SELECT site, atan2(avg(y), avg(x)) AS m FROM h GROUP BY site)", "t AS (SELECT h.site, degrees(atan2(y, x) - m) + 180.0 AS d FROM h JOIN m ON h.site = m.site)", "u AS (SELECT site, d - 360.0 * floor(d / 360.0) - 180.0 AS t FROM t)", f"SELECT site, count(*) AS hours, {q6('quantile_cont(t, 0.95) - quantile_cont(t, 0.05)', 'spread')} FROM u GROUP BY site"))
+def azimuth_spreads(spark, sf_dir):
+    """Spread of the direction of monthly medians."""
+    out = tables.azimuth_spread(vectors(spark, sf_dir), ["site"], F.floor(F.col("k") / 30))
+    return out.select(F.col("site").cast("long").alias("site"), "hours", r6("spread", "spread"))
+
+
+@query("lattices_merged", sql("p AS (SELECT CAST(l_suppkey AS BIGINT) AS site, l_quantity * (1 + (l_linenumber % 3) * 4e-10) AS period FROM lineitem)", "g AS (SELECT *, CASE WHEN period / lag(period) OVER (PARTITION BY site ORDER BY period) - 1 <= 1e-9 THEN 0 ELSE 1 END AS n FROM p)", f"SELECT site, {q6('min(period)', 'period')}, count(*) AS n FROM (SELECT *, sum(n) OVER (PARTITION BY site ORDER BY period ROWS UNBOUNDED PRECEDING) AS r FROM g) GROUP BY site, r"))
+def lattices_merged(spark, sf_dir):
+    """Periods of each site that differ by rounding alone made one."""
+    p = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("long").alias("site"), (F.col("l_quantity") * (1 + (F.col("l_linenumber") % 3) * 4e-10)).alias("period"))
+    return tables.merged_lattice(p, ["site"]).select("site", r6("period", "period"), "n")
+
+
+@query("local_diurnal", sql("e AS (SELECT user_id, CAST((epoch_us(ts) // 3600000000 + 3) % 24 AS INTEGER) AS hour, value FROM events)", "s AS (SELECT user_id, hour, median(value) AS m FROM e GROUP BY 1, 2)", f"SELECT hour, count(*) AS sites, {q6('median(m)', 'level')} FROM s GROUP BY hour"))
+def local_diurnal(spark, sf_dir):
+    """Median over sites of their medians by hour of a local clock."""
+    e = table(spark, sf_dir, "events").select("user_id", names.local_hour(F.col("ts").cast("timestamp"), "Africa/Nairobi").alias("hour"), "value")
+    s = e.groupBy("user_id", "hour").agg(F.percentile("value", F.lit(0.5)).alias("m"))
+    return s.groupBy("hour").agg(F.count("*").alias("sites"), r6(F.percentile("m", F.lit(0.5)), "level"))

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrawave.operators import filters, graph, masking, order, robust, runs, space
+from terrawave.functions import names
+from terrawave.operators import filters, graph, masking, order, robust, runs, space, spectra
 from terrawave.operators import intervals as iv
 
 
@@ -132,3 +133,24 @@ def test_masks_that_are_not_fit(spark):
     out = masking.normalised(spark.createDataFrame(rows, "site string, a long, b long, pmin double, pmax double, scope string, channels array<string>")).collect()
     assert [r["refused"] for r in out] == [None, "ends before it starts", "no time", "no site", "half a band", "band upside down", "unknown scope"]
     assert out[0]["scope"] == "both" and out[1]["channels"] == ["ex"] and out[2]["channels"] is None
+
+
+def test_tapers_hops_and_whitening(spark):
+    for name in ("hann", "hamming", "boxcar", "dpss"):
+        t = spectra.taper(name, 64)
+        assert len(t) == 64 and abs(t.max() - 1) < 0.01 and t.min() >= -1e-12
+    assert np.allclose(spectra.taper("dpss", 64), spectra.taper("dpss", 64)[::-1])
+    assert (spectra.hop_of(128, 1.0), spectra.hop_of(1024, 1.0), spectra.hop_of(128, 1.0, half=True)) == (96, 256, 64)
+    n = 64
+    x = np.cos(2 * np.pi * 5 * np.arange(n) / n)
+    rows = spark.createDataFrame([("s", k, float(v)) for k, v in enumerate(x)], "site string, k long, x double")
+    wins = spectra.windows(rows, ["site"], ["x"], n, n)
+    plain, white = ({r["h"]: complex(r["x_re"], r["x_im"]) for r in spectra.spectra(wins, ["site"], ["x"], 4, 6, taper=np.ones(n), whiten=w).collect()} for w in (False, True))
+    assert abs(plain[5] - n / 2) < 1e-9 and abs(white[5] - plain[5]) < 0.1 * n
+
+
+def test_names_and_clocks(spark):
+    row = spark.range(1).select(names.gps_to_utc(F.lit(1_200_000_000).cast("long")).alias("utc"), names.gps_to_utc(F.lit(0).cast("long")).alias("zero"), names.note_values(F.lit("Gain: 2; dc level : 3:4;; gain: 5; junk")).alias("note"), *(c.alias(n) for n, c in zip("abcd", names.product_stem(F.lit("C18_rr-C19_20200102T0304_m1")), strict=True)), names.product_stem(F.lit("other"))[0].alias("none")).first()
+    assert row["utc"] == 1_200_000_000 + 315964800 - 18 and row["zero"] == 315964800
+    assert row["note"] == {"gain": "5", "dc level": "3:4"}
+    assert (row["a"], row["b"], row["c"], row["d"], row["none"]) == ("C18", "C19", "20200102T0304", "m1", None)
