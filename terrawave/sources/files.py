@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from terrawave.functions import cx
+from terrawave.session import small
+
 # Fields of a LEMI-424 line after its six time fields, and the bytes of a B423 file.
 LEMI_CHANNELS = {"hx": 6, "hy": 7, "hz": 8, "ex": 11, "ey": 12}
 LEMI_WIDTHS = (16, 24)
@@ -36,12 +39,19 @@ def lemi424(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def pr6_24(spark: SparkSession, path: str) -> DataFrame:
-    """Samples (station, stamp, channel, k, x): one integer a line, files named station, YYMMDDhhmmss and channel."""
+    """Samples (station, stamp, channel, k, x): one integer a line, files named station, YYMMDDhhmmss and channel. A line without an integer is a missing sample; blank lines are none.
+
+    Files are read by lines, in splits; a split's lines are numbered from the number of lines in the file's splits before it.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).where(F.trim("value") != "")
+    lines = lines.withColumn("n", F.monotonically_increasing_id())  # in the order of a split
+    before = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    starts = lines.groupBy("file", "at").agg(F.count("*").alias("held")).select("file", "at", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("first"))
+    rows = lines.withColumn("k", F.row_number().over(Window.partitionBy("file", "at").orderBy("n")) - 1).join(starts, ["file", "at"])
     name = F.regexp_extract("file", r"([^/]+)$", 1)
-    rows = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file")).withColumn("name", name)
     channel = F.create_map(*(F.lit(x) for kv in {"BX": "hx", "BY": "hy", "BZ": "hz", "EX": "ex", "EY": "ey"}.items() for x in kv))
-    rows = rows.select(F.regexp_extract("name", r"^(.*?)(\d{12})\.", 1).alias("station"), F.to_timestamp(F.regexp_extract("name", r"(\d{12})\.", 1), "yyMMddHHmmss").alias("stamp"), channel[F.upper(F.regexp_extract("name", r"\.(\w+)$", 1))].alias("channel"), F.posexplode(F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")).alias("k", "x"))
-    return rows.select("station", "stamp", "channel", F.col("k").cast("long").alias("k"), F.expr("try_cast(x as int)").alias("x"))
+    stamp = F.try_to_timestamp(F.regexp_extract(name, r"(\d{12})\.", 1), F.lit("yyMMddHHmmss"))
+    return rows.select(F.regexp_extract(name, r"^(.*?)(\d{12})\.", 1).alias("station"), stamp.alias("stamp"), channel[F.upper(F.regexp_extract(name, r"\.(\w+)$", 1))].alias("channel"), (F.col("first") + F.col("k")).cast("long").alias("k"), F.expr("try_cast(trim(value) as int)").alias("x"))
 
 
 def b423(spark: SparkSession, path: str) -> DataFrame:
@@ -70,13 +80,27 @@ def unreadable(records: DataFrame, files: DataFrame, rate: float, least_share: f
     return files.join(held, "file", "left").where(share < least_share).select("file", F.when(F.col("n").isNull(), "no record").otherwise("short").alias("reason"))
 
 
+def _iaga_header(lines: DataFrame, name: str) -> DataFrame:
+    """file and the text of a header line, by the beginning of its name."""
+    return lines.where(F.col("value").rlike(rf"(?i)^ *{name}")).groupBy("file").agg(F.first(F.trim(F.regexp_replace(F.substring("value", 24, 46), r"\|", ""))).alias("text"))
+
+
 def iaga2002(spark: SparkSession, path: str) -> DataFrame:
-    """Rows (code, t, x, y, z, f) of observatory day files; values of 88888 and more are missing, times go down to the second."""
+    """Rows (code, t, x, y, z, f) of observatory day files; values of 88888 and more, and fields that are no numbers, are missing; times go down to the second. Lines without a time are left out."""
+    lines = _text(spark, path)
+    code = _iaga_header(lines, "IAGA CODE").select("file", F.col("text").alias("code"))
+    rows = lines.where(F.col("value").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d")).withColumn("p", F.split(F.trim("value"), r"\s+"))
+    value = {c: F.expr(f"try_cast(get(p, {i + 3}) as double)") for i, c in enumerate("xyzf")}
+    time = F.date_trunc("second", F.try_to_timestamp(F.concat_ws(" ", F.col("p")[0], F.col("p")[1])))
+    rows = rows.select("file", time.alias("t"), *(F.when(F.abs(v) < MISSING_AT, v).alias(c) for c, v in value.items())).where("t is not null")
+    return rows.join(small(code), "file").select("code", "t", "x", "y", "z", "f")
+
+
+def iaga2002_positions(spark: SparkSession, path: str) -> DataFrame:
+    """file, lat, lon of the headers of observatory day files, degrees, longitudes from -180 to 180; null where a header has no number."""
     lines = _text(spark, path)
-    code = lines.where(F.col("value").rlike(r"^ *IAGA C(ODE|ode)")).select("file", F.trim(F.regexp_replace(F.substring("value", 24, 46), r"\|", "")).alias("code"))
-    p = F.split(F.trim("value"), r"\s+")
-    rows = lines.where(F.col("value").rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d")).select("file", F.date_trunc("second", F.to_timestamp(F.concat_ws(" ", p[0], p[1]))).alias("t"), *(F.when(F.abs(p[i + 3].cast("double")) < MISSING_AT, p[i + 3].cast("double")).alias(c) for i, c in enumerate("xyzf")))
-    return rows.join(F.broadcast(code), "file").select("code", "t", "x", "y", "z", "f")  # a row for each file
+    lat, lon = (_iaga_header(lines, f"GEODETIC {name}").select("file", F.expr("try_cast(text as double)").alias(c)) for name, c in (("LATITUDE", "lat"), ("LONGITUDE", "lon")))
+    return lat.join(lon, "file", "full").select("file", "lat", cx.to_180(F.col("lon")).alias("lon"))
 
 
 def observatory(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:

@@ -61,3 +61,22 @@ def test_observatory(spark, tmp_path):
     pd.DataFrame({"DateTime": pd.to_datetime(["2020-01-01", "2020-01-02", "2020-01-03"]), "BX": [1.0, 2, 3], "BY": 0.0, "BZ": 0.0, "F": 0.0, "pub": "q"}).to_parquet(tmp_path / "o.parquet", coerce_timestamps="us")
     rows = files.observatory(spark, str(tmp_path / "o.parquet"), pd.Timestamp("2020-01-02").to_pydatetime(), pd.Timestamp("2020-01-03").to_pydatetime())
     assert [r["x"] for r in rows.collect()] == [2.0]
+
+
+def test_pr6_24_in_splits(spark, tmp_path):
+    (tmp_path / "AB200102030405.BX").write_text("\n".join(map(str, range(5000))) + "\n\nbad\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        rows = files.pr6_24(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r["k"]: r["x"] for r in rows} == {i: i for i in range(5000)} | {5000: None} and len(rows) == 5001
+    assert {(r["station"], r["channel"], str(r["stamp"])) for r in rows} == {("AB", "hx", "2020-01-02 03:04:05")}
+
+
+def test_iaga2002_bad_fields_and_positions(spark, tmp_path):
+    head = [f" {k:<23}{v:<44} |"[:70] for k, v in (("Format", "IAGA-2002"), ("IAGA Code", "ABC"), ("Geodetic Latitude", "-12.5"), ("Geodetic Longitude", "290.25"))]
+    (tmp_path / "a.sec").write_text("\n".join([*head, "2020-01-02 00:00:00.000 002 1.00 x 3.00", "2020-13-02 00:00:01.000 002 1 2 3 4"]))
+    rows = files.iaga2002(spark, str(tmp_path)).collect()
+    assert [(r["x"], r["y"], r["z"], r["f"]) for r in rows] == [(1.0, None, 3.0, None)]
+    assert [(r["lat"], r["lon"]) for r in files.iaga2002_positions(spark, str(tmp_path)).collect()] == [(-12.5, -69.75)]
