@@ -10,8 +10,8 @@ meets in no band with a probability of (1 - 0.75^6)^64 = 4e-6. The share of equa
 that agree by collision, estimates the similarity; pairs far below the threshold go, and all others are verified on
 the full sets. Thus no link rests on a sketch.
 
-Documents of one set are one node. In a band's bucket every member is compared with one centre (its least id) first;
-then only members of different components are compared with each other, and of those only pairs that share rare enough
+Documents of one set are one node. In a band's bucket every member is compared with one centre (its least id) first, and
+those that this leaves apart with up to CENTRES more; then only members of different components are compared with each other, and of those only pairs that share rare enough
 shingles which the centre lacks, or whose sizes allow a link through the centre's shingles alone. This leaves few pairs
 of a large group of near copies, and loses no link.
 """
@@ -33,6 +33,7 @@ BITS = 2  # of each register, for a first look at a pair
 ROUNDS = 20  # of shared registers; what is empty then is filled by a round of its own for each register
 LZ_BITS, MANTISSA_BITS = 5, 6
 _OWN = np.array([seed(1000 + j) for j in range(REGISTERS)], np.uint64)
+CENTRES = 3  # of a bucket, after the first
 MARGIN = 0.12  # five standard errors of the estimate, sqrt(0.75 * 0.25 / 384) = 0.022
 
 
@@ -197,6 +198,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = star.where(link).select("a", "b")
     root = stash(components(links), "root")
 
+    # Further centres of the buckets that hold several components, before any of their other pairs.
+    for _ in range(CENTRES):
+        more = stash(_next_centres(members, root), "next")
+        found = _checked(_estimated(more, regs).where(likely).select("a", "b"), src).where(link).select("a", "b")
+        release(more)
+        if found.isEmpty():
+            break
+        links = links.unionByName(found)
+        root = stash(components(links), "root")
+
     # What is left: members of one bucket in different components.
     others = stash(_rest(members, root, src, regs.select("doc_id", "bits"), percent), "others")
     found = _checked(_estimated(others, regs).where(likely).select("a", "b"), src).where(link).select("a", "b")
@@ -207,6 +218,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def _next_centres(members: DataFrame, root: DataFrame) -> DataFrame:
+    """Pairs a, b: of each bucket's members outside its least component, the least one and those of other components than its own."""
+    rows = members.select("key", "doc_id").join(small(root.withColumnRenamed("node", "doc_id")), "doc_id", "left").select("key", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    least = rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key", "r0")
+    rows = rows.join(small(stash(least, "least")), "key").where("root <> r0").drop("r0")
+    centre = rows.groupBy("key").agg(F.min("doc_id").alias("a"), F.min_by("root", "doc_id").alias("a_root"))
+    return rows.join(small(stash(centre, "centre")), "key").where("root <> a_root").select("a", F.col("doc_id").alias("b")).distinct()
+
+
 def _checked(pairs: DataFrame, src: DataFrame, rest: bool = False) -> DataFrame:
     """pairs(a, b) verified on the sets of src's texts, with b's shingles that a lacks if asked for; only texts in pairs are read into sets."""
     pairs = stash(pairs, "likely")
