@@ -1,9 +1,10 @@
 """Document fingerprints by spot signatures.
 
 Every occurrence of an anchor, a very common word, starts a chain of the next CHAIN content words; anchor and chain hash
-to a signature. The set of a text's signatures, in hexadecimal and in order, is its fingerprint, and two fingerprints
-are compared by the Jaccard similarity of their sets. A text with fewer than FEW anchors lets every word start a chain;
-a text without words has the empty fingerprint, unless it has white space, which then is its signature.
+to a signature. Where common words are few, so would signatures be: therefore the first word of every text, and one in
+SPARE content words, by their hash, start chains too, in all texts alike. The set of a text's signatures, in hexadecimal
+and in order, is its fingerprint, and two fingerprints are compared by the Jaccard similarity of their sets. A text
+without words has the empty fingerprint, unless it has white space, which then is its signature.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from terrawave.llm.language_id import letters
 from terrawave.llm.text import KNOWN, mix, seed
 
-CHAIN, FEW = 2, 4
+CHAIN, SPARE = 2, 8
 PER_BUCKET, BUCKETS = 2_000, 10_000  # documents in a bucket of neighbours, and buckets at most
 
 # Anchors and further common words that chains pass over, by language.
@@ -61,9 +62,10 @@ def signatures(text: str, known: Spots) -> np.ndarray:
         return np.array([xxhash.xxh32_intdigest(text.encode("utf-8", "replace"))], np.uint32) if text else np.empty(0, np.uint32)
     h = np.fromiter(map(known.__getitem__, raw), np.uint64, len(raw))
     kind = (h & np.uint64(3)).astype(np.int8)
-    content, spots = np.flatnonzero(kind == 0), np.flatnonzero(kind == 3)
-    if len(spots) < FEW or len(content) <= CHAIN:
-        content, spots = np.arange(len(h)), np.arange(len(h))
+    content = np.flatnonzero(kind == 0)
+    starts = (kind == 3) | ((kind == 0) & ((h >> np.uint64(2)) % np.uint64(SPARE) == 0))
+    starts[0] = True
+    spots = np.flatnonzero(starts)
     first = np.searchsorted(content, spots, side="right")
     c = np.concatenate([h[content], np.zeros(CHAIN, np.uint64)])
     sig = mix(h[spots])

@@ -474,3 +474,40 @@ def test_mixing_from_counted_words(spark, docs):
     whole = Counter((r["doc"]["doc_id"], r["size"], r["copies"]) for r in mixing.allocate(docs).collect())
     first = Counter((r["doc"]["doc_id"], r["size"], r["copies"]) for r in mixing.allocate(mixing.counted(docs), size_col="_words").collect())
     assert whole == first and max(n for _, n, _ in whole) == 30_000
+
+
+def _plain_signatures(text):
+    """A text's signatures as tuples of words: loops instead of arrays."""
+    words = [spotsigs.letters(w) or w.decode() for w in (text or "").encode().split()]
+    out = set()
+    for at, w in enumerate(words):
+        common = w in spotsigs._COMMON
+        if at and not (w in spotsigs._ANCHORS or not common and (spotsigs.xxhash.xxh3_64_intdigest(w) >> 2) % spotsigs.SPARE == 0):
+            continue
+        out.add((w, tuple([x for x in words[at + 1 :] if x not in spotsigs._COMMON][: spotsigs.CHAIN])))
+    return out
+
+
+def test_fingerprints_equal_a_plain_version(spark, docs):
+    """Likeness of fingerprints to those of the edited text and the next document, by sets of words; one changed word keeps texts alike, anchors or not."""
+    rows = {r["doc_id"]: r for r in spotsigs.compared(docs).collect() if r["doc_id"] != 7}
+    order = sorted(_docs(), key=lambda d: -d[0])
+
+    def likeness(a, b):
+        return 1.0 if not a and not b else len(a & b) / len(a | b)
+
+    for d, after in zip(order, order[1:] + order[:1], strict=True):
+        if d[0] == 7 or not (d[1] or "").split() or not (after[1] or "").split():
+            continue
+        one, text = _plain_signatures(d[1]), spotsigs.edited(d[1], after[1])
+        assert len(rows[d[0]]["fingerprint"]) == 8 * len(one) and len(rows[d[0]]["edited_fingerprint"]) == 8 * len(_plain_signatures(text))
+        assert abs(rows[d[0]]["near_edited"] - likeness(one, _plain_signatures(text))) < 1e-9
+        assert abs(rows[d[0]]["near_next"] - likeness(one, _plain_signatures(after[1]))) < 1e-9
+    r = random.Random(3)
+    for anchors in (0, 3, 4, 20):
+        words = _text(r, 200).split()
+        for i in range(anchors):
+            words[10 * i] = "the"
+        changed = [*words[:30], "zzzz", *words[31:]]
+        known = spotsigs.Spots()
+        assert spotsigs.likeness(*(spotsigs.signatures(" ".join(w), known) for w in (words, changed))) > 0.75
