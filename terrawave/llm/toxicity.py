@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from terrawave.llm.folds import sample
 from terrawave.llm.language_id import letters
-from terrawave.session import stash
+from terrawave.session import small, stash
 
 SAMPLE = 20_000  # labelled rows that voters and classifier are fitted on
 VOTERS = 400
@@ -68,7 +68,7 @@ class Votes(dict):
 def label_model(votes: np.ndarray, prior: float, rounds: int = 50, accuracy: float = 0.9, strength: float = 4.0) -> np.ndarray:
     """Posterior of class 1 for votes [document, voter] of 0 and 1, from a generative model of correlated voters.
 
-    A voter speaks for class 1 or is silent; what it says is divided by the number of voters on the document that it repeats. Its accuracy, the share of class 1 where it speaks, is estimated from the posterior that the other voters share in, with a prior of `strength` votes. What the class balance leaves for documents without any vote is their posterior.
+    A voter speaks for class 1 or is silent; what it says is divided by the number of voters on the document that it repeats. Its accuracy, the share of class 1 where it speaks, is estimated from the posterior, with a prior of `strength` votes. What the class balance leaves for documents without any vote is their posterior.
     """
     n, m = votes.shape
     some = votes.any(axis=1)
@@ -115,8 +115,8 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, rounds: int = 400,
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:
     """A model from docs(doc_id, text) and labels(doc_id, label 0 or 1, not null), on about SAMPLE rows of them at most. Rows of either that share an id are joined in all ways. Without a label 1 the model has no voters and scores 0."""
-    chosen = sample(labels, SAMPLE)  # small enough to broadcast
-    rows = stash(docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"), "labelled")
+    chosen = stash(sample(labels, SAMPLE), "chosen")
+    rows = stash(docs.select("doc_id", "text").join(small(chosen), "doc_id").select("doc_id", "text", "label"), "labelled")
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not ones:
         return {"voters": [], "w": np.zeros(0), "b": -30.0}

@@ -511,3 +511,28 @@ def test_fingerprints_equal_a_plain_version(spark, docs):
         changed = [*words[:30], "zzzz", *words[31:]]
         known = spotsigs.Spots()
         assert spotsigs.likeness(*(spotsigs.signatures(" ".join(w), known) for w in (words, changed))) > 0.75
+
+
+def test_classifiers_score_repeats_and_odd_texts_alike(spark):
+    """Equal texts have equal scores, whatever their id and other columns; null, blank and very long texts are scored."""
+    schema = "doc_id long, text string, score double, label int, x string, lang string, source string"
+    texts = ["vile rotten filthy words", "vile rotten filthy words", None, "", " \n", "word " * 200_000, "x" * 300_000, "vile " * 50_000]
+    odd = spark.createDataFrame([(i // 2, t, 0.1, 1, "x", None, None) for i, t in enumerate(texts)], schema)
+    rows, labels = [], []
+    r = random.Random(6)
+    for i in range(200):
+        bad = i % 4 == 0
+        rows.append((i, _text(r, 20) + (" vile rotten filthy" if bad else ""), 0.0, 0, "x", "xx", "s"))
+        labels.append((i, int(bad)))
+    docs = spark.createDataFrame(rows, schema)
+    model = toxicity.train(docs, spark.createDataFrame(labels, "doc_id long, label int"))
+    good = quality.train(docs, docs.where("doc_id % 4 <> 0").select("doc_id"))
+    for out in (toxicity.score(odd, model).collect(), quality.score(odd, good).collect()):
+        assert len(out) == len(texts) and all(0 <= x["score"] <= 1 for x in out)
+        by_id = defaultdict(list)
+        for x in out:
+            by_id[x["doc_id"]].append(x["score"])
+        assert len(set(by_id[0])) == 1  # the two equal texts
+    assert [x for x in toxicity.score(odd, model).collect() if x["doc_id"] == 0][0]["score"] >= 0.3
+    empty = odd.limit(0)
+    assert toxicity.score(empty, model).count() == 0 and quality.score(empty, good).count() == 0
