@@ -43,7 +43,7 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = held.groupBy("s").agg(F.min("k").alias("a"), F.max("k").alias("b")).select("s", F.explode(F.sequence("a", "b")).alias("k"))
     full = grid.join(held, ["s", "k"], "left").fillna(0.0, list(names))
     middle = full.groupBy("s").agg(*(F.percentile(n, F.lit(0.5)).alias(f"m_{n}") for n in names))
-    return full.join(F.broadcast(middle), "s").select(F.concat(F.lit("S"), F.col("s").cast("string")).alias("site"), "k", *((F.col(n) - F.col(f"m_{n}")).alias(n) for n in names))
+    return full.join(middle, "s").select(F.concat(F.lit("S"), F.col("s").cast("string")).alias("site"), "k", *((F.col(n) - F.col(f"m_{n}")).alias(n) for n in names))
 
 
 _N = ("hx", "hy", "hz", "ex", "ey", "rx", "ry")

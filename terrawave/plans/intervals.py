@@ -195,7 +195,7 @@ def mask_jaccard(spark, sf_dir):
     size = h.groupBy("found_by").agg(F.count("*").alias("n"))
     x, y = h.withColumnRenamed("found_by", "one"), h.withColumnRenamed("found_by", "other")
     both = x.join(y, ["site", "k"]).where("one < other").groupBy("one", "other").agg(F.count("*").alias("shared"))
-    both = both.join(F.broadcast(size.select(F.col("found_by").alias("one"), F.col("n").alias("n1"))), "one").join(F.broadcast(size.select(F.col("found_by").alias("other"), F.col("n").alias("n2"))), "other")
+    both = both.join(size.select(F.col("found_by").alias("one"), F.col("n").alias("n1")), "one").join(size.select(F.col("found_by").alias("other"), F.col("n").alias("n2")), "other")
     return both.select("one", "other", r6(F.col("shared") / (F.col("n1") + F.col("n2") - F.col("shared")), "jaccard"))
 
 

@@ -75,7 +75,7 @@ def merge_at_crossover(spark, sf_dir):
     """A short source up to a crossover period and a long source beyond it."""
     p = products(spark, sf_dir)
     t = p.where("period <= 25").groupBy("site").agg(F.max(F.when((F.col("product") < "P4") & (F.col("zxy_err") < 0.07), F.col("period"))).alias("t"))
-    return p.join(F.broadcast(t), "site").where("(product < 'P4' and period <= t) or (product >= 'P4' and period > t)").select("site", "period", F.col("product").alias("source"), r6("zxy_re", "zxy_re"))
+    return p.join(t, "site").where("(product < 'P4' and period <= t) or (product >= 'P4' and period > t)").select("site", "period", F.col("product").alias("source"), r6("zxy_re", "zxy_re"))
 
 
 @query("merge_modes", sql(PRODUCTS, f"SELECT x.site, x.period, {q6('x.zxy_re', 'zxy_re')}, {q6('x.zxy_im', 'zxy_im')}, {q6('y.zyx_re', 'zyx_re')}, {q6('y.zyx_im', 'zyx_im')} FROM products x JOIN products y ON x.site = y.site AND x.product < 'P4' AND y.product >= 'P4' AND x.period = y.period"))
@@ -144,10 +144,10 @@ def channel_stats(spark, sf_dir):
     """Median, MAD, percentiles and the share beyond three MAD of each channel."""
     h = hourly(spark, sf_dir)
     m = h.groupBy("site", "channel").agg(F.percentile("x", F.lit(0.5)).alias("med"))
-    d = h.join(F.broadcast(m), ["site", "channel"]).withColumn("dev", F.abs(F.col("x") - F.col("med")))
+    d = h.join(m, ["site", "channel"]).withColumn("dev", F.abs(F.col("x") - F.col("med")))
     s = d.groupBy("site", "channel").agg((F.percentile("dev", F.lit(0.5)) * 1.4826).alias("mad"))
     beyond = (F.round("dev", 9) > F.round(3 * F.col("mad"), 9)).cast("double")
-    return d.join(F.broadcast(s), ["site", "channel"]).groupBy("site", "channel").agg(F.count("*").alias("n"), r6(F.max("med"), "median"), r6(F.max("mad"), "mad"), r6(F.percentile("x", F.lit(0.05)), "p5"), r6(F.percentile("x", F.lit(0.95)), "p95"), r6(F.avg(beyond), "beyond"))
+    return d.join(s, ["site", "channel"]).groupBy("site", "channel").agg(F.count("*").alias("n"), r6(F.max("med"), "median"), r6(F.max("mad"), "mad"), r6(F.percentile("x", F.lit(0.05)), "p5"), r6(F.percentile("x", F.lit(0.95)), "p95"), r6(F.avg(beyond), "beyond"))
 
 
 @query("running_median_residual", sql(LONG, f"SELECT site, channel, CAST(k AS BIGINT) AS k, {q6('x - median(x) OVER (PARTITION BY site, channel ORDER BY k ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING)', 'x')} FROM long_daily"))
@@ -189,7 +189,7 @@ def weekly_health(spark, sf_dir):
     w = daily(spark, sf_dir).groupBy("site", F.floor(F.col("k") / 7).alias("week")).agg(F.avg(F.sqrt(F.col("hx") * F.col("hx") + F.col("hy") * F.col("hy") + F.col("hz") * F.col("hz"))).alias("f"), F.count("*").alias("n"))
     m = w.groupBy("site").agg(F.percentile("f", F.lit(0.5)).alias("mf"))
     ratio = F.col("f") / F.col("mf")
-    return w.join(F.broadcast(m), "site").select("site", "week", "n", r6("f", "field"), r6(ratio, "ratio"), F.round(ratio, 9).between(0.5, 1.5).alias("sound"))
+    return w.join(m, "site").select("site", "week", "n", r6("f", "field"), r6(ratio, "ratio"), F.round(ratio, 9).between(0.5, 1.5).alias("sound"))
 
 
 @query("longest_sound_weeks", sql(DAILY, "w AS (SELECT site, k // 7 AS week, avg(sqrt(hx * hx + hy * hy + hz * hz)) AS f FROM daily GROUP BY 1, 2)", "m AS (SELECT site, median(f) AS mf FROM w GROUP BY site)", "g AS (SELECT w.site, week, week - row_number() OVER (PARTITION BY w.site ORDER BY week) AS g FROM w JOIN m ON w.site = m.site WHERE round(f / mf, 9) BETWEEN 0.8 AND 1.2)", "r AS (SELECT site, min(week) AS a, max(week) + 1 AS b FROM g GROUP BY site, g)", "SELECT site, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY b - a DESC, a) AS n FROM r) WHERE n = 1"))

@@ -66,7 +66,7 @@ def despiked(spark, sf_dir):
     d = long_daily(spark, sf_dir).withColumn("step", F.col("x") - F.lag("x").over(w))
     m = d.groupBy(*_S).agg((1.4826 * F.percentile(F.abs("step"), F.lit(0.5))).alias("s"))
     jump = F.when(F.round(F.abs("step"), 9) > F.round(4 * F.col("s"), 9), 1).otherwise(0)
-    b = d.join(F.broadcast(m), _S).withColumn("bad", F.max(jump).over(w.rowsBetween(-2, 2)))
+    b = d.join(m, _S).withColumn("bad", F.max(jump).over(w.rowsBetween(-2, 2)))
     return b.where("bad = 0").select(*_S, "k", r6("x", "x"))
 
 
