@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrawave.operators.intervals import complement, union
+from terrawave.operators.intervals import complement, islands, overlap_join, union
 
 SCOPES = ("local", "remote", "both")
 
@@ -60,3 +62,44 @@ def night_masks(records: DataFrame, keys: list[str], first_hour: int, last_hour:
     """keys, a, b: what local nights leave of each record."""
     whole = union(records, keys).groupBy(*keys).agg(F.min("a").alias("lo"), F.max("b").alias("hi"))
     return complement(nights(records, keys, first_hour, last_hour, zone), keys, whole)
+
+
+def on_grid(masks: DataFrame, origin: Column, samples: Column, rate: Column) -> DataFrame:
+    """masks(a, b in nanoseconds) with the samples [first, last) of a grid that they cover; those off the grid left out."""
+    def index(t: str) -> Column:
+        return F.ceil((F.col(t) - origin) * rate / 1_000_000_000)
+
+    rows = masks.withColumn("first", F.greatest(F.lit(0), index("a")).cast("long")).withColumn("last", F.least(samples, index("b")).cast("long"))
+    return rows.where("first < last")
+
+
+def shifted_control(slots: DataFrame, keys: list[str], kept: str, shift: int, k: str = "k") -> DataFrame:
+    """keys, k, kept: the pattern of kept slots moved round by so many slots of those that hold data."""
+    w = Window.partitionBy(*keys).orderBy(k)
+    ranked = slots.select(*keys, F.col(k).alias("k"), F.col(kept).alias("kept"), (F.row_number().over(w) - 1).alias("_r"), F.count("*").over(Window.partitionBy(*keys)).alias("_n"))
+    moved = ranked.select(*keys, F.pmod(F.col("_r") + shift, F.col("_n")).alias("_r"), "kept")
+    return ranked.select(*keys, "k", "_r").join(moved, [*keys, "_r"]).drop("_r")
+
+
+def alternate_runs(slots: DataFrame, keys: list[str], kept: str, half: int, k: str = "k") -> DataFrame:
+    """keys, a, b of every other run of kept slots: the first, third, .. for half 0, else the second, fourth, .."""
+    runs = islands(slots.where(F.col(kept)), keys, k)
+    n = F.row_number().over(Window.partitionBy(*keys).orderBy("a")) - 1
+    return runs.withColumn("_n", n).where(F.col("_n") % 2 == half).drop("_n")
+
+
+def bursts(rows: DataFrame, keys: list[str], loud: Column, least: int, pad: int, k: str = "k") -> DataFrame:
+    """keys, a, b: stretches of `least` or more samples on which loud holds, padded and merged."""
+    runs = islands(rows.where(loud), keys, k).where(F.col("b") - F.col("a") >= least)
+    return union(runs.select(*keys, (F.col("a") - pad).alias("a"), (F.col("b") + pad).alias("b")), keys)
+
+
+def spans_filled(rows: DataFrame, spans: DataFrame, keys: list[str], x: str, level: str, taper: int, width: int, k: str = "k") -> DataFrame:
+    """rows with x inside the spans(keys, a2, b2) drawn to the column `level`, by a cosine over the first and last `taper` samples inside."""
+    marked = rows.withColumn("a", F.col(k)).withColumn("b", F.col(k) + 1)
+    inside = overlap_join(marked, spans.select(*keys, "a2", "b2"), keys, width)
+    edge = F.least(F.col(k) - F.col("a2") + 1, F.col("b2") - F.col(k))
+    depth = F.when(edge > taper, 1.0).otherwise((1 - F.cos(math.pi * edge / (taper + 1))) / 2)
+    inside = inside.withColumn(x, F.col(x) + (F.col(level) - F.col(x)) * depth).drop("a2", "b2")
+    others = marked.join(inside.select(*keys, k), [*keys, k], "left_anti")
+    return others.unionByName(inside).drop("a", "b")

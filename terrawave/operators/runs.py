@@ -88,3 +88,21 @@ def recorded_span(files: DataFrame, keys: list[str], start: str = "a") -> DataFr
     w = Window.partitionBy(*keys).orderBy(start)
     rows = files.withColumn("_d", F.col(start) - F.lag(start).over(w))
     return rows.groupBy(*keys).agg(F.min(start).alias("a"), (F.max(start) + F.coalesce(F.percentile("_d", F.lit(0.5)), F.lit(0))).alias("b"), F.count("*").alias("files"))
+
+
+def burst_grid(bursts: DataFrame, keys: list[str], slot: str, sample: str, per: int) -> DataFrame:
+    """bursts with their index on a compact grid: bursts of `per` samples laid back to back, a sample's room between them."""
+    places = bursts.select(*keys, slot).distinct().withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(slot)) - 1)
+    return bursts.join(places, [*keys, slot]).withColumn("index", F.col("_r") * (per + 1) + F.col(sample)).drop("_r")
+
+
+def own_station(files: DataFrame, folder: str, station: str, header: str) -> DataFrame:
+    """files of each folder's own station, names compared without case and leading zeros: the one named like the folder, else the one of the log's header if no other has more files, else the one with most files, then by name."""
+    def key(c: str) -> Column:
+        return F.regexp_replace(F.upper(c), "^0+", "")
+
+    n = files.groupBy(folder, key(station).alias("_s")).agg(F.count("*").alias("_n"), F.max((key(station) == key(folder)).cast("int")).alias("_named"), F.max((key(station) == key(header)).cast("int")).alias("_head"))
+    most = F.max("_n").over(Window.partitionBy(folder))
+    rank = F.row_number().over(Window.partitionBy(folder).orderBy(F.desc("_named"), F.desc(F.when(F.col("_n") == most, F.coalesce("_head", F.lit(0))).otherwise(0)), F.desc("_n"), "_s"))
+    own = n.withColumn("_r", rank).where("_r = 1").select(folder, "_s")
+    return files.withColumn("_s", key(station)).join(own, [folder, "_s"]).drop("_s")

@@ -67,3 +67,38 @@ def merged_lattice(periods: DataFrame, keys: list[str], period: str = "period",
     new = F.coalesce(F.col(period) / F.lag(period).over(w) - 1 > tolerance, F.lit(True)).cast("int")
     rows = periods.withColumn("_g", new).withColumn("_g", F.sum("_g").over(w))
     return rows.groupBy(*keys, "_g").agg(F.min(period).alias("period"), F.count("*").alias("n")).drop("_g")
+
+
+def pooled(bins: DataFrame, bands: DataFrame, keys: list[str], ok: Column) -> DataFrame:
+    """keys, band, n, re, im, var: bins(period, re, im, var) that are fit, averaged over the bands(band, lo, hi), lo <= period < hi, that hold them; the variance of a mean is the sum over n squared."""
+    inside = bins.where(ok).join(bands, (F.col("period") >= F.col("lo")) & (F.col("period") < F.col("hi")))  # bands are few, by parameter
+    n = F.count("*")
+    return inside.groupBy(*keys, "band").agg(n.alias("n"), F.avg("re").alias("re"), F.avg("im").alias("im"), (F.sum("var") / (n * n)).alias("var"))
+
+
+def clock_status(records: DataFrame, keys: list[str], sync: str, stage: str, k: str = "k", stride: int = 50) -> DataFrame:
+    """keys, unsynchronised, stages: share of every stride-th record whose clock is not locked, and the stages met."""
+    some = records.where(F.col(k) % stride == 0)
+    return some.groupBy(*keys).agg(F.avg((F.col(sync) != 0).cast("double")).alias("unsynchronised"), F.array_join(F.array_sort(F.collect_set(F.col(stage).cast("string"))), ",").alias("stages"))
+
+
+def phase_quadrant(rows: DataFrame, keys: list[str], phase: Column, centre: float, least: int = 5) -> DataFrame:
+    """keys, n, phase, in_place: the median phase (degrees) on a circle cut opposite the quadrant's centre, and whether it lies in the quadrant; null for fewer periods than `least`."""
+    about = F.pmod(phase - centre + 180.0, F.lit(360.0)) - 180.0
+    out = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile(about, F.lit(0.5)).alias("_m"))
+    fit = F.col("n") >= least
+    return out.select(*keys, "n", F.when(fit, F.col("_m") + centre).alias("phase"), F.when(fit, F.round(F.abs("_m"), 9) <= 45).alias("in_place"))
+
+
+def stitched(short: DataFrame, long: DataFrame, keys: list[str], band: str = "band") -> DataFrame:
+    """Rows of the short-period product below the first band that both hold, and of the long one from it on; keys without a shared band keep both."""
+    shared = short.select(*keys, band).join(long.select(*keys, band), [*keys, band]).groupBy(*keys).agg(F.min(band).alias("_first"))
+    below = short.join(shared, keys, "left").where(F.col("_first").isNull() | (F.col(band) < F.col("_first")))
+    above = long.join(shared, keys, "left").where(F.col("_first").isNull() | (F.col(band) >= F.col("_first")))
+    return below.drop("_first").unionByName(above.drop("_first"))
+
+
+def findings(rows: DataFrame, keys: list[str], rules: list[tuple[Column, str, str]]) -> DataFrame:
+    """keys, level, finding: a row for each rule (condition, level, text) that holds."""
+    held = F.array(*(F.when(F.coalesce(c, F.lit(False)), F.struct(F.lit(level).alias("level"), F.lit(text).alias("finding"))) for c, level, text in rules))
+    return rows.select(*keys, F.explode(F.array_compact(held)).alias("f")).select(*keys, "f.level", "f.finding")

@@ -440,3 +440,103 @@ def local_diurnal(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", names.local_hour(F.col("ts").cast("timestamp"), "Africa/Nairobi").alias("hour"), "value")
     s = e.groupBy("user_id", "hour").agg(F.percentile("value", F.lit(0.5)).alias("m"))
     return s.groupBy("hour").agg(F.count("*").alias("sites"), r6(F.percentile("m", F.lit(0.5)), "level"))
+
+
+@query("bands_pooled", sql("b(band, lo, hi) AS (VALUES (0, 1.0, 10.0), (1, 10.0, 30.0), (2, 25.0, 51.0))", "s AS (SELECT CAST(l_suppkey AS BIGINT) AS site, l_quantity AS period, l_discount AS re, l_tax AS im, l_extendedprice / 1000 AS var FROM lineitem WHERE l_linenumber <> 3)", f"SELECT site, CAST(band AS INTEGER) AS band, count(*) AS n, {q6('avg(re)', 're')}, {q6('avg(im)', 'im')}, {q6('sum(var) / (count(*) * count(*))', 'var')} FROM s JOIN b ON period >= lo AND period < hi GROUP BY 1, 2"))
+def bands_pooled(spark, sf_dir):
+    """Estimates on a fine grid pooled in bands, some of them in two."""
+    bins = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("long").alias("site"), F.col("l_quantity").alias("period"), F.col("l_discount").alias("re"), F.col("l_tax").alias("im"), (F.col("l_extendedprice") / 1000).alias("var"), "l_linenumber")
+    bands = spark.createDataFrame([(0, 1.0, 10.0), (1, 10.0, 30.0), (2, 25.0, 51.0)], "band int, lo double, hi double")
+    return tables.pooled(bins, bands, ["site"], F.col("l_linenumber") != 3).select("site", "band", "n", r6("re", "re"), r6("im", "im"), r6("var", "var"))
+
+
+@query("clock_states", f"SELECT CAST(user_id AS BIGINT) AS site, {q6('avg(CASE WHEN value > 50 THEN 1.0 ELSE 0.0 END)', 'unsynchronised')}, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS stages FROM events WHERE event_id % 5 = 0 GROUP BY user_id")
+def clock_states(spark, sf_dir):
+    """Share of every fifth record without a locked clock, and the stages met."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("long").alias("site"), F.col("event_id").alias("k"), (F.col("value") > 50).cast("int").alias("sync"), F.col("event_type").alias("stage"))
+    return tables.clock_status(e, ["site"], "sync", "stage", stride=5).select("site", r6("unsynchronised", "unsynchronised"), "stages")
+
+
+@query("phase_quadrants", sql("p AS (SELECT CAST(l_suppkey AS BIGINT) AS site, l_discount * 3600 - (l_suppkey % 4) * 90 AS ph FROM lineitem)", "a AS (SELECT site, ph - 45 + 180 - 360 * floor((ph - 45 + 180) / 360.0) - 180 AS t FROM p)", f"SELECT site, count(*) AS n, {q6('CASE WHEN count(*) >= 5 THEN median(t) + 45 END', 'phase')}, CASE WHEN count(*) >= 5 THEN round(abs(median(t)), 9) <= 45 END AS in_place FROM a GROUP BY site"))
+def phase_quadrants(spark, sf_dir):
+    """Median phases against the first quadrant."""
+    p = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("long").alias("site"), (F.col("l_discount") * 3600 - (F.col("l_suppkey") % 4) * 90).alias("phase"))
+    return tables.phase_quadrant(p, ["site"], F.col("phase"), 45.0).select("site", "n", r6("phase", "phase"), "in_place")
+
+
+@query("products_stitched", sql(VECTORS, "s AS (SELECT site, k % 50 AS band, min(hx) AS z FROM vectors WHERE k % 3 = 0 GROUP BY 1, 2)", "l AS (SELECT site, k % 50 + 20 AS band, max(hx) AS z FROM vectors WHERE k % 3 = 1 GROUP BY 1, 2)", "f AS (SELECT s.site, min(s.band) AS first FROM s JOIN l ON s.site = l.site AND s.band = l.band GROUP BY 1)", "u AS (SELECT s.* FROM s LEFT JOIN f ON s.site = f.site WHERE f.first IS NULL OR band < f.first UNION ALL SELECT l.* FROM l LEFT JOIN f ON l.site = f.site WHERE f.first IS NULL OR band >= f.first)", f"SELECT site, CAST(band AS BIGINT) AS band, {q6('z', 'z')} FROM u"))
+def products_stitched(spark, sf_dir):
+    """Burst rows below the first shared band, continuous ones from it on."""
+    v = vectors(spark, sf_dir)
+    s = v.where("k % 3 = 0").groupBy("site", (F.col("k") % 50).alias("band")).agg(F.min("hx").alias("z"))
+    x = v.where("k % 3 = 1").groupBy("site", (F.col("k") % 50 + 20).alias("band")).agg(F.max("hx").alias("z"))
+    return tables.stitched(s, x, ["site"]).select(F.col("site").cast("long").alias("site"), F.col("band").cast("long").alias("band"), r6("z", "z"))
+
+
+@query("site_findings", sql("s AS (SELECT CAST(s_suppkey AS BIGINT) AS site, s_acctbal AS bal, s_nationkey AS n FROM supplier)", "SELECT site, 'STOP' AS level, 'no position' AS finding FROM s WHERE bal < 0 UNION ALL SELECT site, 'warn', 'far apart' FROM s WHERE bal > 5000 UNION ALL SELECT site, 'warn', 'lines not square' FROM s WHERE n % 3 = 0"))
+def site_findings(spark, sf_dir):
+    """What is wrong with each site's declaration, by level."""
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("site"), "s_acctbal", "s_nationkey")
+    return tables.findings(s, ["site"], [(F.col("s_acctbal") < 0, "STOP", "no position"), (F.col("s_acctbal") > 5000, "warn", "far apart"), (F.col("s_nationkey") % 3 == 0, "warn", "lines not square")])
+
+
+@query("masks_on_grid", sql("m AS (SELECT CAST(event_id AS BIGINT) AS id, event_id * 37000000 AS a, event_id * 37000000 + (event_id % 9) * 21000000 AS b FROM events)", "g AS (SELECT id, greatest(0, CAST(ceil((a - 1000000000) * 30 / 1000000000.0) AS BIGINT)) AS f, least(20000, CAST(ceil((b - 1000000000) * 30 / 1000000000.0) AS BIGINT)) AS l FROM m)", 'SELECT id, f AS "first", l AS "last" FROM g WHERE f < l'))
+def masks_on_grid(spark, sf_dir):
+    """Samples of a grid of 30 Hz that masks cover."""
+    i = F.col("event_id").cast("long")
+    m = table(spark, sf_dir, "events").select(i.alias("id"), (i * 37000000).alias("a"), (i * 37000000 + (i % 9) * 21000000).alias("b"))
+    return masking.on_grid(m, F.lit(1_000_000_000), F.lit(20000), F.lit(30)).select("id", "first", "last")
+
+
+_KEPT = "f AS (SELECT site, k, max(x) > 55 AS kept FROM samples GROUP BY 1, 2)"
+
+
+@query("controls_shifted", sql(SAMPLES, _KEPT, "r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY k) - 1 AS r, count(*) OVER (PARTITION BY site) AS n FROM f)", "SELECT a.site, a.k, b.kept FROM r a JOIN r b ON a.site = b.site AND a.r = (b.r + 7) % b.n"))
+def controls_shifted(spark, sf_dir):
+    """A control of kept hours: the same pattern seven slots on."""
+    s = samples(spark, sf_dir).groupBy("site", "k").agg((F.max("x") > 55).alias("kept"))
+    return masking.shifted_control(s, ["site"], "kept", 7).select(F.col("site").cast("long").alias("site"), "k", "kept")
+
+
+@query("controls_by_half", sql(SAMPLES, _KEPT, "g AS (SELECT site, k, k - row_number() OVER (PARTITION BY site ORDER BY k) AS g FROM f WHERE kept)", "r AS (SELECT site, min(k) AS a, max(k) + 1 AS b FROM g GROUP BY site, g)", "SELECT site, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY a) - 1 AS n FROM r) WHERE n % 2 = 1"))
+def controls_by_half(spark, sf_dir):
+    """Every other run of kept hours."""
+    s = samples(spark, sf_dir).groupBy("site", "k").agg((F.max("x") > 55).alias("kept"))
+    out = masking.alternate_runs(s, ["site"], "kept", 1)
+    return out.select(F.col("site").cast("long").alias("site"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+
+
+_BURSTS = """g AS (SELECT site, channel, k, k - row_number() OVER (PARTITION BY site, channel ORDER BY k) AS g FROM samples WHERE x > 50),
+r AS (SELECT site, channel, min(k) - 3 AS a, max(k) + 1 + 3 AS b FROM g GROUP BY site, channel, g HAVING count(*) >= 1),
+w AS (SELECT *, max(b) OVER (PARTITION BY site, channel ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
+u AS (SELECT site, channel, min(a) AS a, max(b) AS b FROM (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY site, channel ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM w) GROUP BY site, channel, g)"""
+
+
+@query("bursts_found", sql(SAMPLES, _BURSTS, "SELECT site, channel, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM u"))
+def bursts_found(spark, sf_dir):
+    """Loud stretches, padded and merged."""
+    out = masking.bursts(samples(spark, sf_dir), ["site", "channel"], F.col("x") > 50, 1, 3)
+    return out.select(F.col("site").cast("long").alias("site"), "channel", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+
+
+@query("bursts_filled", sql(SAMPLES, _BURSTS, "c AS (SELECT p.*, CASE WHEN u.a IS NULL THEN 0 WHEN least(p.k - u.a + 1, u.b - p.k) > 2 THEN 1 ELSE (1 - cos(pi() * least(p.k - u.a + 1, u.b - p.k) / 3.0)) / 2 END AS depth FROM samples p LEFT JOIN u ON p.site = u.site AND p.channel = u.channel AND p.k >= u.a AND p.k < u.b)", f"SELECT site, channel, k, {q6('x + (20 - x) * depth', 'x')} FROM c"))
+def bursts_filled(spark, sf_dir):
+    """Samples drawn to a level inside loud stretches, by a cosine at both ends."""
+    rows = samples(spark, sf_dir)
+    spans_ = masking.bursts(rows, ["site", "channel"], F.col("x") > 50, 1, 3).withColumnsRenamed({"a": "a2", "b": "b2"})
+    out = masking.spans_filled(rows.withColumn("level", F.lit(20.0)), spans_, ["site", "channel"], "x", "level", 2, 64)
+    return out.select(F.col("site").cast("long").alias("site"), "channel", "k", r6("x", "x"))
+
+
+@query("bursts_on_compact_grid", sql("b AS (SELECT CAST(l_suppkey AS BIGINT) AS site, CAST(l_orderkey AS BIGINT) AS slot, CAST(l_linenumber - 1 AS BIGINT) AS j FROM lineitem GROUP BY 1, 2, 3)", "SELECT site, slot, j, CAST((dense_rank() OVER (PARTITION BY site ORDER BY slot) - 1) * 8 + j AS BIGINT) AS index FROM b"))
+def bursts_on_compact_grid(spark, sf_dir):
+    """Bursts of seven samples laid back to back."""
+    b = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("long").alias("site"), F.col("l_orderkey").cast("long").alias("slot"), (F.col("l_linenumber") - 1).cast("long").alias("j")).distinct()
+    return runs.burst_grid(b, ["site"], "slot", "j", 7).select("site", "slot", "j", F.col("index").cast("long").alias("index"))
+
+
+@query("own_stations", sql("f AS (SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey % 50 AS VARCHAR) AS folder, CASE WHEN o_orderkey % 3 = 0 THEN '0' ELSE '' END || CAST(o_orderkey % 60 AS VARCHAR) AS station, CAST(o_custkey % 7 AS VARCHAR) AS head FROM orders)", "k AS (SELECT *, regexp_replace(station, '^0+', '') AS s, regexp_replace(folder, '^0+', '') AS fk, regexp_replace(head, '^0+', '') AS h FROM f)", "n AS (SELECT folder, s, count(*) AS n, max(CASE WHEN s = fk THEN 1 ELSE 0 END) AS named, max(CASE WHEN s = h THEN 1 ELSE 0 END) AS head FROM k GROUP BY 1, 2)", "m AS (SELECT *, max(n) OVER (PARTITION BY folder) AS most FROM n)", "o AS (SELECT folder, s FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY named DESC, CASE WHEN n = most THEN head ELSE 0 END DESC, n DESC, s) AS r FROM m) WHERE r = 1)", "SELECT id, k.folder, station FROM k JOIN o ON k.folder = o.folder AND k.s = o.s"))
+def own_stations(spark, sf_dir):
+    """Files of each folder's own station."""
+    f = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"), (F.col("o_custkey") % 50).cast("string").alias("folder"), F.concat(F.when(F.col("o_orderkey") % 3 == 0, "0").otherwise(""), (F.col("o_orderkey") % 60).cast("string")).alias("station"), (F.col("o_custkey") % 7).cast("string").alias("head"))
+    return runs.own_station(f, "folder", "station", "head").select("id", "folder", "station")
