@@ -4,7 +4,7 @@ Vectors are dealt by label and a hash of their id into shards of about SHARD byt
 searched for the vectors of every shard of its label (once for each two shards: a hit counts for both). A search is
 audited: AUDIT queries are compared with the whole shard, and as many members of the shard, moved to about the least
 cosine, are looked for as queries, so that the audit has links to find where the queries have none; the beam doubles
-until the audit finds them all. Hits are
+until the audit finds them all, or until a scan of the shard costs less than a wider beam. Hits are
 verified by their cosine in double precision; a block of two shards passes on each vector's number of links and one
 link to the least vector that it is connected with inside the block, and components are joined from these.
 """
@@ -23,6 +23,7 @@ from terrawave.session import small, stash
 
 SHARD, AUDIT, LEAST = 8 << 20, 64, 0.93  # bytes of vectors; queries
 BEAM = 16  # to begin with
+SCAN = 256  # a beam over one in so many nodes costs more than a scan of the shard, which is exact
 
 
 def _unit(vectors: bytes, n: int) -> np.ndarray:
@@ -74,12 +75,13 @@ def _hits(q: np.ndarray, x: np.ndarray, layers: list, least: float) -> np.ndarra
     asked = np.concatenate([q[audit], _planted(x, least)])
     true, small_asked = asked @ x.T >= least, asked.astype(np.float32)
     beam = BEAM
-    while beam < len(x) and not (true <= hnsw.within(small_x, layers, small_asked, least, beam)).all():
+    widest = len(x) // SCAN
+    while beam <= widest and not (true <= hnsw.within(small_x, layers, small_asked, least, beam)).all():
         beam *= 2
     bits = np.zeros((len(q), (len(x) + 7) // 8), np.uint8)
     for s in range(0, len(q), hnsw.QUERIES):
         part = q[s : s + hnsw.QUERIES]
-        if beam < len(x):
+        if beam <= widest:
             hits = hnsw.within(small_x, layers, small_q[s : s + hnsw.QUERIES], least, beam)
             i, j = np.nonzero(hits)
             for t in range(0, len(i), 50_000):

@@ -401,7 +401,8 @@ def test_embeddings_equal_brute_force(spark):
     assert all((got[i]["n_links"], got[i]["component_id"]) == (n[i], root[i]) for i, _, _ in x)
 
 
-def test_few_links_across_shards_are_found():
+def test_few_links_across_shards_are_found(monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SCAN", 32)  # two beams before a scan
     r = np.random.default_rng(6)
 
     def unit(v):
