@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrawave.llm import embedding_dedup, language_id, line_dedup, mixing, near_dedup, packing, quality, spotsigs, toxicity, warc
+from terrawave.llm import conversations, embedding_dedup, fill_middle, language_id, line_dedup, mixing, near_dedup, packing, quality, spotsigs, suffix_dedup, toxicity, warc
 from terrawave.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -94,9 +94,28 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc.doc_id", "size", "source_size", F.round("target", 6).alias("target"), (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of all damaged conversations."""
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.digests(rows, conversations.audits(rows)).withColumnRenamed("conv", "conv_id")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut and put in another order, and put together again."""
+    rows = fill_middle.transformed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    again = fill_middle.restored(F.col("output"), F.col("form"))
+    return rows.select("doc.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that repeat earlier ones."""
+    rows = suffix_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": warc.ORACLE, "op9_embedding_dedup": embedding_dedup.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op8_warc": warc.ORACLE, "op9_embedding_dedup": embedding_dedup.ORACLE, "op10_mixing": mixing.ORACLE, "op12_fill_middle": fill_middle.ORACLE}
