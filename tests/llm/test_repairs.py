@@ -200,7 +200,8 @@ def test_repeated_bytes_equal_brute_force(spark, monkeypatch, size, frequent, bu
 
 
 def test_repeated_bytes_of_null_ids_and_empty_tables(spark):
-    t = "".join(random.Random(14).choice("abcdefgh ") for _ in range(300))
+    r = random.Random(14)
+    t = "".join(r.choice("abcdefgh ") for _ in range(300))
     schema = "doc_id long, text string"
     got = suffix_dedup.deduplicated(spark.createDataFrame([(None, t), (None, t), (1, t), (2, t[:150]), (3, None)], schema)).collect()
     assert sorted((x["doc"]["doc_id"] or 0, x["n_removed"]) for x in got) == [(0, 0), (0, 0), (1, 300), (2, 150), (3, 0)]
