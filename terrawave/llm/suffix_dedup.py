@@ -14,7 +14,8 @@ LENGTH bytes are one class; all but the first in the order of documents are repe
 * Buckets grow in number with the bytes; each holds about BUCKET bytes of text.
 
 Documents are in the order of their id, null first; rows of one id with unlike texts go by a checksum of the text.
-Repeated rows (equal in id and text) are one document, and each of them gets its result. A null text has no bytes.
+Repeated rows (equal in id and text) are one document, and each of them gets its result. A null text has no bytes. A
+table needs one column besides the text.
 """
 
 from __future__ import annotations
@@ -28,16 +29,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 16
 BUCKET = 8 << 20  # bytes of text for a bucket
 BATCH, SLICE = 16 << 20, 1 << 20  # bytes of text whose equal stretches are merged, and whose hashes are held
 MOST = 256  # strings of a stretch
 DOUBLE = 1 << 15  # added to their number where two of them may be equal
 SHALLOW = 24
+LEVEL = 3  # of compression of what is sent
 CHUNK = 400_000  # suffixes sorted at once, but for those of one key
 SAMPLED, FREQUENT, SHARE = 32, 10_000, 1_000_000  # one stretch in so many is counted; a key is frequent from so many stretches, and from one in SHARE of all
 TOP = np.uint64(1 << 63)
-C1, C2, C3, C4 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
+C1, C2, C3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
 def _words(data: np.ndarray) -> np.ndarray:
@@ -49,10 +51,9 @@ def minima(data: np.ndarray, frequent: np.ndarray, length: int = LENGTH) -> tupl
     """The key of the string at each place, the least hash of its grams (those of frequent ones come after all others), and whether it is that of its first gram."""
     h = _words(data) * C1
     h ^= h >> np.uint64(31)
-    for step, c in ((8, C2), (16, C3)):  # of 16 bytes, then of GRAM
-        h = h[:-step] * c + h[step:]
-        h ^= h >> np.uint64(29)
-    h *= C4
+    h = h[:-8] * C2 + h[8:]  # of GRAM bytes
+    h ^= h >> np.uint64(29)
+    h *= C3
     h >>= np.uint64(1)
     if len(frequent):
         known = np.zeros(1 << 16, bool)
@@ -115,11 +116,11 @@ _FIELDS = (("tag", "<u4"), ("doc", "<i8"), ("sum", "<i8"), ("at", "<i8"), ("n",
 def _packed(rows: dict[str, np.ndarray], texts: bytes) -> bytes:
     rows = rows | {"doc": np.diff(rows["doc"], prepend=np.int64(0))}
     body = len(rows["at"]).to_bytes(8, "little") + b"".join(_planes(rows[c].astype(kind)) for c, kind in _FIELDS) + texts
-    return zstandard.ZstdCompressor(level=1).compress(body)
+    return zstandard.compress(body, LEVEL)
 
 
 def _unpacked(part: bytes) -> tuple[dict[str, np.ndarray], bytes]:
-    body = zstandard.ZstdDecompressor().decompress(part)
+    body = zstandard.decompress(part)
     n, at, rows = int.from_bytes(body[:8], "little"), 8, {}
     for c, kind in _FIELDS:
         size = np.dtype(kind).itemsize
@@ -357,26 +358,39 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     return slim.mapInArrow(cut, "bucket long, known boolean, part binary").groupBy("bucket").applyInPandas(sort, "_id long, _sum long, at long, n long")
 
 
+def _compressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc (a struct of the columns of docs but for the text), _id, _sum, and the text's bytes in few, as they are sent on."""
+    rows = _keyed(docs, id_col, text_col)
+    rows = rows.select(F.col("doc").dropFields(text_col).alias("doc"), "_id", "_sum", "_bytes")
+
+    def run(batches):
+        for batch in batches:
+            packed = pa.array([zstandard.compress(t, LEVEL) for t in batch.column(3).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), packed], ["doc", "_id", "_sum", "_packed"])
+
+    return rows.mapInArrow(run, rows.drop("_bytes").schema.add("_packed", "binary"))
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
-    """doc (a struct of all columns of docs), n_bytes, n_removed, n_spans, kept (the bytes that stay; a cut may split a character)."""
+    """doc (a struct of the columns of docs but for the text), n_bytes, n_removed, n_spans, kept (the bytes that stay; a cut may split a character)."""
     spans = repeats(docs, id_col, text_col, length).groupBy("_id", "_sum").agg(F.collect_list(F.struct("at", "n")).alias("_spans"))
-    rows = _keyed(docs, id_col, text_col).join(spans, ["_id", "_sum"], "left").select("doc", "_bytes", F.col("_spans.at").alias("_at"), F.col("_spans.n").alias("_n"))
+    rows = _compressed(docs, id_col, text_col).join(spans, ["_id", "_sum"], "left").select("doc", "_packed", F.col("_spans.at").alias("_at"), F.col("_spans.n").alias("_n"))
     schema = rows.select("doc").schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            packed = batch.column(1).to_pylist()
             at, n = batch.column(2), batch.column(3)
-            begin = 0
-            while begin < len(texts):
-                end, size = begin, 0
-                while end < len(texts) and (end == begin or size + len(texts[end]) <= BATCH):
-                    size += len(texts[end])
-                    end += 1
-                made = [_kept(texts[i], at[i].values, n[i].values, length) if at[i].is_valid else (0, 0, texts[i]) for i in range(begin, end)]
-                columns = [pa.array([len(t) for t in texts[begin:end]], pa.int64()), pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64()), pa.array([m[2] for m in made], pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, end - begin), *columns], ["doc", "n_bytes", "n_removed", "n_spans", "kept"])
-                begin = end
+            begin = size = 0
+            made = []
+            for i, part in enumerate(packed):
+                text = zstandard.decompress(part)
+                made.append((len(text), *(_kept(text, at[i].values, n[i].values, length) if at[i].is_valid else (0, 0, text))))
+                size += len(text)
+                if size >= BATCH or i + 1 == len(packed):
+                    columns = [pa.array(c, k) for c, k in zip(zip(*made, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i + 1 - begin), *columns], ["doc", "n_bytes", "n_removed", "n_spans", "kept"])
+                    begin, size, made = i + 1, 0, []
 
     return rows.mapInArrow(run, schema)
 
