@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 LENGTH, GRAM = 100, 16
 BUCKET = 8 << 20  # bytes of text for a bucket
-BATCH, SLICE = 16 << 20, 1 << 20  # bytes of text whose equal stretches are merged, and whose hashes are held
+BATCH, SLICE = 6 << 20, 1 << 20  # bytes of text whose equal stretches are merged, and whose hashes are held
 MOST = 256  # strings of a stretch
 DOUBLE = 1 << 15  # added to their number where two of them may be equal
 SHALLOW = 24
@@ -298,9 +298,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, bytes]]]:
     held, size = [], 0
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            held.append(row)
-            size += len(row[2])
+        for i, name, total in zip(range(batch.num_rows), batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            held.append((name, total, batch.column(2)[i].as_py()))
+            size += len(held[-1][2])
             if size >= BATCH:
                 yield sorted(held, key=lambda r: r[:2])
                 held, size = [], 0
@@ -337,9 +337,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     def cut(batches):
         for held in _batches(batches):
-            made = list(_cut(held, buckets, frequent, length))
-            if made:
-                yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made]), pa.array([m[2] for m in made], pa.binary())], ["bucket", "known", "part"])
+            for bucket, known, packed in _cut(held, buckets, frequent, length):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([known]), pa.array([packed], pa.binary())], ["bucket", "known", "part"])
 
     def sort(part: pd.DataFrame) -> pd.DataFrame:
         found, rows, texts = [], [], []
@@ -365,7 +364,7 @@ def _compressed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            packed = pa.array([zstandard.compress(t, LEVEL) for t in batch.column(3).to_pylist()], pa.binary())
+            packed = pa.array([zstandard.compress(t.as_py(), LEVEL) for t in batch.column(3)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), packed], ["doc", "_id", "_sum", "_packed"])
 
     return rows.mapInArrow(run, rows.drop("_bytes").schema.add("_packed", "binary"))
@@ -379,12 +378,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches):
         for batch in batches:
-            packed = batch.column(1).to_pylist()
-            at, n = batch.column(2), batch.column(3)
+            packed, at, n = (batch.column(i) for i in (1, 2, 3))
             begin = size = 0
             made = []
             for i, part in enumerate(packed):
-                text = zstandard.decompress(part)
+                text = zstandard.decompress(part.as_py())
                 made.append((len(text), *(_kept(text, at[i].values, n[i].values, length) if at[i].is_valid else (0, 0, text))))
                 size += len(text)
                 if size >= BATCH or i + 1 == len(packed):
