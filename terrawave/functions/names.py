@@ -12,13 +12,53 @@ LEAP_DAYS = ("1981-07-01", "1982-07-01", "1983-07-01", "1985-07-01", "1988-01-01
 def gps_to_utc(seconds: Column) -> Column:
     """UTC seconds since 1970 of GPS seconds since 1980-01-06."""
     at = seconds + 315964800
-    leaps = sum((at - i >= F.unix_timestamp(F.lit(day).cast("date").cast("timestamp"))).cast("long") for i, day in enumerate(LEAP_DAYS))
+    leaps = sum((at - i >= F.unix_date(F.lit(day).cast("date")) * 86400).cast("long") for i, day in enumerate(LEAP_DAYS))
     return at - leaps
 
 
+def local_seconds(seconds: Column, zone: str) -> Column:
+    """Seconds on the zone's clock since 1970-01-01 there, of UTC seconds; the session's zone plays no part."""
+    clock = F.convert_timezone(F.lit("UTC"), F.lit(zone), _clock(seconds))
+    return F.unix_date(clock.cast("date")).cast("long") * 86400 + F.hour(clock) * 3600 + F.minute(clock) * 60 + F.floor(F.second(clock))
+
+
+def _clock(seconds: Column) -> Column:
+    """A time without a zone, so many seconds after 1970-01-01."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=F.floor(seconds / 86400).cast("int"), secs=F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)"))
+
+
+def seconds_at(local: Column, zone: str) -> Column:
+    """UTC seconds at which the zone's clock shows so many seconds since 1970-01-01 there; of a time shown twice the earlier."""
+    clock = F.convert_timezone(F.lit(zone), F.lit("UTC"), _clock(local))
+    return F.unix_date(clock.cast("date")).cast("long") * 86400 + F.hour(clock) * 3600 + F.minute(clock) * 60 + F.floor(F.second(clock))
+
+
 def local_hour(at: Column, zone: str) -> Column:
-    """Hour of the zone's clock at a UTC time."""
-    return F.hour(F.from_utc_timestamp(at, zone))
+    """Hour of the zone's clock at an instant."""
+    return F.pmod(F.floor(local_seconds(F.unix_seconds(at), zone) / 3600), F.lit(24)).cast("int")
+
+
+SECOND = 1_000_000_000  # nanoseconds
+
+
+def ceil_index(ns: Column, rate: Column) -> Column:
+    """Index of the first sample at or after so many nanoseconds from the origin, for a whole number of samples a second; whole seconds and the rest are counted apart, so that nothing overflows or is rounded."""
+    whole = F.floor(ns.cast("decimal(20,0)") / SECOND).cast("long")
+    rest = F.pmod(ns.cast("long"), F.lit(SECOND).cast("long"))
+    up = rest * rate + (SECOND - 1)
+    return whole * rate + ((up - F.pmod(up, F.lit(SECOND))) / SECOND).cast("long")
+
+
+def time_of(index: Column, rate: Column) -> Column:
+    """Nanoseconds from the origin of a sample, rounded to the nearest, halves up."""
+    whole = F.floor(index.cast("decimal(20,0)") / rate).cast("long")
+    rest = F.pmod(index.cast("long"), rate.cast("long")) * SECOND * 2 + rate
+    return whole * SECOND + ((rest - F.pmod(rest, 2 * rate.cast("long"))) / (2 * rate)).cast("long")
+
+
+def station_key(name: Column) -> Column:
+    """A station's name as it is compared: without a trailing _ or -, in lower case, each run of digits as the number it writes."""
+    return F.regexp_replace(F.lower(F.regexp_replace(name, "[_-]+$", "")), r"(?<![0-9])0+(?=[0-9])", "")
 
 
 def note_values(note: Column) -> Column:

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrawave.functions.names import ceil_index, seconds_at
 from terrawave.operators.intervals import complement, islands, overlap_join, union
 
 SCOPES = ("local", "remote", "both")
@@ -47,12 +48,11 @@ def states(windows: DataFrame, keys: list[str], hit: Column, kept: Column) -> Da
 
 
 def nights(records: DataFrame, keys: list[str], first_hour: int, last_hour: int, zone: str) -> DataFrame:
-    """keys, a, b (seconds): local nights, from first_hour to last_hour of the next day, of each day of records(a, b); hours are those of the zone's clock."""
-    day = F.explode(F.sequence(F.date_sub(F.to_date(F.timestamp_seconds("a")), 2), F.date_add(F.to_date(F.timestamp_seconds("b")), 1))).alias("day")
+    """keys, a, b (seconds): local nights, from first_hour to last_hour of the next day, of each day of records(a, b); hours are those of the zone's clock, whatever the session's zone is."""
+    day = F.explode(F.sequence(F.floor(F.col("a") / 86400) - 2, F.floor(F.col("b") / 86400) + 1)).alias("day")
 
     def at(days: int, hour: int) -> Column:
-        local = F.date_add("day", days).cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hour))
-        return F.unix_timestamp(F.to_utc_timestamp(local.cast("timestamp"), zone))
+        return seconds_at((F.col("day") + days) * 86400 + hour * 3600, zone)
 
     rows = records.select(*keys, "a", "b", day).select(*keys, "a", "b", at(0, first_hour).alias("_a"), at(1, last_hour).alias("_b"))
     return rows.select(*keys, F.greatest("a", "_a").alias("a"), F.least("b", "_b").alias("b")).where("a < b")
@@ -67,7 +67,7 @@ def night_masks(records: DataFrame, keys: list[str], first_hour: int, last_hour:
 def on_grid(masks: DataFrame, origin: Column, samples: Column, rate: Column) -> DataFrame:
     """masks(a, b in nanoseconds) with the samples [first, last) of a grid that they cover; those off the grid left out."""
     def index(t: str) -> Column:
-        return F.ceil((F.col(t) - origin) * rate / 1_000_000_000)
+        return ceil_index(F.col(t) - origin, rate)
 
     rows = masks.withColumn("first", F.greatest(F.lit(0), index("a")).cast("long")).withColumn("last", F.least(samples, index("b")).cast("long"))
     return rows.where("first < last")
@@ -88,18 +88,22 @@ def alternate_runs(slots: DataFrame, keys: list[str], kept: str, half: int, k: s
     return runs.withColumn("_n", n).where(F.col("_n") % 2 == half).drop("_n")
 
 
-def bursts(rows: DataFrame, keys: list[str], loud: Column, least: int, pad: int, k: str = "k") -> DataFrame:
-    """keys, a, b: stretches of `least` or more samples on which loud holds, padded and merged."""
-    runs = islands(rows.where(loud), keys, k).where(F.col("b") - F.col("a") >= least)
-    return union(runs.select(*keys, (F.col("a") - pad).alias("a"), (F.col("b") + pad).alias("b")), keys)
+def bursts(rows: DataFrame, keys: list[str], loud: Column, width: int, pad: int, k: str = "k") -> DataFrame:
+    """keys, a, b: stretches on which loud holds for `width` samples or more beyond the width - 1 by which a mean over `width` widens them, padded within the record and merged."""
+    runs = islands(rows.where(loud), keys, k).where(F.col("b") - F.col("a") - (width - 1) >= width)
+    record = rows.groupBy(*keys).agg(F.min(k).alias("_lo"), (F.max(k) + 1).alias("_hi"))
+    return union(runs.join(record, keys).select(*keys, F.greatest(F.col("a") - pad, "_lo").alias("a"), F.least(F.col("b") + pad, "_hi").alias("b")), keys)
 
 
 def spans_filled(rows: DataFrame, spans: DataFrame, keys: list[str], x: str, level: str, taper: int, width: int, k: str = "k") -> DataFrame:
-    """rows with x inside the spans(keys, a2, b2) drawn to the column `level`, by a cosine over the first and last `taper` samples inside."""
-    marked = rows.withColumn("a", F.col(k)).withColumn("b", F.col(k) + 1)
-    inside = overlap_join(marked, spans.select(*keys, "a2", "b2"), keys, width)
-    edge = F.least(F.col(k) - F.col("a2") + 1, F.col("b2") - F.col(k))
-    depth = F.when(edge > taper, 1.0).otherwise((1 - F.cos(math.pi * edge / (taper + 1))) / 2)
-    inside = inside.withColumn(x, F.col(x) + (F.col(level) - F.col(x)) * depth).drop("a2", "b2")
-    others = marked.join(inside.select(*keys, k), [*keys, k], "left_anti")
-    return others.unionByName(inside).drop("a", "b")
+    """rows with x inside the spans(keys, a2, b2), which don't overlap, set to the column `level`, by a cosine from the first and to the last sample, which stay as they are; it takes `taper` samples, half the span at most."""
+    cells = F.explode(F.sequence(F.floor(F.col("a2") / width), F.floor((F.col("b2") - 1) / width))).alias("_cell")
+    dealt = spans.where("a2 < b2").select(*keys, "a2", "b2", cells).alias("s")
+    r = rows.withColumn("_cell", F.floor(F.col(k) / width)).alias("r")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in keys]
+    inside = r.join(dealt, [*same, F.col("r._cell") == F.col("s._cell"), F.col(f"r.{k}") >= F.col("s.a2"), F.col(f"r.{k}") < F.col("s.b2")], "left")
+    edge = F.least(F.col(f"r.{k}") - F.col("s.a2"), F.col("s.b2") - 1 - F.col(f"r.{k}"))
+    half = F.least(F.lit(taper), F.floor((F.col("s.b2") - F.col("s.a2")) / 2))
+    keep = F.when(edge < half, (1 + F.cos(math.pi * edge / half)) / 2).otherwise(0.0)
+    new = F.when(F.col("s.a2").isNull(), F.col(f"r.{x}")).otherwise(F.col(f"r.{level}") + keep * (F.col(f"r.{x}") - F.col(f"r.{level}")))
+    return inside.select(*(new.alias(c) if c == x else F.col(f"r.{c}") for c in rows.columns))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrawave.functions.names import SECOND, ceil_index, station_key
 from terrawave.operators.intervals import as_of, union
 
 
@@ -32,10 +33,12 @@ def wrong_count(start: str, following: Column, records: str, rate: float) -> Col
     return F.coalesce(F.col(records) != (following - F.col(start)) * rate, F.lit(False)) | (F.col(records) != F.floor(records))
 
 
-def split_at_gaps(files: DataFrame, keys: list[str], tolerance: int) -> DataFrame:
-    """files(a, b) with run: a file that starts more than `tolerance` from the end of the one before begins a run."""
+def split_at_gaps(files: DataFrame, keys: list[str], tolerance: int, rate: str | None = None) -> DataFrame:
+    """files(a, b) with run: a file that starts more than `tolerance` from the end of the one before, or has another rate, begins a run."""
     w = Window.partitionBy(*keys).orderBy("a", "b")
     new = F.coalesce(F.abs(F.col("a") - F.lag("b").over(w)) > tolerance, F.lit(True))
+    if rate:
+        new |= ~F.col(rate).eqNullSafe(F.lag(rate).over(w))
     return files.withColumn("_new", new.cast("int")).withColumn("run", F.sum("_new").over(w)).drop("_new")
 
 
@@ -46,26 +49,44 @@ def aligned(files: DataFrame, keys: list[str], folder: str, sequence: str, sampl
     return held.join(folders, keys).where(F.col("_n").eqNullSafe(F.col("_folders")) & (F.col(samples) == F.col("_most"))).drop("_n", "_folders", "_most")
 
 
-def of_other_rate(files: DataFrame, changes: DataFrame, keys: list[str], rate: float) -> DataFrame:
-    """files(a) whose rate in force, by changes(since, rate), is another one; files before any change are left alone."""
-    return as_of(files, changes, keys, "a", "since", "rate").where(F.col("rate") != rate)
+def of_other_rate(files: DataFrame, changes: DataFrame, keys: list[str], rate: float, channels: list[str] | None = None) -> DataFrame:
+    """files(a) with `rates`, those in force at its start by changes(since, rate), where one of them is another one; files before any change are left alone.
 
-
-def placed(runs: DataFrame, origin: Column, rate: Column, tolerance: float = 1e-3) -> DataFrame:
-    """Runs, of start in nanoseconds, with their index on the grid of an origin, and whether they stand on it to a share of a step."""
-    steps = (F.col("start") - origin) * rate / 1_000_000_000
-    index = F.round(steps).cast("long")
-    return runs.withColumn("index", index).withColumn("on_grid", F.abs(steps - index) <= tolerance)
+    With channels, changes have a column of that name as well: each channel keeps its rate until its own next change, and a file is of another rate if any channel is.
+    """
+    if channels is None:
+        found = as_of(files, changes, keys, "a", "since", "rate")
+        return found.where(F.col("rate") != rate)
+    for c in channels:
+        mine = changes.where(F.col("channel") == c).select(*keys, "since", F.col("rate").alias(f"_rate_{c}"))
+        files = as_of(files, mine, keys, "a", "since", f"_rate_{c}").drop("since")
+    names = [f"_rate_{c}" for c in channels]
+    found = files.withColumn("rates", F.array_compact(F.array(*names))).drop(*names)
+    return found.where(F.exists("rates", lambda r: r != rate))
 
 
-def carried_gaps(gaps: DataFrame, keys: list[str], levels: int, factor: int, reach: int = 32) -> DataFrame:
-    """keys, level, a, b: gaps of level 0 on each coarser grid, widened by the filter's reach and merged; a loop over levels, not over data."""
-    now = gaps.select(*keys, "a", "b")
-    out = [now.withColumn("level", F.lit(0))]
+def placed(runs: DataFrame, origin: Column, rate: Column, tolerance: float = 1e-3) -> DataFrame:
+    """Runs, of start in nanoseconds, with their index on the grid of an origin, the nearest one, and whether they stand on it to a share of a step; for a whole number of samples a second."""
+    ns = F.col("start") - origin
+    up = ceil_index(ns, rate)
+    # The rest of a step by which the sample lies behind the start, from what is left of whole seconds alone.
+    over = F.pmod(-F.pmod(ns.cast("long"), F.lit(SECOND).cast("long")) * rate, F.lit(SECOND).cast("long")).cast("double") / SECOND
+    rows = runs.withColumn("index", F.when(over > 0.5, up - 1).otherwise(up))
+    return rows.withColumn("on_grid", F.least(over, 1 - over) <= tolerance)
+
+
+def carried_gaps(gaps: DataFrame, keys: list[str], levels: int, factor: int, reach: int = 32, samples: Column | None = None) -> DataFrame:
+    """keys, level, a, b: gaps of level 0 on each coarser grid, widened by the filter's reach, merged, and within the level's number of samples if that of level 0 is given; a loop over levels, not over data."""
+    now = gaps.select(*keys, "a", "b", *([samples.alias("_n")] if samples is not None else []))
+    size = ["_n"] if samples is not None else []
+    out = [now.select(*keys, "a", "b").withColumn("level", F.lit(0))]
     for level in range(1, levels):
-        wide = now.select(*keys, F.greatest(F.lit(0), F.floor(F.col("a") / factor) - reach).alias("a"), (F.floor(F.col("b") / factor) + 1 + reach).alias("b"))
-        now = union(wide, keys)
-        out.append(now.withColumn("level", F.lit(level)))
+        end = F.floor(F.col("b") / factor) + 1 + reach
+        cut = [F.ceil(F.col("_n") / factor).alias("_n")] if size else []
+        end = F.least(end, F.ceil(F.col("_n") / factor)) if size else end
+        wide = now.select(*keys, *cut, F.greatest(F.lit(0), F.floor(F.col("a") / factor) - reach).alias("a"), end.alias("b"))
+        now = union(wide.where("a < b"), [*keys, *size])
+        out.append(now.select(*keys, "a", "b").withColumn("level", F.lit(level)))
     return reduce(DataFrame.unionByName, out)
 
 
@@ -97,12 +118,10 @@ def burst_grid(bursts: DataFrame, keys: list[str], slot: str, sample: str, per:
 
 
 def own_station(files: DataFrame, folder: str, station: str, header: str) -> DataFrame:
-    """files of each folder's own station, names compared without case and leading zeros: the one named like the folder, else the one of the log's header if no other has more files, else the one with most files, then by name."""
-    def key(c: str) -> Column:
-        return F.regexp_replace(F.upper(c), "^0+", "")
-
-    n = files.groupBy(folder, key(station).alias("_s")).agg(F.count("*").alias("_n"), F.max((key(station) == key(folder)).cast("int")).alias("_named"), F.max((key(station) == key(header)).cast("int")).alias("_head"))
-    most = F.max("_n").over(Window.partitionBy(folder))
-    rank = F.row_number().over(Window.partitionBy(folder).orderBy(F.desc("_named"), F.desc(F.when(F.col("_n") == most, F.coalesce("_head", F.lit(0))).otherwise(0)), F.desc("_n"), "_s"))
-    own = n.withColumn("_r", rank).where("_r = 1").select(folder, "_s")
-    return files.withColumn("_s", key(station)).join(own, [folder, "_s"]).drop("_s")
+    """files of each folder's own station: the one named like the folder; else, where the log's header names one that has files, that one, or the first by name of those with most files if others have more. Where neither has files, all of the folder's files stay. Names are compared by `station_key`; a file without a station is none's."""
+    name, like, head = (station_key(F.col(c)) for c in (station, folder, header))
+    n = files.withColumn("_s", F.nullif(name, F.lit(""))).where("_s is not null").groupBy(folder, "_s").agg(F.count("*").alias("_n"), F.max((name == like).cast("int")).alias("_named"), F.max((name == head).cast("int")).alias("_head"))
+    logged = F.col("_head") == 1
+    facts = n.groupBy(folder).agg(F.max(F.when(F.col("_named") == 1, F.col("_s"))).alias("_own"), F.max(F.when(logged, F.col("_s"))).alias("_log"), F.max(F.when(logged, F.col("_n"))).alias("_log_n"), F.max("_n").alias("_most"), F.min_by("_s", F.struct(-F.col("_n"), "_s")).alias("_top"))
+    own = facts.select(folder, F.coalesce("_own", F.when(F.col("_log_n") >= F.col("_most"), F.col("_log")).when(F.col("_log").isNotNull(), F.col("_top"))).alias("_own"))
+    return files.join(own, folder, "left").where(F.col("_own").isNull() | (name == F.col("_own"))).select(*files.columns)

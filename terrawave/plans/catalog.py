@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ["field", "intervals", "products", "quality", "transfer"]
+_MODULES = ["cleaning", "field", "intervals", "products", "quality", "transfer"]
 
 
 def query(name: str, sql: str | None = None):

@@ -177,11 +177,10 @@ def rows_as_laid(spark, sf_dir):
     return _vec(corrections.as_laid(rows, declared, {"ex": ["hx", "hy"], "ey": ["ey"]}), "hx", "hy", "ey")
 
 
-@query("files_split_at_gaps", sql(SPANS, "SELECT site, run_id, CAST(sum(n) OVER (PARTITION BY site ORDER BY a, b, run_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM (SELECT *, CASE WHEN abs(a - lag(b) OVER (PARTITION BY site ORDER BY a, b, run_id)) <= 90 THEN 0 ELSE 1 END AS n FROM spans)"))
+@query("files_split_at_gaps", sql(SPANS, "SELECT site, run_id, CAST(sum(n) OVER (PARTITION BY site ORDER BY a, b, run_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM (SELECT *, CASE WHEN abs(a - lag(b) OVER (PARTITION BY site ORDER BY a, b)) <= 90 AND run_id % 2 = lag(run_id % 2) OVER (PARTITION BY site ORDER BY a, b) THEN 0 ELSE 1 END AS n FROM spans)"))
 def files_split_at_gaps(spark, sf_dir):
-    """Files into runs at gaps of more than 90 days."""
-    rows = spans(spark, sf_dir).withColumn("b", F.col("b"))
-    return _runs_of(runs.split_at_gaps(rows, ["site"], 90))
+    """Files into runs at gaps of more than 90 days and at changes of rate."""
+    return _runs_of(runs.split_at_gaps(spans(spark, sf_dir).withColumn("rate", F.col("run_id") % 2), ["site"], 90, "rate"))
 
 
 def _runs_of(rows):
@@ -202,25 +201,28 @@ def sequences_aligned(spark, sf_dir):
     return runs.aligned(rows, ["rec"], "folder", "seq", "n").select("rec", "seq", "n")
 
 
-@query("files_of_other_rate", sql(SPANS, "c AS (SELECT site, a AS since, max(CAST(run_id % 2 AS DOUBLE)) AS rate FROM spans WHERE run_id % 3 = 0 GROUP BY 1, 2)", "l AS (SELECT s.site, s.run_id, s.a, max(c.since) AS since FROM spans s JOIN c ON s.site = c.site AND c.since <= s.a GROUP BY 1, 2, 3)", "SELECT l.site, l.run_id, CAST(l.a AS BIGINT) AS a, rate FROM l JOIN c ON l.site = c.site AND l.since = c.since WHERE rate <> 1"))
+_RATES = [f"l{i} AS (SELECT s.run_id, max(c.since) AS since FROM spans s JOIN c ON s.site = c.site AND c.since <= s.a AND c.channel = {i} GROUP BY 1)" for i in (0, 1)]
+
+
+@query("files_of_other_rate", sql(SPANS, "c AS (SELECT site, a AS since, run_id // 3 % 2 AS channel, max(CAST(run_id % 2 AS DOUBLE)) AS rate FROM spans WHERE run_id % 3 = 0 GROUP BY 1, 2, 3)", *_RATES, "r AS (SELECT s.site, s.run_id, s.a, x.rate AS r0, y.rate AS r1 FROM spans s LEFT JOIN l0 ON s.run_id = l0.run_id LEFT JOIN c x ON x.site = s.site AND x.since = l0.since AND x.channel = 0 LEFT JOIN l1 ON s.run_id = l1.run_id LEFT JOIN c y ON y.site = s.site AND y.since = l1.since AND y.channel = 1)", "SELECT site, run_id, CAST(a AS BIGINT) AS a, CAST((CASE WHEN r0 IS NULL THEN 0 ELSE 1 END) + (CASE WHEN r1 IS NULL THEN 0 ELSE 1 END) AS INTEGER) AS known FROM r WHERE coalesce(r0, 1) <> 1 OR coalesce(r1, 1) <> 1"))
 def files_of_other_rate(spark, sf_dir):
-    """Files written at another rate than the site's, by its log of changes."""
+    """Files with a channel at another rate than the site's, by its log of changes."""
     rows = spans(spark, sf_dir)
-    changes = rows.where("run_id % 3 = 0").select("site", F.col("a").alias("since"), (F.col("run_id") % 2).cast("double").alias("rate"))
-    return runs.of_other_rate(rows.select("site", "run_id", "a"), changes, ["site"], 1.0).select("site", "run_id", "a", "rate")
+    changes = rows.where("run_id % 3 = 0").select("site", F.col("a").alias("since"), F.expr("cast(run_id div 3 % 2 as string)").alias("channel"), (F.col("run_id") % 2).cast("double").alias("rate"))
+    return runs.of_other_rate(rows.select("site", "run_id", "a"), changes, ["site"], 1.0, ["0", "1"]).select("site", "run_id", "a", F.size("rates").alias("known"))
 
 
-@query("runs_on_grid", sql(SPANS, "SELECT site, run_id, CAST(round((run_id * 33333333 - 1000000000) * 30 / 1000000000.0) AS BIGINT) AS index, abs((run_id * 33333333 - 1000000000) * 30 / 1000000000.0 - round((run_id * 33333333 - 1000000000) * 30 / 1000000000.0)) <= 1e-3 AS on_grid FROM spans"))
+@query("runs_on_grid", sql(SPANS, "t AS (SELECT site, run_id, CAST(run_id AS HUGEINT) * 3333333333333 - 1000000000 AS ns FROM spans)", "u AS (SELECT site, run_id, (ns * 24000) // 1000000000 AS down, (ns * 24000) % 1000000000 AS over FROM t)", "SELECT site, run_id, CAST(down + CASE WHEN over >= 500000000 THEN 1 ELSE 0 END AS BIGINT) AS index, least(over, 1000000000 - over) / 1000000000.0 <= 1e-3 AS on_grid FROM u"))
 def runs_on_grid(spark, sf_dir):
-    """Places of runs on a grid of 30 Hz from an origin."""
-    rows = spans(spark, sf_dir).withColumn("start", F.col("run_id").cast("long") * 33333333)
-    return runs.placed(rows, F.lit(1_000_000_000), F.lit(30)).select("site", "run_id", "index", "on_grid")
+    """Places of runs on a grid of 24 kHz, years from its origin."""
+    rows = spans(spark, sf_dir).withColumn("start", F.col("run_id").cast("long") * 3333333333333)
+    return runs.placed(rows, F.lit(1_000_000_000), F.lit(24_000)).select("site", "run_id", "index", "on_grid")
 
 
-@query("gaps_carried_down", sql(SPANS, *(f"w{i} AS (SELECT site, greatest(0, floor(a / 4.0) - 32) AS a, floor(b / 4.0) + 1 + 32 AS b FROM {'spans' if i == 1 else f'u{i - 1}'}), r{i} AS (SELECT *, max(b) OVER (PARTITION BY site ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM w{i}), u{i} AS (SELECT site, min(a) AS a, max(b) AS b FROM (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY site ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM r{i}) GROUP BY site, g)" for i in (1, 2)), "SELECT site, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, CAST(level AS INTEGER) AS level FROM (SELECT site, a, b, 1 AS level FROM u1 UNION ALL SELECT site, a, b, 2 FROM u2)"))
+@query("gaps_carried_down", sql(SPANS.replace("FROM orders", "FROM orders WHERE epoch_us(o_orderdate) // 86400000000 < 9500"), *(f"w{i} AS (SELECT site, greatest(0, floor(a / 4.0) - 32) AS a, least(floor(b / 4.0) + 1 + 32, {2375 if i == 1 else 594}) AS b FROM {'spans' if i == 1 else f'u{i - 1}'}), r{i} AS (SELECT *, max(b) OVER (PARTITION BY site ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM w{i}), u{i} AS (SELECT site, min(a) AS a, max(b) AS b FROM (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY site ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM r{i}) GROUP BY site, g)" for i in (1, 2)), "SELECT site, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b, CAST(level AS INTEGER) AS level FROM (SELECT site, a, b, 1 AS level FROM u1 UNION ALL SELECT site, a, b, 2 FROM u2)"))
 def gaps_carried_down(spark, sf_dir):
     """Gaps on coarser levels, widened by the filter's reach."""
-    out = runs.carried_gaps(spans(spark, sf_dir), ["site"], 3, 4).where("level > 0")
+    out = runs.carried_gaps(spans(spark, sf_dir).where("a < 9500"), ["site"], 3, 4, samples=F.lit(9500)).where("level > 0")
     return out.select("site", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), "level")
 
 
@@ -427,7 +429,7 @@ def azimuth_spreads(spark, sf_dir):
     return out.select(F.col("site").cast("long").alias("site"), "hours", r6("spread", "spread"))
 
 
-@query("lattices_merged", sql("p AS (SELECT CAST(l_suppkey AS BIGINT) AS site, l_quantity * (1 + (l_linenumber % 3) * 4e-10) AS period FROM lineitem)", "g AS (SELECT *, CASE WHEN period / lag(period) OVER (PARTITION BY site ORDER BY period) - 1 <= 1e-9 THEN 0 ELSE 1 END AS n FROM p)", f"SELECT site, {q6('min(period)', 'period')}, count(*) AS n FROM (SELECT *, sum(n) OVER (PARTITION BY site ORDER BY period ROWS UNBOUNDED PRECEDING) AS r FROM g) GROUP BY site, r"))
+@query("lattices_merged", sql("p AS (SELECT CAST(l_suppkey AS BIGINT) AS site, l_quantity * (1 + (l_linenumber % 3) * 4e-10) AS period FROM lineitem)", "g AS (SELECT *, CASE WHEN period / lag(period) OVER (PARTITION BY site ORDER BY period) - 1 <= 1e-9 THEN 0 ELSE 1 END AS n FROM p)", f"SELECT site, {q6('min(period)', 'period')}, count(*) AS n FROM (SELECT *, sum(n) OVER (PARTITION BY site ORDER BY period RANGE UNBOUNDED PRECEDING) AS r FROM g) GROUP BY site, r"))
 def lattices_merged(spark, sf_dir):
     """Periods of each site that differ by rounding alone made one."""
     p = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("long").alias("site"), (F.col("l_quantity") * (1 + (F.col("l_linenumber") % 3) * 4e-10)).alias("period"))
@@ -480,12 +482,12 @@ def site_findings(spark, sf_dir):
     return tables.findings(s, ["site"], [(F.col("s_acctbal") < 0, "STOP", "no position"), (F.col("s_acctbal") > 5000, "warn", "far apart"), (F.col("s_nationkey") % 3 == 0, "warn", "lines not square")])
 
 
-@query("masks_on_grid", sql("m AS (SELECT CAST(event_id AS BIGINT) AS id, event_id * 37000000 AS a, event_id * 37000000 + (event_id % 9) * 21000000 AS b FROM events)", "g AS (SELECT id, greatest(0, CAST(ceil((a - 1000000000) * 30 / 1000000000.0) AS BIGINT)) AS f, least(20000, CAST(ceil((b - 1000000000) * 30 / 1000000000.0) AS BIGINT)) AS l FROM m)", 'SELECT id, f AS "first", l AS "last" FROM g WHERE f < l'))
+@query("masks_on_grid", sql("m AS (SELECT CAST(event_id AS BIGINT) AS id, CAST(event_id AS HUGEINT) * 3700000000001 AS a, CAST(event_id AS HUGEINT) * 3700000000001 + (event_id % 9) * 21000000 AS b FROM events)", "g AS (SELECT id, greatest(0, ((a - 1000000000) * 24000 + 999999999) // 1000000000) AS f, least(900000000000, ((b - 1000000000) * 24000 + 999999999) // 1000000000) AS l FROM m)", 'SELECT id, CAST(f AS BIGINT) AS "first", CAST(l AS BIGINT) AS "last" FROM g WHERE f < l'))
 def masks_on_grid(spark, sf_dir):
-    """Samples of a grid of 30 Hz that masks cover."""
+    """Samples of a grid of 24 kHz that masks cover."""
     i = F.col("event_id").cast("long")
-    m = table(spark, sf_dir, "events").select(i.alias("id"), (i * 37000000).alias("a"), (i * 37000000 + (i % 9) * 21000000).alias("b"))
-    return masking.on_grid(m, F.lit(1_000_000_000), F.lit(20000), F.lit(30)).select("id", "first", "last")
+    m = table(spark, sf_dir, "events").select(i.alias("id"), (i * 3700000000001).alias("a"), (i * 3700000000001 + (i % 9) * 21000000).alias("b"))
+    return masking.on_grid(m, F.lit(1_000_000_000), F.lit(900_000_000_000), F.lit(24_000)).select("id", "first", "last")
 
 
 _KEPT = "f AS (SELECT site, k, max(x) > 55 AS kept FROM samples GROUP BY 1, 2)"
@@ -506,28 +508,6 @@ def controls_by_half(spark, sf_dir):
     return out.select(F.col("site").cast("long").alias("site"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
 
 
-_BURSTS = """g AS (SELECT site, channel, k, k - row_number() OVER (PARTITION BY site, channel ORDER BY k) AS g FROM samples WHERE x > 50),
-r AS (SELECT site, channel, min(k) - 3 AS a, max(k) + 1 + 3 AS b FROM g GROUP BY site, channel, g HAVING count(*) >= 1),
-w AS (SELECT *, max(b) OVER (PARTITION BY site, channel ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM r),
-u AS (SELECT site, channel, min(a) AS a, max(b) AS b FROM (SELECT *, sum(CASE WHEN a <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY site, channel ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS g FROM w) GROUP BY site, channel, g)"""
-
-
-@query("bursts_found", sql(SAMPLES, _BURSTS, "SELECT site, channel, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM u"))
-def bursts_found(spark, sf_dir):
-    """Loud stretches, padded and merged."""
-    out = masking.bursts(samples(spark, sf_dir), ["site", "channel"], F.col("x") > 50, 1, 3)
-    return out.select(F.col("site").cast("long").alias("site"), "channel", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-
-
-@query("bursts_filled", sql(SAMPLES, _BURSTS, "c AS (SELECT p.*, CASE WHEN u.a IS NULL THEN 0 WHEN least(p.k - u.a + 1, u.b - p.k) > 2 THEN 1 ELSE (1 - cos(pi() * least(p.k - u.a + 1, u.b - p.k) / 3.0)) / 2 END AS depth FROM samples p LEFT JOIN u ON p.site = u.site AND p.channel = u.channel AND p.k >= u.a AND p.k < u.b)", f"SELECT site, channel, k, {q6('x + (20 - x) * depth', 'x')} FROM c"))
-def bursts_filled(spark, sf_dir):
-    """Samples drawn to a level inside loud stretches, by a cosine at both ends."""
-    rows = samples(spark, sf_dir)
-    spans_ = masking.bursts(rows, ["site", "channel"], F.col("x") > 50, 1, 3).withColumnsRenamed({"a": "a2", "b": "b2"})
-    out = masking.spans_filled(rows.withColumn("level", F.lit(20.0)), spans_, ["site", "channel"], "x", "level", 2, 64)
-    return out.select(F.col("site").cast("long").alias("site"), "channel", "k", r6("x", "x"))
-
-
 @query("bursts_on_compact_grid", sql("b AS (SELECT CAST(l_suppkey AS BIGINT) AS site, CAST(l_orderkey AS BIGINT) AS slot, CAST(l_linenumber - 1 AS BIGINT) AS j FROM lineitem GROUP BY 1, 2, 3)", "SELECT site, slot, j, CAST((dense_rank() OVER (PARTITION BY site ORDER BY slot) - 1) * 8 + j AS BIGINT) AS index FROM b"))
 def bursts_on_compact_grid(spark, sf_dir):
     """Bursts of seven samples laid back to back."""
@@ -535,8 +515,23 @@ def bursts_on_compact_grid(spark, sf_dir):
     return runs.burst_grid(b, ["site"], "slot", "j", 7).select("site", "slot", "j", F.col("index").cast("long").alias("index"))
 
 
-@query("own_stations", sql("f AS (SELECT CAST(o_orderkey AS BIGINT) AS id, CAST(o_custkey % 50 AS VARCHAR) AS folder, CASE WHEN o_orderkey % 3 = 0 THEN '0' ELSE '' END || CAST(o_orderkey % 60 AS VARCHAR) AS station, CAST(o_custkey % 7 AS VARCHAR) AS head FROM orders)", "k AS (SELECT *, regexp_replace(station, '^0+', '') AS s, regexp_replace(folder, '^0+', '') AS fk, regexp_replace(head, '^0+', '') AS h FROM f)", "n AS (SELECT folder, s, count(*) AS n, max(CASE WHEN s = fk THEN 1 ELSE 0 END) AS named, max(CASE WHEN s = h THEN 1 ELSE 0 END) AS head FROM k GROUP BY 1, 2)", "m AS (SELECT *, max(n) OVER (PARTITION BY folder) AS most FROM n)", "o AS (SELECT folder, s FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY named DESC, CASE WHEN n = most THEN head ELSE 0 END DESC, n DESC, s) AS r FROM m) WHERE r = 1)", "SELECT id, k.folder, station FROM k JOIN o ON k.folder = o.folder AND k.s = o.s"))
+_OWN = [
+    "f AS (SELECT CAST(o_orderkey AS BIGINT) AS id, 'VIC' || CAST(o_custkey % 200 AS VARCHAR) || 'a' AS folder, CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE 'Vic' || CASE WHEN o_orderkey % 3 = 0 THEN '00' ELSE '' END || CAST(o_custkey % 200 + CASE WHEN o_custkey % 4 = 1 THEN 1 + o_orderkey % 3 ELSE o_orderkey % 4 % 3 + CASE WHEN o_custkey % 4 = 2 THEN 5 ELSE 0 END END AS VARCHAR) || 'A' || CASE WHEN o_orderkey % 5 = 0 THEN '_' ELSE '' END END AS station, 'vic' || CAST(o_custkey % 200 + CASE WHEN o_custkey % 4 = 1 THEN 2 ELSE 9 END AS VARCHAR) || 'a' AS head FROM orders)",
+    *(f"k{i} AS (SELECT *, lower(regexp_replace({c}, '[_-]+$', '')) AS {o} FROM {'f' if i == 0 else f'k{i - 1}'})" for i, (c, o) in enumerate((("station", "s0"), ("folder", "f0"), ("head", "h0")))),
+    "k AS (SELECT id, folder, station, 'vic' || regexp_replace(substr(s0, 4), '^0+([0-9])', '\\1') AS s, 'vic' || regexp_replace(substr(f0, 4), '^0+([0-9])', '\\1') AS fk, h0 AS h FROM k2)",
+    "n AS (SELECT folder, s, count(*) AS n, max(CASE WHEN s = fk THEN 1 ELSE 0 END) AS named, max(CASE WHEN s = h THEN 1 ELSE 0 END) AS head FROM k WHERE s IS NOT NULL GROUP BY 1, 2)",
+    "m AS (SELECT *, max(n) OVER (PARTITION BY folder) AS most, max(named) OVER (PARTITION BY folder) AS any_named, max(head) OVER (PARTITION BY folder) AS any_head, row_number() OVER (PARTITION BY folder ORDER BY n DESC, s) AS r FROM n)",
+    "o AS (SELECT folder, s FROM m WHERE CASE WHEN any_named = 1 THEN named = 1 WHEN any_head = 0 THEN FALSE WHEN EXISTS (SELECT 1 FROM m m2 WHERE m2.folder = m.folder AND m2.head = 1 AND m2.n = m2.most) THEN head = 1 ELSE r = 1 END)",
+    "a AS (SELECT DISTINCT folder FROM o)",
+]
+
+
+@query("own_stations", sql(*_OWN, "SELECT id, k.folder, station FROM k LEFT JOIN a ON k.folder = a.folder LEFT JOIN o ON k.folder = o.folder AND k.s = o.s WHERE a.folder IS NULL OR o.s IS NOT NULL"))
 def own_stations(spark, sf_dir):
-    """Files of each folder's own station."""
-    f = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"), (F.col("o_custkey") % 50).cast("string").alias("folder"), F.concat(F.when(F.col("o_orderkey") % 3 == 0, "0").otherwise(""), (F.col("o_orderkey") % 60).cast("string")).alias("station"), (F.col("o_custkey") % 7).cast("string").alias("head"))
+    """Files of each folder's own station: of some folders the one named like them, of others the log's or the fullest, of the rest all."""
+    site, i = F.col("o_custkey") % 200, F.col("o_orderkey")
+    off = F.when(F.col("o_custkey") % 4 == 1, 1 + i % 3).otherwise(i % 4 % 3 + F.when(F.col("o_custkey") % 4 == 2, 5).otherwise(0))
+    station = F.when(i % 11 != 0, F.concat(F.lit("Vic"), F.when(i % 3 == 0, "00").otherwise(""), (site + off).cast("string"), F.lit("A"), F.when(i % 5 == 0, "_").otherwise("")))
+    head = F.concat(F.lit("vic"), (site + F.when(F.col("o_custkey") % 4 == 1, 2).otherwise(9)).cast("string"), F.lit("a"))
+    f = table(spark, sf_dir, "orders").select(i.cast("long").alias("id"), F.concat(F.lit("VIC"), site.cast("string"), F.lit("a")).alias("folder"), station.alias("station"), head.alias("head"))
     return runs.own_station(f, "folder", "station", "head").select("id", "folder", "station")

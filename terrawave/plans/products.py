@@ -150,13 +150,6 @@ def channel_stats(spark, sf_dir):
     return d.join(s, ["site", "channel"]).groupBy("site", "channel").agg(F.count("*").alias("n"), r6(F.max("med"), "median"), r6(F.max("mad"), "mad"), r6(F.percentile("x", F.lit(0.05)), "p5"), r6(F.percentile("x", F.lit(0.95)), "p95"), r6(F.avg(beyond), "beyond"))
 
 
-@query("running_median_residual", sql(LONG, f"SELECT site, channel, CAST(k AS BIGINT) AS k, {q6('x - median(x) OVER (PARTITION BY site, channel ORDER BY k ROWS BETWEEN 10 PRECEDING AND 10 FOLLOWING)', 'x')} FROM long_daily"))
-def running_median_residual(spark, sf_dir):
-    """Residual about a running median."""
-    w = Window.partitionBy("site", "channel").orderBy("k").rowsBetween(-10, 10)
-    return long_daily(spark, sf_dir).select("site", "channel", "k", r6(F.col("x") - F.percentile("x", F.lit(0.5)).over(w), "x"))
-
-
 @query("block_reduction", sql(LONG, f"SELECT site, channel, CAST(k // 16 AS BIGINT) AS block, {q6('avg(x)', 'mean')}, {q6('min(x)', 'least')}, {q6('max(x)', 'most')} FROM long_daily GROUP BY site, channel, k // 16 HAVING count(*) = 16"))
 def block_reduction(spark, sf_dir):
     """Mean, least and most of whole blocks."""

@@ -59,26 +59,6 @@ def spacing_anomalies(spark, sf_dir):
     return f.join(m, "site").where("d > 3 * m").select("site", "a", F.col("d").alias("spacing"), r6("m", "usual"))
 
 
-@query("despiked", sql(LONG, "d AS (SELECT *, x - lag(x) OVER (PARTITION BY site, channel ORDER BY k) AS step FROM long_daily)", "m AS (SELECT site, channel, 1.4826 * median(abs(step)) AS s FROM d GROUP BY site, channel)", "b AS (SELECT d.site, d.channel, d.k, d.x, max(CASE WHEN round(abs(step), 9) > round(4 * s, 9) THEN 1 ELSE 0 END) OVER (PARTITION BY d.site, d.channel ORDER BY d.k ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS bad FROM d JOIN m ON d.site = m.site AND d.channel = m.channel)", f"SELECT site, channel, CAST(k AS BIGINT) AS k, {q6('x', 'x')} FROM b WHERE bad = 0"))
-def despiked(spark, sf_dir):
-    """Samples away from steps beyond four robust scales."""
-    w = Window.partitionBy(*_S).orderBy("k")
-    d = long_daily(spark, sf_dir).withColumn("step", F.col("x") - F.lag("x").over(w))
-    m = d.groupBy(*_S).agg((1.4826 * F.percentile(F.abs("step"), F.lit(0.5))).alias("s"))
-    jump = F.when(F.round(F.abs("step"), 9) > F.round(4 * F.col("s"), 9), 1).otherwise(0)
-    b = d.join(m, _S).withColumn("bad", F.max(jump).over(w.rowsBetween(-2, 2)))
-    return b.where("bad = 0").select(*_S, "k", r6("x", "x"))
-
-
-@query("local_level", sql(LONG, "m AS (SELECT site, channel, k // 7 AS c, median(x) AS v FROM long_daily WHERE k >= 0 GROUP BY 1, 2, 3)", "n AS (SELECT site, channel, c, v, lead(v) OVER (PARTITION BY site, channel ORDER BY c) AS nv FROM m)", f"SELECT l.site, l.channel, CAST(l.k AS BIGINT) AS k, {q6('v + (coalesce(nv, v) - v) * (l.k % 7) / 7.0', 'level')} FROM long_daily l JOIN n ON l.site = n.site AND l.channel = n.channel AND l.k // 7 = n.c"))
-def local_level(spark, sf_dir):
-    """Medians of blocks joined by straight lines."""
-    x = long_daily(spark, sf_dir).withColumn("c", F.floor(F.col("k") / 7))
-    m = x.groupBy(*_S, "c").agg(F.percentile("x", F.lit(0.5)).alias("v"))
-    m = m.withColumn("nv", F.coalesce(F.lead("v").over(Window.partitionBy(*_S).orderBy("c")), F.col("v")))
-    return x.join(m, [*_S, "c"]).select(*_S, "k", r6(F.col("v") + (F.col("nv") - F.col("v")) * (F.col("k") % 7) / 7.0, "level"))
-
-
 @query("diurnal_table", sql(HOURLY, "s AS (SELECT site, channel, k % 24 AS hour, median(x) AS m FROM hourly GROUP BY 1, 2, 3)", f"SELECT channel, CAST(hour AS BIGINT) AS hour, {q6('median(m)', 'level')} FROM s GROUP BY channel, hour"))
 def diurnal_table(spark, sf_dir):
     """Median over sites of each site's median by hour of the day."""
