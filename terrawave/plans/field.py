@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrawave.functions import names
-from terrawave.operators import choosing, corrections, filters, graph, levels, masking, robust, runs, tables
+from terrawave.operators import choosing, corrections, filters, graph, levels, masking, runs, tables
 from terrawave.plans.base import CHANNELS, SPANS, q6, r6, spans, sql, table
 from terrawave.plans.catalog import query
-from terrawave.plans.transfer import spectrum
 
 
 def samples(spark, sf_dir):
@@ -297,10 +296,6 @@ def night_masks(spark, sf_dir):
     return masking.night_masks(r, ["site"], 22, 5, "Africa/Nairobi").select(F.col("site").cast("long").alias("site"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
 
 
-def _sites(spark, sf_dir):
-    return spans(spark, sf_dir).where("run_id % 16 = 1").select("site", "a", "b").distinct()
-
-
 @query("eligible_remotes", sql(SPANS, "o AS (SELECT x.site, x.run_id, y.run_id AS other, least(x.b, y.b) - greatest(x.a, y.a) AS overlap, abs(x.run_id - y.run_id)::DOUBLE AS km FROM spans x JOIN spans y ON x.site = y.site AND x.run_id <> y.run_id AND x.a < y.b AND y.a < x.b)", "r AS (SELECT *, CASE WHEN other % 7 = 0 THEN 'never a remote' WHEN overlap < 5 THEN 'too little time in common' WHEN km < 40 THEN 'twin' END AS left_out FROM o)", "SELECT CAST(run_id AS BIGINT) AS site, CAST(other AS BIGINT) AS other, left_out, CASE WHEN left_out IS NULL THEN CAST(row_number() OVER (PARTITION BY run_id, left_out IS NULL ORDER BY km, other) AS BIGINT) END AS place FROM r"))
 def eligible_remotes(spark, sf_dir):
     """Pairs of overlapping records with the first reason against each, and the nearest of the eligible."""
@@ -364,17 +359,6 @@ def decimated_levels(spark, sf_dir):
     return out.select(F.col("site").cast("long").alias("site"), "k", "level", r6("x", "x"))
 
 
-@query("huber_impedance")
-def huber_impedance(spark, sf_dir):
-    """Huber-weighted remote-reference rows of both electric channels, by harmonic; tests hold it against loops in numpy."""
-    spec = spectrum(spark, sf_dir, ["hx", "hy", "ex", "ey", "rx", "ry"])
-    out = None
-    for e in ("ex", "ey"):
-        one = robust.huber(spec, ["site", "h"], e, ("hx", "hy"), ("rx", "ry"), rounds=6).withColumn("output", F.lit(e))
-        out = one if out is None else out.unionByName(one)
-    return out.select("site", "h", "output", "n", *(r6(c, c) for c in ("b1_re", "b1_im", "b2_re", "b2_im")))
-
-
 @query("gains_applied", sql(SAMPLES, f"SELECT site, channel, k, {q6("CASE WHEN site % 3 = 1 AND channel = 'hx' THEN x / (1 + site % 4) ELSE x END", 'x')} FROM samples"))
 def gains_applied(spark, sf_dir):
     """Samples over the gains of their channels; a gain of zero counts for none."""
