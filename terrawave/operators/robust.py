@@ -34,8 +34,16 @@ def solution(of=F.col) -> tuple[cx.Complex, cx.Complex]:
     return cx.div(cx.sub(cx.mul(m[1][1], c[0]), cx.mul(m[0][1], c[1])), det), cx.div(cx.sub(cx.mul(m[0][0], c[1]), cx.mul(m[1][0], c[0])), det)
 
 
-def _parts(b: tuple[cx.Complex, cx.Complex]) -> list[Column]:
-    return [b[0][0], b[0][1], b[1][0], b[1][1]]
+def with_solution(sums: DataFrame, names: tuple[str, str, str, str], keep: list[str]) -> DataFrame:
+    """keep and the parts of the solution under these names; in steps, so that no part is worked out twice."""
+    m = [[_c(f"m{j + 1}_{i}") for j in range(2)] for i in range(2)]
+    det = cx.sub(cx.mul(m[0][0], m[1][1]), cx.mul(m[0][1], m[1][0]))
+    c = [_c(f"c_{i}") for i in range(2)]
+    tops = cx.sub(cx.mul(m[1][1], c[0]), cx.mul(m[0][1], c[1])), cx.sub(cx.mul(m[0][0], c[1]), cx.mul(m[1][0], c[0]))
+    step = sums.select(*keep, det[0].alias("_d_re"), det[1].alias("_d_im"), *(t[q].alias(f"_t{i}_{p}") for i, t in enumerate(tops) for q, p in enumerate(("re", "im"))))
+    step = step.withColumn("_n", F.nullif(cx.power(_c("_d")), F.lit(0.0)))
+    out = [v / F.col("_n") for i in range(2) for v in cx.mul(_c(f"_t{i}"), cx.conj(_c("_d")))]
+    return step.select(*keep, *(v.alias(n) for n, v in zip(names, out, strict=True)))
 
 
 def residual(y: str, x: tuple[str, str], b: str = "") -> Column:
@@ -56,21 +64,20 @@ def solved(rows: DataFrame, keys: list[str], y: str, x: tuple[str, str], r: tupl
     slim = stash(rows.select(*keys, *(F.col(f"{c}_{p}").alias(f"{n}_{p}") for n, c in own.items() for p in ("re", "im"))), "spectra")
     y, x, r = "_y", ("_x0", "_x1"), ("_q0", "_q1")
     sums = slim.groupBy(*keys).agg(*(v.alias(k) for k, v in normal_sums(y, x, r, F.lit(1.0)).items()), F.count("*").alias("n"))
-    first = [v.alias(n) for n, v in zip(_B, _parts(solution()), strict=True)]
-    now = stash(sums.select(*keys, "n", *first).select("*", *(F.col(c).alias(f"w_{c}") for c in _B), F.lit(None).cast("double").alias("scale"), F.lit(False).alias("done")), "b")
+    now = stash(with_solution(sums, _B, [*keys, "n"]).select("*", *(F.col(c).alias(f"w_{c}") for c in _B), F.lit(None).cast("double").alias("scale"), F.lit(False).alias("done")), "b")
     held = [c for c in now.columns if c not in (*keys, "n")]
     for _ in range(rounds):
         found = slim.join(small(now), keys).withColumn("_r", residual(y, x))
         scale = found.groupBy(*keys).agg((SCALE * F.percentile("_r", F.lit(0.5)) + 1e-30).alias("_s"))
         weighed = found.join(scale, keys)
         sums = weighed.groupBy(*keys).agg(*(v.alias(k) for k, v in normal_sums(y, x, r, weight_of(F.col("_r"), F.col("_s"), threshold)).items()), F.count("*").alias("n"), F.first("_s").alias("_s"), *(F.first(c).alias(c) for c in held))
-        new = solution()
+        new = with_solution(sums, tuple(f"_{c}" for c in _B), [*keys, "n", "_s", *held])
         close = F.lit(True)
-        for i, b in enumerate(new):
-            close &= F.sqrt(cx.power(cx.sub(b, _c(f"b{i + 1}")))) <= tolerance * F.sqrt(cx.power(_c(f"b{i + 1}")))
-        out = [F.when(F.col("done"), F.col(c)).otherwise(v).alias(c) for c, v in zip(_B, _parts(new), strict=True)]
+        for b in ("b1", "b2"):
+            close &= F.sqrt(cx.power(cx.sub(_c(f"_{b}"), _c(b)))) <= tolerance * F.sqrt(cx.power(_c(b)))
+        out = [F.when(F.col("done"), F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in _B]
         out += [F.when(F.col("done"), F.col(f"w_{c}")).otherwise(F.col(c)).alias(f"w_{c}") for c in _B]
-        after = stash(sums.select(*keys, "n", *out, F.when(F.col("done"), F.col("scale")).otherwise(F.col("_s")).alias("scale"), (F.col("done") | F.coalesce(close, F.lit(False))).alias("done")), "b")
+        after = stash(new.select(*keys, "n", *out, F.when(F.col("done"), F.col("scale")).otherwise(F.col("_s")).alias("scale"), (F.col("done") | F.coalesce(close, F.lit(False))).alias("done")), "b")
         release(now)
         now = after
     release(slim)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ["cleaning", "field", "intervals", "products", "quality", "tensors", "transfer"]
+_MODULES = ["cleaning", "field", "intervals", "products", "quality", "tensors", "transfer", "welch"]
 
 
 def query(name: str, sql: str | None = None):
