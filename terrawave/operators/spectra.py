@@ -54,7 +54,7 @@ def hop_of(win: int, rate: float, half: bool = False) -> int:
 
 
 def spectra(wins: DataFrame, keys: list[str], channels: list[str], first: int, last: int, taper: np.ndarray | None = None, whiten: bool = False) -> DataFrame:
-    """keys, w, h and re, im of each channel: transforms of windows less their means, tapered, for harmonics first..last (from 1). Whitened, first differences are transformed and the difference's response is divided out."""
+    """keys, w, h and re, im of each channel: transforms of windows less their means, tapered, for harmonics first..last (from 1). Whitened, the first differences of windows a sample longer are transformed and the difference's response is divided out."""
     fields = ", ".join(f"{wins.schema[k].name} {wins.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{fields}, w long, h int, " + ", ".join(f"{c}_re double, {c}_im double" for c in channels)
 
@@ -67,9 +67,9 @@ def spectra(wins: DataFrame, keys: list[str], channels: list[str], first: int, l
             h = np.arange(first, last + 1, dtype=np.int32)
             for c in channels:
                 x = batch.column(batch.schema.get_field_index(c)).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-                t = hann(x.shape[1]) if taper is None else taper
                 if whiten:
-                    x = np.diff(x, axis=1, append=x[:, -1:])
+                    x = np.diff(x, axis=1)
+                t = hann(x.shape[1]) if taper is None else taper
                 s = np.fft.rfft((x - x.mean(axis=1, keepdims=True)) * t, axis=1)[:, first : last + 1]
                 s = (s / (np.exp(2j * np.pi * h / x.shape[1]) - 1) if whiten else s).ravel()
                 columns += [pa.array(s.real), pa.array(s.imag)]
