@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrawave.operators import blocks, bursts, masking, recursive
+from terrawave.operators import blocks, bursts, declared, glitches, masking, recursive
 from terrawave.plans.base import EPOCH, LONG, long_daily, q6, r6, sql, table
 from terrawave.plans.catalog import query
 
@@ -149,3 +149,33 @@ _GAIN = "(1 / (1 + tan(pi() / 7 / 2)))"
 def weekly_line_notched(spark, sf_dir):
     """Series without a line of seven days."""
     return recursive.notched(dense(spark, sf_dir), ["site"], "ex", 1.0, f0=1 / 7, harmonics=1, q=2.0, passes=1).select("site", "k", r6("ex", "ex"))
+
+
+@query("glitches_subtracted")
+def glitches_subtracted(spark, sf_dir):
+    """Series without what repeats every thirty days; tests hold it against one series in numpy."""
+    out = glitches.subtracted(long_dense(spark, sf_dir), ["site"], 1.0, period_s=30.0, width_s=4.0, skip_s=30.0, chunk_s=400.0, least=2.0)
+    return out.select(*_S, "k", r6("x", "x"))
+
+
+@query("filters_applied")
+def filters_applied(spark, sf_dir):
+    """A declared list: a channel turned, bursts filled, slow parts out; tests hold it against the filters one by one."""
+    filters = [{"hp": {"cutoff_hz": 0.01}}, {"flip": {"channels": ["hx"]}}, {"notch": {"f0": 1 / 7, "q": 4.0, "passes": 1, "channels": ["ex"]}}]
+    return declared.applied(long_dense(spark, sf_dir), ["site"], 1.0, filters).select(*_S, "k", r6("x", "x"))
+
+
+_CYCLES = f"""cc AS (SELECT *, (k - min(k) OVER (PARTITION BY site, channel)) AS i, max(k) OVER (PARTITION BY site, channel) + 1 - min(k) OVER (PARTITION BY site, channel) AS n FROM long_dense),
+cw AS (SELECT *, i // 280 AS w, i % 280 AS o, least(280, n - i // 280 * 280) AS size FROM cc),
+ct AS (SELECT *, CAST(floor(o / 7.3) AS BIGINT) + d AS j FROM cw, (SELECT unnest([-1, 0, 1]) AS d)),
+cp AS (SELECT *, o - CAST(round_even(j * 7.3, 0) AS BIGINT) AS p FROM ct WHERE floor(size / 7.3) >= 5 AND j >= 0 AND j < floor(size / 7.3)),
+cq AS (SELECT * FROM cp WHERE p >= 0 AND p < 7 AND round_even(j * 7.3, 0) + w * 280 + 7 <= n),
+cm AS (SELECT site, channel, w, p, median(x) AS m FROM cq GROUP BY 1, 2, 3, 4),
+cz AS (SELECT site, channel, w, median(m) AS z FROM cm GROUP BY 1, 2, 3),
+cl AS (SELECT q.site, q.channel, q.k, sum(m - z) AS less FROM cq q JOIN cm ON q.site = cm.site AND q.channel = cm.channel AND q.w = cm.w AND q.p = cm.p JOIN cz ON q.site = cz.site AND q.channel = cz.channel AND q.w = cz.w GROUP BY 1, 2, 3)"""
+
+
+@query("fractional_cycles_subtracted", sql(LONG_DENSE, _CYCLES, f"SELECT c.site, c.channel, c.k, {q6('c.x - coalesce(less, 0)', 'x')} FROM cc c LEFT JOIN cl ON c.site = cl.site AND c.channel = cl.channel AND c.k = cl.k"))
+def fractional_cycles_subtracted(spark, sf_dir):
+    """Series without the median cycle of a period that is no whole number of samples."""
+    return declared.cycles_subtracted(long_dense(spark, sf_dir), _S, "x", 7.3, 280).select(*_S, "k", r6("x", "x"))
