@@ -274,3 +274,55 @@ def digests(rows: DataFrame, found: DataFrame) -> DataFrame:
 
     made = _edits(rows, found).mapInPandas(run, "conv string, " + ", ".join(f"{c} long" for c in FACTS) + ", audit string, repaired_sha256 string")
     return made.withColumn("conv", F.col("conv").cast(kind))
+
+
+def _oracle() -> str:
+    """The rows of op11, for DuckDB: costs to the end from the last row to the first, as strings of cost and edits so that the least is the answer, then the edits from the first row on."""
+    def more(x: str, cost: str, letters: str) -> str:
+        return f"(lpad(CAST(CAST(substr({x}, 1, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || '{letters}' || substr({x}, 10))"
+
+    step = "v0"
+    table = "SELECT i, i AS v0 FROM (SELECT unnest(range(0, 256)) AS i)"
+    for k in range(1, 9):
+        table = f"SELECT i, CASE WHEN v{k - 1} % 2 = 1 THEN xor(v{k - 1} // 2, 3988292384) ELSE v{k - 1} // 2 END AS v{k} FROM ({table})"
+        step = f"v{k}"
+    base = []
+    for q in range(4):
+        rerole = f"CASE WHEN fault NOT IN ('blank', 'duplicate') THEN {more(f'f{NEXT[q]}', f'{REROLE} + extra', 'R')} END"
+        keep = f"CASE WHEN fault NOT IN ('blank', 'duplicate') AND initial = '{PUT[q][0]}' THEN {more(f'f{NEXT[q]}', 'extra', 'K')}" + (f" WHEN fault NOT IN ('blank', 'duplicate') AND initial = 's' THEN {more('f1', 'extra', 'K')}" if q == 0 else "") + " END"
+        base.append(f"least({more(f'f{q}', str(DELETE), 'D')}, coalesce({keep}, '9'), coalesce({rerole}, '9')) AS b{q}")
+    relaxed = ", ".join(f"least(b{q}, {more(f'b{NEXT[q]}', str(INSERT), 'I')}, {more(f'b{NEXT[NEXT[q]]}', str(2 * INSERT), 'II')})" for q in range(4))
+    put = "CASE WHEN q = 2 THEN 'assistant' ELSE 'user' END"
+    follow = "CASE WHEN q = 2 THEN 3 ELSE 2 END"
+    return rf"""
+WITH RECURSIVE
+bytes AS (SELECT i, {step} AS v FROM ({table})),
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+crc AS (SELECT DISTINCT s, CAST(0 AS BIGINT) AS i, CAST(4294967295 AS BIGINT) AS c FROM named
+  UNION ALL SELECT s, crc.i + 1, xor(c // 256, b.v) FROM crc JOIN bytes b ON b.i = xor(c % 256, ascii(substr(s, CAST(crc.i AS INTEGER) + 1, 1))) WHERE crc.i < length(s)),
+kinds AS (SELECT s, xor(c, 4294967295) % 20 AS kind FROM crc WHERE i = length(s)),
+made AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, kind FROM named JOIN kinds USING (s)),
+rows AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn ASC NULLS FIRST, role, sha256(text), copy) AS i FROM (SELECT *, unnest(range(0, CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM made WHERE kind <> 0)),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before, count(*) OVER (PARTITION BY conv_id) AS n FROM rows),
+faults AS (SELECT *, substr(role, 1, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM seen),
+back AS (
+  SELECT conv_id, CAST(max(n) AS BIGINT) AS i, '000000000' AS f0, '000000004II' AS f1, '000000002I' AS f2, '000000000' AS f3 FROM faults GROUP BY conv_id
+  UNION ALL SELECT conv_id, i - 1, {relaxed} FROM (
+    SELECT b.conv_id, b.i, {", ".join(base)} FROM (SELECT b.*, f.fault, f.initial, CASE WHEN f.fault = 'truncated' THEN {TRUNCATED} ELSE 0 END AS extra FROM back b JOIN faults f ON f.conv_id = b.conv_id AND f.i = b.i) b)),
+best AS (SELECT conv_id, CAST(substr(f0, 1, 9) AS BIGINT) AS cost, substr(f0, 10) AS audit FROM back WHERE i = 0),
+walk AS (
+  SELECT conv_id, audit, CAST(0 AS BIGINT) AS j, CAST(0 AS BIGINT) AS i, 0 AS q, CAST(NULL AS VARCHAR) AS acc FROM best
+  UNION ALL SELECT w.conv_id, w.audit, w.j + 1, CASE WHEN letter = 'I' THEN w.i ELSE w.i + 1 END,
+    CASE WHEN letter = 'D' THEN q WHEN letter = 'K' AND q = 0 AND substr(f.role, 1, 1) = 's' THEN 1 ELSE {follow} END,
+    CASE WHEN letter = 'D' THEN acc ELSE coalesce(acc || chr(10), '') || CASE letter WHEN 'I' THEN {put} || ':' WHEN 'R' THEN {put} || ':' || f.text ELSE f.role || ':' || f.text END END
+  FROM (SELECT *, substr(audit, CAST(j AS INTEGER) + 1, 1) AS letter FROM walk WHERE j < length(audit)) w LEFT JOIN rows f ON f.conv_id = w.conv_id AND f.i = w.i + 1),
+done AS (SELECT conv_id, sha256(coalesce(acc, '')) AS h FROM walk WHERE j = length(audit)),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (before IS NOT NULL AND substr(before, 1, 1) || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM faults GROUP BY conv_id)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN facts f ON a.conv_id = f.conv_id LEFT JOIN best b ON a.conv_id = b.conv_id LEFT JOIN done d ON a.conv_id = d.conv_id
+"""
+
+
+#: The rows of op11, for DuckDB.
+ORACLE = _oracle()

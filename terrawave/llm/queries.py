@@ -118,4 +118,4 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": warc.ORACLE, "op9_embedding_dedup": embedding_dedup.ORACLE, "op10_mixing": mixing.ORACLE, "op12_fill_middle": fill_middle.ORACLE}
+    return {"op8_warc": warc.ORACLE, "op9_embedding_dedup": embedding_dedup.ORACLE, "op10_mixing": mixing.ORACLE, "op11_conversation_repair": conversations.ORACLE, "op12_fill_middle": fill_middle.ORACLE}
