@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from terrawave.operators import grouping, mains, resample, stacks
+from terrawave.operators import grouping, lattice, mains, resample, stacks
 from terrawave.plans.base import q6, r6, sql, table
 from terrawave.plans.catalog import query
 from terrawave.plans.cleaning import DENSE, dense, long_dense
@@ -173,3 +173,46 @@ def resampled(spark, sf_dir):
 def mains_subtracted(spark, sf_dir):
     """Series without a week's cycle and its harmonics, by a fitted model; tests hold it against one series in numpy."""
     return mains.subtracted(dense(spark, sf_dir), ["site"], "hx", 28.0, f0=4.0, harmonics=3, block_s=4.0).select("site", "k", r6("hx", "hx"))
+
+
+def _merge_sql(name: str, source: str) -> str:
+    return f"{name} AS MATERIALIZED (SELECT site, period FROM (SELECT *, lag(period) OVER (PARTITION BY site ORDER BY period) AS b FROM (SELECT DISTINCT site, period FROM ({source}))) WHERE b IS NULL OR log10(period) - log10(b) > 1e-5)"
+
+
+def _near_sql(rows: str, others: str, test: str = "<= 1e-5", columns: str = "site, period") -> str:
+    """rows with `hit`, whether a period of others is near."""
+    mine = ", ".join(f"r.{c}" for c in columns.split(", "))
+    return f"SELECT {mine}, coalesce(bool_or(abs(log10(o.period) - log10(r.period)) {test}), FALSE) AS hit FROM {rows} r LEFT JOIN {others} o ON r.site = o.site GROUP BY {mine}"
+
+
+_GRID = (
+    "so AS MATERIALIZED (SELECT CAST(l_suppkey // 10 AS BIGINT) AS site, 'P' || (l_suppkey % 4) AS source, l_suppkey % 4 AS rank, CASE WHEN l_linenumber % 2 = 0 THEN 'xy' ELSE 'yx' END AS mode, (l_quantity + l_suppkey % 4 * 3) * (CASE WHEN l_suppkey % 4 > 1 THEN 1.037 ELSE 1.0 END) AS period, avg(l_discount) > 0.045 AS usable, l_quantity BETWEEN 3 + l_suppkey % 4 AND 46 AS inside FROM lineitem GROUP BY l_suppkey // 10, l_suppkey % 4, l_linenumber % 2, l_quantity)",
+    "fi AS (SELECT site, arg_min(source, rank) AS f FROM so WHERE mode = 'xy' GROUP BY 1)",
+    "rf AS MATERIALIZED (SELECT so.site, period FROM so JOIN fi ON so.site = fi.site WHERE source = f AND mode = 'xy')",
+    "sp AS (SELECT site, log10(min(period)) - 1e-5 AS lo, log10(max(period)) + 1e-5 AS hi FROM rf GROUP BY 1)",
+    "fu AS (SELECT DISTINCT site, source, period FROM so)",
+    f"ah AS ({_near_sql('fu', 'rf', columns='site, source, period')})",
+    "ac AS MATERIALIZED (SELECT ah.*, log10(period) BETWEEN lo AND hi AS i, source = f AS first FROM ah JOIN sp ON ah.site = sp.site JOIN fi ON ah.site = fi.site)",
+    "onl AS MATERIALIZED (SELECT site, source FROM ac GROUP BY 1, 2 HAVING bool_or(first) OR (count(*) FILTER (i) > 0 AND 2 * count(*) FILTER (i AND hit) >= count(*) FILTER (i)))",
+    _merge_sql("lt", "SELECT site, period FROM rf UNION ALL SELECT ac.site, ac.period FROM ac JOIN onl ON ac.site = onl.site AND ac.source = onl.source WHERE NOT i AND NOT first"),
+    _merge_sql("un", "SELECT site, period FROM so WHERE usable AND inside"),
+    f"uo AS MATERIALIZED ({_near_sql('un', 'lt')})",
+    "ofs AS MATERIALIZED (SELECT so.*, lead(period) OVER w AS nx, lead(usable) OVER w AS ok FROM so LEFT JOIN onl ON so.site = onl.site AND so.source = onl.source WHERE inside AND onl.source IS NULL WINDOW w AS (PARTITION BY so.site, so.source, mode ORDER BY period))",
+    "ou AS (SELECT DISTINCT site, period FROM ofs WHERE usable)",
+    f"le AS ({_near_sql('lt', 'ou')})",
+    _merge_sql("kp", "SELECT site, period FROM uo WHERE hit UNION ALL SELECT site, period FROM le WHERE hit UNION ALL SELECT lt.site, lt.period FROM lt JOIN ofs o ON lt.site = o.site AND o.usable AND o.ok AND lt.period > o.period AND lt.period < o.nx"),
+    "uf AS (SELECT site, period FROM uo WHERE NOT hit)",
+    f"ur AS ({_near_sql('uf', 'kp', '< 0.02')})",
+    _merge_sql("gr", "SELECT site, period FROM kp UNION ALL SELECT site, period FROM ur WHERE NOT hit"),
+    f"ga AS ({_near_sql('gr', 'un')})",
+)
+
+
+@query("first_lattice", sql(*_GRID, f"SELECT site, {q6('period', 'period')}, NOT hit AS added FROM ga"))
+def first_lattice(spark, sf_dir):
+    """The grid of each site's merge on the lattice of its first source."""
+    rank, q = F.col("l_suppkey") % 4, F.col("l_quantity")
+    s = table(spark, sf_dir, "lineitem").groupBy(F.expr("cast(l_suppkey div 10 as bigint)").alias("site"), rank.alias("rank"), (F.col("l_linenumber") % 2).alias("m"), q.alias("q")).agg((F.avg("l_discount") > 0.045).alias("usable"))
+    s = s.select("site", F.concat(F.lit("P"), F.col("rank").cast("string")).alias("source"), "rank", F.when(F.col("m") == 0, "xy").otherwise("yx").alias("mode"), ((F.col("q") + F.col("rank") * 3) * F.when(F.col("rank") > 1, 1.037).otherwise(1.0)).alias("period"), "usable", ((F.col("q") >= 3 + F.col("rank")) & (F.col("q") <= 46)).alias("inside"))
+    grid, _, _ = lattice.first_lattice(s, ["site"])
+    return grid.select("site", r6("period", "period"), "added")
