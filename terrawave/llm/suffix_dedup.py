@@ -29,6 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrawave.session import release, stash
+
 LENGTH, GRAM = 100, 16
 BUCKET = 8 << 20  # bytes of text for a bucket
 BATCH, SLICE = 6 << 20, 1 << 20  # bytes of text whose equal stretches are merged, and whose hashes are held
@@ -319,13 +321,12 @@ def survey(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
             keys, n = np.unique(np.concatenate(keys), return_counts=True) if keys else (nothing, np.empty(0, np.int64))
             yield pa.RecordBatch.from_arrays([pa.array([sum(len(t) for *_, t in held)] + [0] * len(keys)), pa.array([None, *keys.astype(np.int64).tolist()], pa.int64()), pa.array([0, *n.tolist()], pa.int64())], ["size", "key", "n"])
 
-    counts = slim.mapInArrow(run, "size long, key long, n long").groupBy("key").agg(F.sum("size").alias("size"), F.sum("n").alias("n"))
+    counts = stash(slim.mapInArrow(run, "size long, key long, n long").groupBy("key").agg(F.sum("size").alias("size"), F.sum("n").alias("n")), "keys")
     total = F.sum(F.coalesce(F.col("size"), F.lit(0)))
     size, n = counts.agg(total, F.sum("n")).first() or (0, 0)
     least = max(FREQUENT, (n or 0) * SAMPLED // SHARE) // SAMPLED
-    if not n or n < least:
-        return size or 0, nothing
-    frequent = counts.where(F.col("key").isNotNull() & (F.col("n") >= least)).select("key").collect()
+    frequent = counts.where(F.col("key").isNotNull() & (F.col("n") >= least)).select("key").collect() if n and n >= least else []
+    release(counts)
     return size or 0, np.sort(np.array([r[0] for r in frequent], np.uint64))
 
 
