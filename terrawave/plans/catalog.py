@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
-_MODULES = ["arrays", "cleaning", "field", "intervals", "products", "quality", "screens", "tensors", "transfer", "welch"]
+_MODULES = ["arrays", "cleaning", "field", "intervals", "products", "quality", "records", "screens", "tensors", "transfer", "welch"]
 
 
 def query(name: str, sql: str | None = None):
