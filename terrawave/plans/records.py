@@ -1,13 +1,13 @@
-"""Queries of shared centres, recorders, times in names and an index that is read again in part."""
+"""Queries of shared centres, recorders, times in names, an index that is read again in part, donors and differences between estimates."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrawave.operators import centre, welch
+from terrawave.operators import centre, donors, welch
 from terrawave.plans.base import PRODUCTS, products, q6, r6, sql, table
 from terrawave.plans.catalog import query
-from terrawave.plans.cleaning import dense
+from terrawave.plans.cleaning import LONG_DENSE, dense, long_dense
 from terrawave.plans.screens import _SEG, _SERIES, _STEP, _WIN
 from terrawave.plans.tensors import _mul, _power
 from terrawave.sources import listing
@@ -110,3 +110,62 @@ def index_refreshed(spark, sf_dir):
     old = now.where("mtime % 300 = 0").withColumn("mtime", F.when(F.col("mtime") % 400 == 0, F.col("mtime") - 1).otherwise(F.col("mtime"))).withColumn("x", F.col("x") + 1000)
     out = listing.refreshed(now.drop("x"), old, lambda files: now.join(files.select("name"), "name").where("mtime % 500 <> 0").select("name", "x"))
     return out.select("name", "mtime", "size", r6("x", "x"), "read")
+
+
+_REPLACED = "sp AS (SELECT DISTINCT site, 'hx' AS channel, site - site % 3 AS donor FROM long_dense WHERE site % 3 <> 0)"
+
+
+@query("channels_replaced", sql(LONG_DENSE, _REPLACED, "en AS (SELECT site, min(k) AS lo, max(k) + 1 AS hi FROM long_dense GROUP BY 1)", f"SELECT l.site, l.channel, CAST(l.k AS BIGINT) AS k, {q6('x', 'x')} FROM long_dense l LEFT JOIN sp USING (site, channel) WHERE donor IS NULL UNION ALL SELECT sp.site, sp.channel, CAST(l.k AS BIGINT), {q6('x', 'x')} FROM sp JOIN en ON en.site = sp.site JOIN long_dense l ON l.site = donor AND l.channel = sp.channel AND l.k >= lo AND l.k < hi"))
+def channels_replaced(spark, sf_dir):
+    """A magnetic channel taken from a donor site on the same days."""
+    rows = long_dense(spark, sf_dir)
+    spec = rows.where("site % 3 <> 0").select("site", F.lit("hx").alias("channel"), (F.col("site") - F.col("site") % 3).alias("donor")).distinct()
+    return donors.replaced(rows, spec).select("site", "channel", "k", r6("x", "x"))
+
+
+# Runs of customers: starts on a grid of ten seconds, some a thousandth off it.
+_RUNS = "ru AS (SELECT CAST(o_custkey AS BIGINT) AS site, CAST(o_orderkey AS BIGINT) AS run, CAST(epoch(CAST(o_orderdate AS TIMESTAMP)) AS BIGINT) * 1000000000 + CASE WHEN o_custkey % 11 = 0 THEN 20000000 ELSE 0 END AS start_ns, CAST(1000 + o_orderkey % 5000 AS BIGINT) * 60 AS n FROM orders), pa AS (SELECT DISTINCT site, site + 1 AS donor FROM ru WHERE site % 2 = 0)"
+_PIECES = "pc AS (SELECT x.site, x.run, pa.donor, y.run AS donor_run, greatest(0, CAST(round_even((y.start_ns - x.start_ns) / 1e10, 0) AS BIGINT)) AS lo, least(x.n, CAST(round_even((y.start_ns - x.start_ns) / 1e10, 0) AS BIGINT) + y.n) AS hi, CAST(round_even((y.start_ns - x.start_ns) / 1e10, 0) AS BIGINT) AS shift, (y.start_ns - x.start_ns) / 1e10 - round_even((y.start_ns - x.start_ns) / 1e10, 0) AS off_grid FROM ru x JOIN pa ON pa.site = x.site JOIN ru y ON y.site = pa.donor), pk AS (SELECT * FROM pc WHERE hi > lo)"
+
+
+def _runs(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    start = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) * 1_000_000_000 + F.when(F.col("o_custkey") % 11 == 0, 20_000_000).otherwise(0)
+    runs = o.select(F.col("o_custkey").cast("long").alias("site"), F.col("o_orderkey").cast("long").alias("run"), start.alias("start_ns"), ((1000 + F.col("o_orderkey") % 5000) * 60).cast("long").alias("n"))
+    return runs, runs.where("site % 2 = 0").select("site", (F.col("site") + 1).alias("donor")).distinct()
+
+
+@query("pieces_borrowed", sql(_RUNS, _PIECES, f"SELECT site, run, donor, donor_run, lo, hi, shift, {q6('off_grid', 'off_grid')} FROM pk"))
+def pieces_borrowed(spark, sf_dir):
+    """Pieces of runs for which the donor site has samples."""
+    runs, pairs = _runs(spark, sf_dir)
+    return donors.borrowed_pieces(runs, runs, pairs, 0.1).select("site", "run", "donor", "donor_run", "lo", "hi", "shift", r6("off_grid", "off_grid"))
+
+
+@query("donor_cover", sql(_RUNS, _PIECES, "to_ AS (SELECT site, sum(n) AS total FROM ru GROUP BY 1), go AS (SELECT site, sum(hi - lo) AS covered, max(abs(off_grid)) AS off FROM pk GROUP BY 1)", f"SELECT pa.site, pa.donor, CAST(coalesce(covered, 0) AS BIGINT) AS covered, CAST(total AS BIGINT) AS total, {q6('coalesce(covered, 0) / total::DOUBLE', 'share')}, CASE WHEN off > 1e-3 THEN 'off grid' WHEN coalesce(covered, 0) < 0.02 * total THEN 'too little' END AS refused FROM pa JOIN to_ ON to_.site = pa.site LEFT JOIN go ON go.site = pa.site"))
+def donor_cover(spark, sf_dir):
+    """How much of each site its donor covers, and what forbids it."""
+    runs, pairs = _runs(spark, sf_dir)
+    out = donors.cover(donors.borrowed_pieces(runs, runs, pairs, 0.1), runs, pairs, 0.02)
+    return out.select("site", "donor", "covered", "total", r6("share", "share"), "refused")
+
+
+@query("second_means", sql(LONG_DENSE, "gp AS (SELECT site, channel, k, x FROM long_dense WHERE NOT (site % 2 = 1 AND k % 50 < 3))", "wh AS (SELECT site, channel, avg(x) AS m, stddev_pop(x) AS sd, quantile_disc(x, 0.5) AS md, min(k) AS lo, max(k) - min(k) + 1 > count(*) AS gaps FROM gp GROUP BY 1, 2)", "se AS (SELECT g.site, g.channel, avg(x) AS v FROM gp g JOIN wh ON wh.site = g.site AND wh.channel = g.channel GROUP BY g.site, g.channel, (k - lo) // 7)", "me AS (SELECT site, channel, avg(v) AS mm, quantile_disc(v, 0.5) AS vd FROM se GROUP BY 1, 2)", f"SELECT wh.site, wh.channel, {q6('abs(mm - m) / sd', 'mean_error')}, {q6('abs(vd - md) / sd', 'median_error')}, abs(mm - m) / sd <= CASE WHEN gaps THEN 0.05 ELSE 0.001 END AS passed FROM wh JOIN me ON me.site = wh.site AND me.channel = wh.channel"))
+def second_means(spark, sf_dir):
+    """Whether means of blocks of seven days give the mean of each channel."""
+    rows = long_dense(spark, sf_dir).where("not (site % 2 = 1 and k % 50 < 3)")
+    return donors.block_means_agree(rows, ["site", "channel"], "x", 7, exact=1e-3).select("site", "channel", r6("mean_error", "mean_error"), r6("median_error", "median_error"), "passed")
+
+
+_POINTS = "po AS (SELECT site, product, period * 1.07 AS period, pow(zxy_re, 2) + pow(zxy_im, 2) AS rho, degrees(atan2(zxy_im, zxy_re)) AS phi, CAST(period AS BIGINT) % 3 AS rate FROM products)"
+
+
+@query("rate_differences", sql(PRODUCTS, _POINTS, "cu AS (SELECT site, log10(period) AS lp, log10(pow(zxy_re, 2) + pow(zxy_im, 2)) AS r, degrees(atan2(zxy_im, zxy_re)) AS f, lead(log10(period)) OVER w AS lp2, lead(log10(pow(zxy_re, 2) + pow(zxy_im, 2))) OVER w AS r2, lead(degrees(atan2(zxy_im, zxy_re))) OVER w AS f2, row_number() OVER w AS i FROM products WHERE substr(product, 2) = substr(site, 2) WINDOW w AS (PARTITION BY site ORDER BY period))", "fa AS (SELECT p.site, product, rate, abs(CASE WHEN lp2 IS NULL OR log10(period) < lp THEN r ELSE r + (r2 - r) * (log10(period) - lp) / (lp2 - lp) END - log10(rho)) AS r, abs(CASE WHEN lp2 IS NULL OR log10(period) < lp THEN f ELSE f + (f2 - f) * (log10(period) - lp) / (lp2 - lp) END - phi) AS f FROM po p JOIN cu ON cu.site = p.site AND (log10(period) >= lp OR i = 1) AND (lp2 IS NULL OR log10(period) < lp2))", f"SELECT site, rate, count(DISTINCT product) AS n_files, count(*) AS n, {q6('median(r)', 'rho')}, {q6('median(f)', 'phi')} FROM fa GROUP BY GROUPING SETS ((site, rate), (site))"))
+def rate_differences(spark, sf_dir):
+    """Distance of each site's products from its first one's curve, by rate and over all."""
+    p = products(spark, sf_dir)
+    rows = p.select("site", F.lit("xy").alias("mode"), "product", "period", (F.col("zxy_re") ** 2 + F.col("zxy_im") ** 2).alias("rho"), F.degrees(F.atan2("zxy_im", "zxy_re")).alias("phi"))
+    first = rows.where("substr(product, 2) = substr(site, 2)")
+    points = rows.withColumn("rate", F.col("period").cast("long") % 3).withColumn("period", F.col("period") * 1.07)
+    out = donors.rate_differences(first, points, ["site"], "product")
+    return out.select("site", "rate", "n_files", "n", r6("rho", "rho"), r6("phi", "phi"))
