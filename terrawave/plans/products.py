@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from terrawave.functions import cx
-from terrawave.operators import space
+from terrawave.operators import levels, space
 from terrawave.plans.base import DAILY, HOURLY, LONG, PRODUCTS, daily, hourly, long_daily, products, q6, r6, sql, table
 from terrawave.plans.catalog import query
 
@@ -142,12 +142,8 @@ def mean_field_angle(spark, sf_dir):
 @query("channel_stats", sql(HOURLY, "m AS (SELECT site, channel, median(x) AS med FROM hourly GROUP BY 1, 2)", "d AS (SELECT h.site, h.channel, h.x, m.med, abs(h.x - m.med) AS dev FROM hourly h JOIN m ON h.site = m.site AND h.channel = m.channel)", "s AS (SELECT site, channel, median(dev) * 1.4826 AS mad FROM d GROUP BY 1, 2)", f"SELECT d.site, d.channel, CAST(count(*) AS BIGINT) AS n, {q6('max(med)', 'median')}, {q6('max(mad)', 'mad')}, {q6('quantile_cont(x, 0.05)', 'p5')}, {q6('quantile_cont(x, 0.95)', 'p95')}, {q6('avg(CASE WHEN round(dev, 9) > round(3 * mad, 9) THEN 1.0::DOUBLE ELSE 0 END)', 'beyond')} FROM d JOIN s ON d.site = s.site AND d.channel = s.channel GROUP BY d.site, d.channel"))
 def channel_stats(spark, sf_dir):
     """Median, MAD, percentiles and the share beyond three MAD of each channel."""
-    h = hourly(spark, sf_dir)
-    m = h.groupBy("site", "channel").agg(F.percentile("x", F.lit(0.5)).alias("med"))
-    d = h.join(m, ["site", "channel"]).withColumn("dev", F.abs(F.col("x") - F.col("med")))
-    s = d.groupBy("site", "channel").agg((F.percentile("dev", F.lit(0.5)) * 1.4826).alias("mad"))
-    beyond = (F.round("dev", 9) > F.round(3 * F.col("mad"), 9)).cast("double")
-    return d.join(s, ["site", "channel"]).groupBy("site", "channel").agg(F.count("*").alias("n"), r6(F.max("med"), "median"), r6(F.max("mad"), "mad"), r6(F.percentile("x", F.lit(0.05)), "p5"), r6(F.percentile("x", F.lit(0.95)), "p95"), r6(F.avg(beyond), "beyond"))
+    out = levels.channel_stats(hourly(spark, sf_dir), ["site", "channel"])
+    return out.select("site", "channel", "n", *(r6(c, c) for c in ("median", "mad", "p5", "p95", "beyond")))
 
 
 @query("block_reduction", sql(LONG, f"SELECT site, channel, CAST(k // 16 AS BIGINT) AS block, {q6('avg(x)', 'mean')}, {q6('min(x)', 'least')}, {q6('max(x)', 'most')} FROM long_daily GROUP BY site, channel, k // 16 HAVING count(*) = 16"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrawave.operators import order, screens
+from terrawave.operators import levels, order, screens
 
 
 def test_percentile_of_many_few_tied_and_no_values(spark):
@@ -21,6 +21,18 @@ def test_percentile_of_many_few_tied_and_no_values(spark):
             assert np.isclose(got[k], np.nanquantile(s, q), rtol=1e-12, atol=0), (k, q)
 
 
+def test_channel_stats_of_many_and_few(spark):
+    r = np.random.default_rng(8)
+    sets = {"many": np.round(r.standard_normal(20_000), 2), "few": r.standard_cauchy(50)}
+    df = spark.createDataFrame([(k, float(v)) for k, s in sets.items() for v in s] + [("few", None), ("none", None)], "key string, x double").repartition(4)
+    got = {v["key"]: v for v in levels.channel_stats(df, ["key"]).collect()}
+    assert set(got) == set(sets)
+    for k, s in sets.items():
+        far = np.abs(s - np.median(s))
+        mad = 1.4826 * np.median(far)
+        assert got[k]["n"] == len(s) and np.allclose([got[k][c] for c in ("median", "mad", "p5", "p95", "beyond")], [np.median(s), mad, np.quantile(s, 0.05), np.quantile(s, 0.95), np.mean(np.round(far, 9) > np.round(3 * mad, 9))])
+
+
 def _plain_levels(series, width):
     parts = []
     for x in series:
