@@ -63,7 +63,8 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int,
     """Pairs of left(keys, a, b, ...) and right(keys, a2, b2, ...) that overlap. Both are dealt to buckets of `width`, so the join is an equi-join; a pair is kept in the bucket of the later start alone."""
     x = left.where("a < b").withColumn("_bucket", _buckets("a", "b", width))
     y = right.where("a2 < b2").withColumn("_bucket", _buckets("a2", "b2", width))
-    both = x.join(y, [*keys, "_bucket"]).where("a < b2 and a2 < b")
+    # The optimizer takes a side for as small as it was before it was dealt, and would broadcast it.
+    both = x.hint("merge").join(y.hint("merge"), [*keys, "_bucket"]).where("a < b2 and a2 < b")
     return both.where(F.col("_bucket") == F.floor(F.greatest("a", "a2") / width)).drop("_bucket")
 
 
