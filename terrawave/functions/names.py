@@ -41,10 +41,15 @@ def local_hour(at: Column, zone: str) -> Column:
 SECOND = 1_000_000_000  # nanoseconds
 
 
+def seconds(ns: Column) -> tuple[Column, Column]:
+    """Whole seconds and the nanoseconds left, as longs; nanoseconds may be decimals beyond a long."""
+    ns = ns.cast("decimal(24,0)")
+    return F.floor(ns / SECOND).cast("long"), F.pmod(ns, F.lit(SECOND).cast("decimal(24,0)")).cast("long")
+
+
 def ceil_index(ns: Column, rate: Column) -> Column:
     """Index of the first sample at or after so many nanoseconds from the origin, for a whole number of samples a second; whole seconds and the rest are counted apart, so that nothing overflows or is rounded."""
-    whole = F.floor(ns.cast("decimal(20,0)") / SECOND).cast("long")
-    rest = F.pmod(ns.cast("long"), F.lit(SECOND).cast("long"))
+    whole, rest = seconds(ns)
     up = rest * rate + (SECOND - 1)
     return whole * rate + ((up - F.pmod(up, F.lit(SECOND))) / SECOND).cast("long")
 

@@ -40,3 +40,13 @@ def test_dealt_intervals_are_not_broadcast(spark):
     out = intervals.overlap_join(x, y, ["site"], 1)
     assert "Broadcast" not in _plan(out)
     assert [tuple(r) for r in out.collect()] == [("a", 0, 500, 499, 2000)]
+
+
+def test_indices_of_nanoseconds_beyond_a_long(spark):
+    t = 37 * 10**18 + 1
+    got = spark.range(1).select(names.ceil_index(F.lit(str(t)).cast("decimal(24,0)"), F.lit(24_000)).alias("i")).first()["i"]
+    assert got == -(-t * 24_000 // 10**9)
+
+
+def test_masks_of_large_ids(spark, tmp_path):
+    _agrees(spark, tmp_path, "masks_on_grid", events=spark.createDataFrame([(i,) for i in (0, 1, 5, 9000, 2_400_000, 2_500_000, 5_999_999)], "event_id long"))
