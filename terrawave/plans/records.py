@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from terrawave.functions.names import LEAP_DAYS
 from terrawave.operators import centre, donors, welch
 from terrawave.plans.base import PRODUCTS, products, q6, r6, sql, table
 from terrawave.plans.catalog import query
@@ -94,7 +95,10 @@ def recorders_detected(spark, sf_dir):
     return listing.recorder(_names(spark, sf_dir), ["site"], "phoenix")
 
 
-@query("file_times_named", sql(_NAMES, f"k AS (SELECT id, name, {_KIND} AS kind FROM names)", "t AS (SELECT *, right(split_part(name, '.', 1), 12) AS st FROM k)", "SELECT id, kind, CAST(CASE WHEN kind = 'lemi423' THEN CAST(split_part(name, '.', 1) AS BIGINT) WHEN kind IN ('lemi424', 'edl') THEN epoch(strptime('20' || left(st, 6), '%Y%m%d')) + CASE WHEN CAST(substr(st, 7, 2) AS INTEGER) < 24 THEN CAST(substr(st, 7, 2) AS INTEGER) * 3600 + CAST(substr(st, 9, 2) AS INTEGER) * 60 + CAST(substr(st, 11, 2) AS INTEGER) END WHEN kind = 'phoenix' THEN 900000000 + id * 997 + 315964800 - 14 - CAST(900000000 + id * 997 + 315964800 - 14 >= 1230768000 AS INTEGER) - CAST(900000000 + id * 997 + 315964800 - 15 >= 1341100800 AS INTEGER) - CAST(900000000 + id * 997 + 315964800 - 16 >= 1435708800 AS INTEGER) - CAST(900000000 + id * 997 + 315964800 - 17 >= 1483228800 AS INTEGER) END AS BIGINT) AS at_s FROM t"))
+_LEAPS = " - ".join(f"CAST(gps - {i} >= epoch(DATE '{day}') AS INTEGER)" for i, day in enumerate(LEAP_DAYS))
+
+
+@query("file_times_named", sql(_NAMES, f"k AS (SELECT id, name, {_KIND} AS kind FROM names)", "t AS (SELECT *, right(split_part(name, '.', 1), 12) AS st, CASE WHEN kind = 'phoenix' THEN CAST('0x' || split_part(name, '_', 2) AS BIGINT) END + 315964800 AS gps FROM k)", f"SELECT id, kind, CAST(CASE WHEN kind = 'lemi423' THEN CAST(split_part(name, '.', 1) AS BIGINT) WHEN kind IN ('lemi424', 'edl') THEN epoch(strptime('20' || left(st, 6), '%Y%m%d')) + CASE WHEN CAST(substr(st, 7, 2) AS INTEGER) < 24 THEN CAST(substr(st, 7, 2) AS INTEGER) * 3600 + CAST(substr(st, 9, 2) AS INTEGER) * 60 + CAST(substr(st, 11, 2) AS INTEGER) END WHEN kind = 'phoenix' THEN gps - {_LEAPS} END AS BIGINT) AS at_s FROM t"))
 def file_times_named(spark, sf_dir):
     """Times that the names of data files tell."""
     n = F.col("name")

@@ -50,3 +50,9 @@ def test_indices_of_nanoseconds_beyond_a_long(spark):
 
 def test_masks_of_large_ids(spark, tmp_path):
     _agrees(spark, tmp_path, "masks_on_grid", events=spark.createDataFrame([(i,) for i in (0, 1, 5, 9000, 2_400_000, 2_500_000, 5_999_999)], "event_id long"))
+
+
+@pytest.mark.parametrize("key", [0, 3_000_000, 3_400_000, 8_999_999])
+def test_times_in_names_of_large_keys(spark, tmp_path, key):
+    got = _agrees(spark, tmp_path, "file_times_named", orders=_orders(spark, [(key + i, (3 - key - i) % 8, i) for i in range(8)]))
+    assert all(v[-1] == "phoenix" for v in got)
