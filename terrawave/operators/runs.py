@@ -33,9 +33,9 @@ def wrong_count(start: str, following: Column, records: str, rate: float) -> Col
     return F.coalesce(F.col(records) != (following - F.col(start)) * rate, F.lit(False)) | (F.col(records) != F.floor(records))
 
 
-def split_at_gaps(files: DataFrame, keys: list[str], tolerance: int, rate: str | None = None) -> DataFrame:
-    """files(a, b) with run: a file that starts more than `tolerance` from the end of the one before, or has another rate, begins a run."""
-    w = Window.partitionBy(*keys).orderBy("a", "b")
+def split_at_gaps(files: DataFrame, keys: list[str], tolerance: int, rate: str | None = None, ties: tuple[str, ...] = ()) -> DataFrame:
+    """files(a, b) with run: a file that starts more than `tolerance` from the end of the one before, or has another rate, begins a run. Files of one span stand in the order of `ties`."""
+    w = Window.partitionBy(*keys).orderBy("a", "b", *ties)
     new = F.coalesce(F.abs(F.col("a") - F.lag("b").over(w)) > tolerance, F.lit(True))
     if rate:
         new |= ~F.col(rate).eqNullSafe(F.lag(rate).over(w))

@@ -176,10 +176,10 @@ def rows_as_laid(spark, sf_dir):
     return _vec(corrections.as_laid(rows, declared, {"ex": ["hx", "hy"], "ey": ["ey"]}), "hx", "hy", "ey")
 
 
-@query("files_split_at_gaps", sql(SPANS, "SELECT site, run_id, CAST(sum(n) OVER (PARTITION BY site ORDER BY a, b, run_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM (SELECT *, CASE WHEN abs(a - lag(b) OVER (PARTITION BY site ORDER BY a, b)) <= 90 AND run_id % 2 = lag(run_id % 2) OVER (PARTITION BY site ORDER BY a, b) THEN 0 ELSE 1 END AS n FROM spans)"))
+@query("files_split_at_gaps", sql(SPANS, "SELECT site, run_id, CAST(sum(n) OVER (PARTITION BY site ORDER BY a, b, run_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM (SELECT *, CASE WHEN abs(a - lag(b) OVER (PARTITION BY site ORDER BY a, b, run_id)) <= 90 AND run_id % 2 = lag(run_id % 2) OVER (PARTITION BY site ORDER BY a, b, run_id) THEN 0 ELSE 1 END AS n FROM spans)"))
 def files_split_at_gaps(spark, sf_dir):
     """Files into runs at gaps of more than 90 days and at changes of rate."""
-    return _runs_of(runs.split_at_gaps(spans(spark, sf_dir).withColumn("rate", F.col("run_id") % 2), ["site"], 90, "rate"))
+    return _runs_of(runs.split_at_gaps(spans(spark, sf_dir).withColumn("rate", F.col("run_id") % 2), ["site"], 90, "rate", ("run_id",)))
 
 
 def _runs_of(rows):

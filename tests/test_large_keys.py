@@ -56,3 +56,10 @@ def test_masks_of_large_ids(spark, tmp_path):
 def test_times_in_names_of_large_keys(spark, tmp_path, key):
     got = _agrees(spark, tmp_path, "file_times_named", orders=_orders(spark, [(key + i, (3 - key - i) % 8, i) for i in range(8)]))
     assert all(v[-1] == "phoenix" for v in got)
+
+
+def test_files_of_one_span_stand_in_one_order(spark, tmp_path):
+    rows = [(60 * i + j, 1, 100 * j) for i in (5, 3, 4, 1, 2) for j in (1, 2, 59)]
+    _agrees(spark, tmp_path, "files_split_at_gaps", orders=_orders(spark, rows))
+    files = spark.createDataFrame([("a", i, 0, 200) for i in (4, 2, 3, 1)], "site string, id int, a int, b int")
+    assert {(r["id"], r["run"]) for r in runs.split_at_gaps(files, ["site"], 90, ties=("id",)).collect()} == {(i, i) for i in range(1, 5)}
