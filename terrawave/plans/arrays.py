@@ -186,7 +186,7 @@ def _near_sql(rows: str, others: str, test: str = "<= 1e-5", columns: str = "sit
 
 
 _GRID = (
-    "so AS MATERIALIZED (SELECT CAST(l_suppkey // 10 AS BIGINT) AS site, 'P' || (l_suppkey % 4) AS source, l_suppkey % 4 AS rank, CASE WHEN l_linenumber % 2 = 0 THEN 'xy' ELSE 'yx' END AS mode, (l_quantity + l_suppkey % 4 * 3) * (CASE WHEN l_suppkey % 4 > 1 THEN 1.037 ELSE 1.0 END) AS period, avg(l_discount) > 0.045 AS usable, l_quantity BETWEEN 3 + l_suppkey % 4 AND 46 AS inside FROM lineitem GROUP BY l_suppkey // 10, l_suppkey % 4, l_linenumber % 2, l_quantity)",
+    "so AS MATERIALIZED (SELECT CAST(l_suppkey // 10 AS BIGINT) AS site, 'P' || (l_suppkey % 4) AS source, l_suppkey % 4 AS rank, CASE WHEN l_linenumber % 2 = 0 THEN 'xy' ELSE 'yx' END AS mode, (l_quantity + l_suppkey % 4 * 3) * (CASE WHEN l_suppkey % 4 > 1 THEN 1.037 ELSE 1.0 END) AS period, round(avg(l_discount), 9) > 0.045 AS usable, l_quantity BETWEEN 3 + l_suppkey % 4 AND 46 AS inside FROM lineitem GROUP BY l_suppkey // 10, l_suppkey % 4, l_linenumber % 2, l_quantity)",
     "fi AS (SELECT site, arg_min(source, rank) AS f FROM so WHERE mode = 'xy' GROUP BY 1)",
     "rf AS MATERIALIZED (SELECT so.site, period FROM so JOIN fi ON so.site = fi.site WHERE source = f AND mode = 'xy')",
     "sp AS (SELECT site, log10(min(period)) - 1e-5 AS lo, log10(max(period)) + 1e-5 AS hi FROM rf GROUP BY 1)",
@@ -212,7 +212,7 @@ _GRID = (
 def first_lattice(spark, sf_dir):
     """The grid of each site's merge on the lattice of its first source."""
     rank, q = F.col("l_suppkey") % 4, F.col("l_quantity")
-    s = table(spark, sf_dir, "lineitem").groupBy(F.expr("cast(l_suppkey div 10 as bigint)").alias("site"), rank.alias("rank"), (F.col("l_linenumber") % 2).alias("m"), q.alias("q")).agg((F.avg("l_discount") > 0.045).alias("usable"))
+    s = table(spark, sf_dir, "lineitem").groupBy(F.expr("cast(l_suppkey div 10 as bigint)").alias("site"), rank.alias("rank"), (F.col("l_linenumber") % 2).alias("m"), q.alias("q")).agg((F.round(F.avg("l_discount"), 9) > 0.045).alias("usable"))
     s = s.select("site", F.concat(F.lit("P"), F.col("rank").cast("string")).alias("source"), "rank", F.when(F.col("m") == 0, "xy").otherwise("yx").alias("mode"), ((F.col("q") + F.col("rank") * 3) * F.when(F.col("rank") > 1, 1.037).otherwise(1.0)).alias("period"), "usable", ((F.col("q") >= 3 + F.col("rank")) & (F.col("q") <= 46)).alias("inside"))
     grid, _, _ = lattice.first_lattice(s, ["site"])
     return grid.select("site", r6("period", "period"), "added")

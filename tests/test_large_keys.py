@@ -63,3 +63,10 @@ def test_files_of_one_span_stand_in_one_order(spark, tmp_path):
     _agrees(spark, tmp_path, "files_split_at_gaps", orders=_orders(spark, rows))
     files = spark.createDataFrame([("a", i, 0, 200) for i in (4, 2, 3, 1)], "site string, id int, a int, b int")
     assert {(r["id"], r["run"]) for r in runs.split_at_gaps(files, ["site"], 90, ties=("id",)).collect()} == {(i, i) for i in range(1, 5)}
+
+
+def test_means_at_the_limit_are_not_usable(spark, tmp_path):
+    parts = (0.02, 0.07)  # their mean is 0.045; as doubles added up in this order it is more
+    rows = [(s, 2, float(q), d) for s in range(4) for q in range(1, 41) for d in parts]
+    spark.createDataFrame(rows, "l_suppkey long, l_linenumber int, l_quantity double, l_discount double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert catalog.queries()["first_lattice"](spark, str(tmp_path)).isEmpty()
