@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrawave.functions.names import SECOND, ceil_index, station_key
+from terrawave.functions.names import SECOND, ceil_index, seconds, station_key
 from terrawave.operators.intervals import as_of, union
 
 
@@ -70,9 +70,9 @@ def placed(runs: DataFrame, origin: Column, rate: Column, tolerance: float = 1e-
     ns = F.col("start") - origin
     up = ceil_index(ns, rate)
     # The rest of a step by which the sample lies behind the start, from what is left of whole seconds alone.
-    over = F.pmod(-F.pmod(ns.cast("long"), F.lit(SECOND).cast("long")) * rate, F.lit(SECOND).cast("long")).cast("double") / SECOND
-    rows = runs.withColumn("index", F.when(over > 0.5, up - 1).otherwise(up))
-    return rows.withColumn("on_grid", F.least(over, 1 - over) <= tolerance)
+    over = F.pmod(-seconds(ns)[1] * rate, F.lit(SECOND).cast("long"))
+    rows = runs.withColumn("index", F.when(2 * over > SECOND, up - 1).otherwise(up))
+    return rows.withColumn("on_grid", F.least(over, SECOND - over) / SECOND <= tolerance)
 
 
 def carried_gaps(gaps: DataFrame, keys: list[str], levels: int, factor: int, reach: int = 32, samples: Column | None = None) -> DataFrame:

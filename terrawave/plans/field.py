@@ -214,7 +214,7 @@ def files_of_other_rate(spark, sf_dir):
 @query("runs_on_grid", sql(SPANS, "t AS (SELECT site, run_id, CAST(run_id AS HUGEINT) * 3333333333333 - 1000000000 AS ns FROM spans)", "u AS (SELECT site, run_id, (ns * 24000) // 1000000000 AS down, (ns * 24000) % 1000000000 AS over FROM t)", "SELECT site, run_id, CAST(down + CASE WHEN over >= 500000000 THEN 1 ELSE 0 END AS BIGINT) AS index, least(over, 1000000000 - over) / 1000000000.0 <= 1e-3 AS on_grid FROM u"))
 def runs_on_grid(spark, sf_dir):
     """Places of runs on a grid of 24 kHz, years from its origin."""
-    rows = spans(spark, sf_dir).withColumn("start", F.col("run_id").cast("long") * 3333333333333)
+    rows = spans(spark, sf_dir).withColumn("start", F.col("run_id").cast("decimal(20,0)") * 3333333333333)
     return runs.placed(rows, F.lit(1_000_000_000), F.lit(24_000)).select("site", "run_id", "index", "on_grid")
 
 

@@ -70,3 +70,8 @@ def test_means_at_the_limit_are_not_usable(spark, tmp_path):
     rows = [(s, 2, float(q), d) for s in range(4) for q in range(1, 41) for d in parts]
     spark.createDataFrame(rows, "l_suppkey long, l_linenumber int, l_quantity double, l_discount double").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
     assert catalog.queries()["first_lattice"](spark, str(tmp_path)).isEmpty()
+
+
+def test_runs_a_thousandth_before_the_grid_stand_on_it(spark, tmp_path):
+    got = _agrees(spark, tmp_path, "runs_on_grid", orders=_orders(spark, [(k, 1, 0) for k in (0, 124_875, 249_875, 499_875, 7, 2_766_000, 2_767_500, 8_999_999)]))
+    assert [v[1] for v in got if v[2] in (124_875, 249_875, 499_875)] == [True] * 3
