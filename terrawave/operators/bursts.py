@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrawave.operators.blocks import BLOCK, ends
-from terrawave.session import small
+from terrawave.session import small, stash
 
 
 def block_medians(rows: DataFrame, keys: list[str], x: str, size: int, k: str = "k") -> DataFrame:
@@ -18,12 +18,13 @@ def block_medians(rows: DataFrame, keys: list[str], x: str, size: int, k: str =
 
 def with_level(rows: DataFrame, keys: list[str], x: str, size: int, name: str = "level", k: str = "k") -> DataFrame:
     """rows with the local level: block medians joined by straight lines between the blocks' centres, flat beyond the first and last."""
-    m = block_medians(rows, keys, x, size, k)
+    # Tables read by several joins are written once; none of them is broadcast, as files are packed and look small.
+    m = stash(block_medians(rows, keys, x, size, k), "medians")
     before = m.select(*keys, (F.col("_c") + 1).alias("_c"), F.col("v").alias("_pv"), F.col("centre").alias("_pc"))
     after = m.select(*keys, (F.col("_c") - 1).alias("_c"), F.col("v").alias("_nv"), F.col("centre").alias("_nc"))
-    known = m.join(before, [*keys, "_c"], "left").join(after, [*keys, "_c"], "left")
+    known = m.join(before.hint("merge"), [*keys, "_c"], "left").join(after.hint("merge"), [*keys, "_c"], "left")
     at = rows.join(small(ends(rows, keys, k).select(*keys, F.col("lo").alias("_lo"))), keys).withColumn("_c", F.floor((F.col(k) - F.col("_lo")) / size))
-    both = at.join(known.drop("lo"), [*keys, "_c"])
+    both = at.hint("merge").join(known.drop("lo").hint("merge"), [*keys, "_c"])
     rising = F.col("_pv") + (F.col("v") - F.col("_pv")) * (F.col(k) - F.col("_pc")) / (F.col("centre") - F.col("_pc"))
     falling = F.col("v") + (F.col("_nv") - F.col("v")) * (F.col(k) - F.col("centre")) / (F.col("_nc") - F.col("centre"))
     level = F.when(F.col(k) < F.col("centre"), F.coalesce(rising, "v")).otherwise(F.coalesce(falling, "v"))
@@ -49,13 +50,13 @@ def samples_of(rate: float, least: float = 0.05, level: float = 1.0, scale: floa
 
 def burst_ratio(rows: DataFrame, keys: list[str], x: str, width: int, size: int, half: int, block: int = BLOCK, k: str = "k") -> DataFrame:
     """keys, k, ratio: the mean distance of x from its local level over `width` samples, over the median of the blocks' own median distances among the `half` blocks to either side. Blocks whose distance is 0 are left out; where no other is near, the ratio is 0."""
-    d = with_level(rows, keys, x, size, "_level", k).select(*keys, k, F.abs(F.col(x) - F.col("_level")).alias("_d"))
+    d = stash(with_level(rows, keys, x, size, "_level", k).select(*keys, k, F.abs(F.col(x) - F.col("_level")).alias("_d")), "distances")
     mean = moving_mean(d, keys, "_d", width, "_mean", block, k)
     spread = block_medians(d, keys, "_d", size, k)
     near = spread.where("v > 0").select(*keys, "v", F.explode(F.sequence(F.col("_c") - half, F.col("_c") + half)).alias("_c"))
     scale = near.groupBy(*keys, "_c").agg(F.percentile("v", F.lit(0.5)).alias("_scale"))
-    at = mean.join(small(ends(rows, keys, k).select(*keys, "lo")), keys).withColumn("_c", F.floor((F.col(k) - F.col("lo")) / size))
-    return at.join(scale, [*keys, "_c"], "left").select(*keys, k, F.coalesce(F.col("_mean") / F.col("_scale"), F.lit(0.0)).alias("ratio"))
+    at = mean.join(small(ends(d, keys, k).select(*keys, "lo")), keys).withColumn("_c", F.floor((F.col(k) - F.col("lo")) / size))
+    return at.join(scale.hint("merge"), [*keys, "_c"], "left").select(*keys, k, F.coalesce(F.col("_mean") / F.col("_scale"), F.lit(0.0)).alias("ratio"))
 
 
 def despiked(rows: DataFrame, keys: list[str], x: str, sigmas: float, around: int, block: int = BLOCK, k: str = "k") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrawave.functions.names import ceil_index, seconds_at
 from terrawave.operators.intervals import complement, islands, overlap_join, union
+from terrawave.session import stash
 
 SCOPES = ("local", "remote", "both")
 
@@ -90,7 +91,8 @@ def alternate_runs(slots: DataFrame, keys: list[str], kept: str, half: int, k: s
 
 def bursts(rows: DataFrame, keys: list[str], loud: Column, width: int, pad: int, k: str = "k") -> DataFrame:
     """keys, a, b: stretches on which loud holds for `width` samples or more beyond the width - 1 by which a mean over `width` widens them, padded within the record and merged."""
-    runs = islands(rows.where(loud), keys, k).where(F.col("b") - F.col("a") - (width - 1) >= width)
+    rows = stash(rows.select(*keys, k, loud.alias("_loud")), "loud")
+    runs = islands(rows.where("_loud"), keys, k).where(F.col("b") - F.col("a") - (width - 1) >= width)
     record = rows.groupBy(*keys).agg(F.min(k).alias("_lo"), (F.max(k) + 1).alias("_hi"))
     return union(runs.join(record, keys).select(*keys, F.greatest(F.col("a") - pad, "_lo").alias("a"), F.least(F.col("b") + pad, "_hi").alias("b")), keys)
 
@@ -101,7 +103,8 @@ def spans_filled(rows: DataFrame, spans: DataFrame, keys: list[str], x: str, lev
     dealt = spans.where("a2 < b2").select(*keys, "a2", "b2", cells).alias("s")
     r = rows.withColumn("_cell", F.floor(F.col(k) / width)).alias("r")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in keys]
-    inside = r.join(dealt, [*same, F.col("r._cell") == F.col("s._cell"), F.col(f"r.{k}") >= F.col("s.a2"), F.col(f"r.{k}") < F.col("s.b2")], "left")
+    # Taken for as small as the spans were before they were dealt, cells would be broadcast.
+    inside = r.join(dealt.hint("merge"), [*same, F.col("r._cell") == F.col("s._cell"), F.col(f"r.{k}") >= F.col("s.a2"), F.col(f"r.{k}") < F.col("s.b2")], "left")
     edge = F.least(F.col(f"r.{k}") - F.col("s.a2"), F.col("s.b2") - 1 - F.col(f"r.{k}"))
     half = F.least(F.lit(taper), F.floor((F.col("s.b2") - F.col("s.a2")) / 2))
     keep = F.when(edge < half, (1 + F.cos(math.pi * edge / half)) / 2).otherwise(0.0)

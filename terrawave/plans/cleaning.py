@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from terrawave.operators import blocks, bursts, declared, glitches, masking, recursive
 from terrawave.plans.base import EPOCH, LONG, long_daily, q6, r6, sql, table
 from terrawave.plans.catalog import query
+from terrawave.session import stash
 
 _S = ["site", "channel"]
 _PARTS = {"hx": ("A", "q"), "hy": ("R", "q"), "ex": ("A", "e"), "ey": ("R", "e"), "rx": ("A", "r"), "ry": ("R", "r")}
@@ -19,7 +20,7 @@ def dense(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select(F.expr("cast(l_suppkey div 10 as bigint)").alias("site"), k.alias("k"), "l_returnflag", q.alias("q"), (F.col("l_extendedprice") / 1024).alias("e"), (q * (1 - F.col("l_discount"))).alias("r"))
     held = rows.groupBy("site", "k").agg(*(F.sum(F.when(F.col("l_returnflag") == f, F.col(c)).otherwise(0.0)).alias(n) for n, (f, c) in _PARTS.items()))
     grid = held.groupBy("site").agg(F.min("k").alias("a"), F.max("k").alias("b")).select("site", F.explode(F.sequence("a", "b")).alias("k"))
-    return grid.join(held, ["site", "k"], "left").fillna(0.0, list(_PARTS))
+    return stash(grid.join(held, ["site", "k"], "left").fillna(0.0, list(_PARTS)), "dense")  # operators read it more than once
 
 
 def long_dense(spark, sf_dir, names=("hx", "ex")):
@@ -83,33 +84,34 @@ _FOUND = (
 )
 
 
-def _ratios(spark, sf_dir):
-    return bursts.burst_ratio(long_dense(spark, sf_dir), _S, "x", _W, _M, _HALF)
+def _ratios(rows):
+    return bursts.burst_ratio(rows, _S, "x", _W, _M, _HALF)
 
 
-def _found(spark, sf_dir):
-    hot = bursts.any_louder([_ratios(spark, sf_dir).drop("channel")], ["site"], 1.5)
+def _found(rows):
+    hot = bursts.any_louder([_ratios(rows).drop("channel")], ["site"], 1.5)
     return masking.bursts(hot, ["site"], F.col("loud"), _W, 3)
 
 
 @query("burst_ratios", sql(LONG_DENSE, *_RATIO, f"SELECT site, channel, k, {q6('ratio', 'ratio')} FROM ratios"))
 def burst_ratios(spark, sf_dir):
     """Distance from the local level over a few days, in shares of the usual one nearby."""
-    return _ratios(spark, sf_dir).select(*_S, "k", r6("ratio", "ratio"))
+    return _ratios(long_dense(spark, sf_dir)).select(*_S, "k", r6("ratio", "ratio"))
 
 
 @query("bursts_found", sql(LONG_DENSE, *_RATIO, *_FOUND, "SELECT site, CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM u"))
 def bursts_found(spark, sf_dir):
     """Stretches on which a channel of the site is loud for long enough, padded and merged."""
-    return _found(spark, sf_dir).select("site", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    return _found(long_dense(spark, sf_dir)).select("site", F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
 
 
 @query("bursts_filled", sql(LONG_DENSE, *_RATIO, *_FOUND, "f AS (SELECT r.*, least(k - a, b - 1 - k) AS edge, least(4, (b - a) // 2) AS half, a IS NULL AS out FROM ratios r LEFT JOIN u ON r.site = u.site AND k >= a AND k < b)", f"SELECT site, channel, k, {q6('CASE WHEN out THEN x ELSE level + (CASE WHEN edge < half THEN (1 + cos(pi() * edge / half)) / 2 ELSE 0 END) * (x - level) END', 'x')} FROM f"))
 def bursts_filled(spark, sf_dir):
     """Samples set to the local level inside bursts, by a cosine from both ends."""
-    rows = bursts.with_level(long_dense(spark, sf_dir), _S, "x", _M)
-    spans = _found(spark, sf_dir).withColumnsRenamed({"a": "a2", "b": "b2"})
-    both = spans.join(rows.select(*_S).distinct(), "site")
+    base = long_dense(spark, sf_dir)
+    rows = bursts.with_level(base, _S, "x", _M)
+    spans = _found(base).withColumnsRenamed({"a": "a2", "b": "b2"})
+    both = spans.join(base.select(*_S).distinct(), "site")
     return masking.spans_filled(rows, both, _S, "x", "level", 4, 64).select(*_S, "k", r6("x", "x"))
 
 

@@ -34,6 +34,14 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cells_of_spans_are_not_broadcast(spark):
+    rows = spark.range(100).select(F.lit("a").alias("site"), F.col("id").alias("k"), F.lit(1.0).alias("x"), F.lit(0.0).alias("level"))
+    spans = spark.createDataFrame([("a", 10, 30)], "site string, a2 long, b2 long")
+    out = masking.spans_filled(rows, spans, ["site"], "x", "level", 4, 8)
+    assert "Broadcast" not in _plan(out)
+    assert out.where("x = 0").count() == 12
+
+
 def test_dealt_intervals_are_not_broadcast(spark):
     x = spark.createDataFrame([("a", 0, 500), ("b", 3, 9)], "site string, a long, b long")
     y = spark.createDataFrame([("a", 499, 2000), ("b", 9, 12)], "site string, a2 long, b2 long")
