@@ -160,8 +160,12 @@ def pairwise_spread(spark, sf_dir):
 @query("window_list", sql(SPANS, "w AS (SELECT site, d // 30 AS w, count(DISTINCT d) AS days FROM (SELECT site, unnest(range(a, b)) AS d FROM spans) GROUP BY 1, 2)", "SELECT site, CAST(w * 30 AS BIGINT) AS a, CAST(w * 30 + 30 AS BIGINT) AS b, CAST(days AS BIGINT) AS days FROM w WHERE days >= 10"))
 def window_list(spark, sf_dir):
     """Windows of thirty days of which a site's record covers ten at least."""
-    days = spans(spark, sf_dir).select("site", F.explode(F.sequence("a", F.col("b") - 1)).alias("d"))
-    w = days.groupBy("site", F.floor(F.col("d") / 30).alias("w")).agg(F.countDistinct("d").alias("days")).where("days >= 10")
+    from terrawave.operators import intervals as iv
+
+    # Spans without overlaps are cut at the windows' borders; a day is no row.
+    cut = iv.union(spans(spark, sf_dir), ["site"]).select("site", "a", "b", F.explode(F.sequence(F.floor(F.col("a") / 30), F.floor((F.col("b") - 1) / 30))).alias("w"))
+    inside = F.least("b", F.col("w") * 30 + 30) - F.greatest("a", F.col("w") * 30)
+    w = cut.groupBy("site", "w").agg(F.sum(inside).alias("days")).where("days >= 10")
     return w.select("site", (F.col("w") * 30).alias("a"), (F.col("w") * 30 + 30).alias("b"), "days")
 
 

@@ -1,6 +1,7 @@
 """Queries against their SQL where keys are large, spans tie or means lie on a limit, and joins whose sides only look small."""
 
 import datetime
+import re
 
 import duckdb
 import pytest
@@ -83,3 +84,13 @@ def test_means_at_the_limit_are_not_usable(spark, tmp_path):
 def test_runs_a_thousandth_before_the_grid_stand_on_it(spark, tmp_path):
     got = _agrees(spark, tmp_path, "runs_on_grid", orders=_orders(spark, [(k, 1, 0) for k in (0, 124_875, 249_875, 499_875, 7, 2_766_000, 2_767_500, 8_999_999)]))
     assert [v[1] for v in got if v[2] in (124_875, 249_875, 499_875)] == [True] * 3
+
+
+def test_days_are_not_rows_before_they_are_counted(spark, tmp_path):
+    orders = _orders(spark, [(k, k % 3, k % 40) for k in range(200)])
+    _agrees(spark, tmp_path, "members_per_day", orders=orders)
+    for name, cut in (("members_per_day", "sequence(a"), ("window_list", "/ 30.0")):
+        lines = [re.sub(r"#\d+L?", "", v) for v in _plan(catalog.queries()[name](spark, str(tmp_path))).split("== Initial Plan")[0].splitlines()]
+        assert [v for v in lines if "Generate" in v and cut in v]
+        if name == "members_per_day":
+            assert [i for i, v in enumerate(lines) if "Generate" in v][0] < [i for i, v in enumerate(lines) if "Aggregate" in v or "Window" in v][0]
