@@ -6,13 +6,16 @@ from bisect import bisect_left, insort
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, DoubleType
 
 from terrawave.session import small
 
 BLOCK = 1 << 16  # samples
+SLICE = 16  # blocks of an Arrow batch that are worked on at once
 
 
 def ends(rows: DataFrame, keys: list[str], k: str = "k") -> DataFrame:
@@ -60,6 +63,18 @@ def over_blocks(rows: DataFrame, keys: list[str], columns: list[str], fn: Callab
     return unpacked(held.mapInPandas(run, schema), keys, made, k)
 
 
+def by_slices(blocks: DataFrame, fn: Callable, schema, rows: int = SLICE) -> DataFrame:
+    """fn of so many blocks at a time, pandas to pandas: a batch may hold ten thousand, of which copies would fill a worker."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, rows):
+                part = fn(batch.slice(i, rows).to_pandas())
+                yield pa.RecordBatch.from_pandas(part, schema=to_arrow_schema(schema), preserve_index=False)
+
+    return blocks.mapInArrow(run, schema)
+
+
 def running_total(rows: DataFrame, keys: list[str], value: str, name: str, block: int = BLOCK, k: str = "k") -> DataFrame:
     """rows with the sum of value up to and including each row, summed in blocks of the grid that hand on their totals."""
     rows = rows.withColumn("_block", F.floor(F.col(k) / block))

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from terrawave.operators.blocks import BLOCK, packed, unpacked
-from terrawave.session import small
+from terrawave.operators.blocks import BLOCK, by_slices, packed, unpacked
+from terrawave.session import small, stash
 
 STEP = 64  # samples of a block that one matrix product takes
 
@@ -143,13 +143,12 @@ def _carried(left: DataFrame, keys: list[str], system: System, back: bool) -> Da
 def _at_rest(held: DataFrame, keys: list[str], system: System, back: bool) -> DataFrame:
     schema = held.select(*keys, "_block").schema.add("n", "long").add("edge", "double").add("left", ArrayType(DoubleType()))
 
-    def run(batches):
-        for batch in batches:
-            xs = [np.asarray(v, float)[:: -1 if back else 1] for v in batch["x"]]
-            zero = np.zeros(len(system.b))
-            yield batch[[*keys, "_block"]].assign(n=[len(v) for v in xs], edge=[v[0] for v in xs], left=[system.run(v, zero)[1] for v in xs])
+    def run(batch):
+        xs = [np.asarray(v, float)[:: -1 if back else 1] for v in batch["x"]]
+        zero = np.zeros(len(system.b))
+        return batch[[*keys, "_block"]].assign(n=[len(v) for v in xs], edge=[v[0] for v in xs], left=[system.run(v, zero)[1] for v in xs])
 
-    return held.select(*keys, "_block", "x").mapInPandas(run, schema)
+    return by_slices(held.select(*keys, "_block", "x"), run, schema)
 
 
 def _passed(held: DataFrame, keys: list[str], system: System, back: bool) -> DataFrame:
@@ -157,15 +156,14 @@ def _passed(held: DataFrame, keys: list[str], system: System, back: bool) -> Dat
     states = _carried(_at_rest(held, keys, system, back), keys, system, back)
     schema = held.schema
 
-    def run(batches):
-        for batch in batches:
-            ys = []
-            for x, state in zip(batch["x"], batch["state"], strict=True):
-                y, _ = system.run(np.asarray(x, float)[:: -1 if back else 1], np.asarray(state, float))
-                ys.append(y[:: -1 if back else 1])
-            yield batch.drop(columns="state").assign(x=ys)[schema.names]
+    def run(batch):
+        ys = []
+        for x, state in zip(batch["x"], batch["state"], strict=True):
+            y, _ = system.run(np.asarray(x, float)[:: -1 if back else 1], np.asarray(state, float))
+            ys.append(y[:: -1 if back else 1])
+        return batch.drop(columns="state").assign(x=ys)[schema.names]
 
-    return held.join(states, [*keys, "_block"]).mapInPandas(run, schema)
+    return by_slices(held.hint("merge").join(states.hint("merge"), [*keys, "_block"]), run, schema)
 
 
 def zero_phase(rows: DataFrame, keys: list[str], x: str, sections: np.ndarray, block: int = BLOCK, k: str = "k") -> DataFrame:
@@ -175,9 +173,11 @@ def zero_phase(rows: DataFrame, keys: list[str], x: str, sections: np.ndarray, b
     system = System(sections)
     long = continued(rows.where(F.col(x).isNotNull()), keys, x, padding(sections), k)
     span = long.select(*keys, "k", "x", "lo", "hi")
-    held = packed(span, keys, ["x", "lo", "hi"], block)
-    out = _passed(_passed(held, keys, system, False), keys, system, True)
-    return unpacked(out, keys, ["x", "lo", "hi"]).where("k >= lo and k < hi").select(*keys, "k", F.col("x").alias(x))
+    own = [*keys, "lo", "hi"]
+    # A pass reads its blocks twice, so they are written before each.
+    held = stash(packed(span, own, ["x"], block), "blocks")
+    out = _passed(stash(_passed(held, keys, system, False), "passed"), keys, system, True)
+    return unpacked(out, own, ["x"]).where("k >= lo and k < hi").select(*keys, "k", F.col("x").alias(x))
 
 
 def filtered(rows: DataFrame, keys: list[str], x: str, rate: float, cutoff, kind: str, order: int = 4, block: int = BLOCK, k: str = "k") -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrawave.functions import names
-from terrawave.operators import intervals, masking, runs
+from terrawave.operators import blocks, intervals, masking, runs, space
 from terrawave.plans import catalog
 
 
@@ -94,3 +94,25 @@ def test_days_are_not_rows_before_they_are_counted(spark, tmp_path):
         assert [v for v in lines if "Generate" in v and cut in v]
         if name == "members_per_day":
             assert [i for i, v in enumerate(lines) if "Generate" in v][0] < [i for i, v in enumerate(lines) if "Aggregate" in v or "Window" in v][0]
+
+
+def test_filters_take_few_blocks_at_a_time(spark):
+    rows = spark.range(100).select(F.col("id"), F.array(F.lit(1.0)).alias("x")).coalesce(1)
+
+    def fn(part):
+        return part.assign(n=len(part))[["id", "n"]]
+
+    most = [r["n"] for r in blocks.by_slices(rows, fn, spark.range(0).selectExpr("id", "id as n").schema).collect()]
+    assert len(most) == 100 and max(most) == blocks.SLICE
+
+
+def test_many_points_at_one_place(spark):
+    rows = [(i, 10.0 if i < 60 else 11.0 + i % 3, 20.0) for i in range(100, -1, -1)]
+    seen = space.nearest(spark.createDataFrame(rows, "id long, lat double, lon double"), 3).collect()
+    at = dict((i, lat) for i, lat, _ in rows)
+    got = {}
+    for r in seen:
+        got.setdefault(r["id"], []).append((r["place"], r["other"]))
+    for i, lat in at.items():
+        want = sorted((round(abs(lat - v), 9), o) for o, v in at.items() if o != i)[:3]
+        assert [o for _, o in sorted(got[i])] == [o for _, o in want]
