@@ -32,9 +32,9 @@ def cycles_subtracted(rows: DataFrame, keys: list[str], x: str, period: float, w
     fits = lambda t: (t["j"] >= 0) & (t["j"] < F.floor(F.col("_size") / period)) & (t["p"] >= 0) & (t["p"] < length) & (F.rint(t["j"] * period) + F.col("_w") * window + length <= F.col("_n"))
     enough = F.floor(F.col("_size") / period) >= least
     dealt = at.select(*keys, "_w", "_k", "_x", F.explode(F.when(enough, F.filter(tries, fits)).otherwise(F.array().cast(at.select(tries.alias("t")).schema["t"].dataType))).alias("_t")).select(*keys, "_w", "_k", "_x", "_t.p")
-    middle = dealt.groupBy(*keys, "_w", "p").agg(F.percentile("_x", F.lit(0.5)).alias("_m"))
+    middle = stash(dealt.groupBy(*keys, "_w", "p").agg(F.percentile("_x", F.lit(0.5)).alias("_m")), "middle")
     level = middle.groupBy(*keys, "_w").agg(F.percentile("_m", F.lit(0.5)).alias("_z"))
-    taken = dealt.join(middle, [*keys, "_w", "p"]).join(level, [*keys, "_w"]).groupBy(*keys, "_k").agg(F.sum(F.col("_m") - F.col("_z")).alias("_less"))
+    taken = dealt.join(middle.join(level, [*keys, "_w"]).hint("merge"), [*keys, "_w", "p"]).groupBy(*keys, "_k").agg(F.sum(F.col("_m") - F.col("_z")).alias("_less"))
     return at.select(*keys, "_k", "_x").join(taken, [*keys, "_k"], "left").select(*keys, F.col("_k").alias(k), (F.col("_x") - F.coalesce("_less", F.lit(0.0))).alias(x))
 
 
