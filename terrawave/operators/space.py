@@ -19,6 +19,9 @@ def nearest(points: DataFrame, n: int, id_col: str = "id", lat: str = "lat", lon
     """
     p = points.select(F.col(id_col).alias("id"), F.radians(lat).alias("_f"), F.radians(lon).alias("_l"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))
     p = stash(p.select("id", "lat", "lon", (F.cos("_f") * F.cos("_l")).alias("x"), (F.cos("_f") * F.sin("_l")).alias("y"), F.sin("_f").alias("z")), "points")
+    # Of points at one place the n + 1 least ids are all that another point, or one of them, can have among its n nearest.
+    same = Window.partitionBy("lat", "lon").orderBy("id")
+    told = stash(p.withColumn("_same", F.row_number().over(same)).where(F.col("_same") <= n + 1).drop("_same"), "told")
     width = math.sqrt(8 * math.pi * (n + 1) / max(p.count(), 1))
     todo, done = p, []
     while True:
@@ -26,7 +29,7 @@ def nearest(points: DataFrame, n: int, id_col: str = "id", lat: str = "lat", lon
         cell = [F.floor(F.col(c) / width) for c in "xyz"]
         around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1))))
         ask = todo.select("*", around.alias("d")).select("id", "lat", "lon", "x", "y", "z", *((c + F.col(f"d.{v}")).alias(v) for c, v in zip(cell, "ijk", strict=True)))
-        held = p.select(F.col("id").alias("other"), *(F.col(c).alias(f"{c}2") for c in ("lat", "lon", "x", "y", "z")), *(c.alias(v) for c, v in zip(cell, "ijk", strict=True)))
+        held = told.select(F.col("id").alias("other"), *(F.col(c).alias(f"{c}2") for c in ("lat", "lon", "x", "y", "z")), *(c.alias(v) for c, v in zip(cell, "ijk", strict=True)))
         chord = F.sqrt(sum((F.col(c) - F.col(f"{c}2")) ** 2 for c in "xyz"))
         near = ask.join(held, list("ijk")).where((F.col("id") != F.col("other")) & (chord <= (width if width < 2.1 else 3.0)))
         near = near.select("id", "other", cx.distance_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")).alias("km"))
