@@ -190,6 +190,30 @@ def test_similar_lines_of_every_length_are_found(spark):
     assert sum(out[i] for i in long) >= 0.98 * len(long)
 
 
+def test_lines_of_a_key_of_many_are_all_compared(spark):
+    """Similar pairs that share one key alone, which 300 lines have: every second word has a letter changed."""
+    r = random.Random(12)
+    rows = []
+    for n in range(150):
+        words = ["".join(r.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(20)]
+        edited = [w[:2] + "z" + w[3:] if i % 2 == 0 else w for i, w in enumerate(words)]
+        rows += [(n, " ".join(["internationalised", "extraordinarily", *words])), (1000 + n, " ".join(["internationalised", "extraordinarily", *edited]))]
+    out = {x["doc"]["doc_id"]: x["n_removed"] for x in line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[1000 + n] == 1 and out[n] == 0 for n in range(150))
+
+
+def test_long_lines_changed_all_over_are_found(spark):
+    """Every word of six letters has one changed, so that the longest words, and the SimHashes, have hardly anything in common."""
+    r = random.Random(13)
+    rows = []
+    for n in range(20):
+        words = ["".join(r.choice("abcdefghijklmnop") for _ in range(6 if i % 2 == 0 else 4)) for i in range(420)]
+        edited = [w[:2] + "z" + w[3:] if i % 2 == 0 else w for i, w in enumerate(words)]
+        rows += [(n, " ".join([f"internationalised{n}", "extraordinarily", *words])), (1000 + n, " ".join([f"internationalised{n}", "extraordinarily", *edited]))]
+    out = {x["doc"]["doc_id"]: x["n_removed"] for x in line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[1000 + n] == 1 and out[n] == 0 for n in range(20))
+
+
 def test_fingerprints(spark, docs, empty):
     rows = spotsigs.compared(docs).collect()
     assert len(rows) == len(_docs())
