@@ -7,8 +7,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from terrawave.functions import cx
 from terrawave.operators.robust import THRESHOLD, normal_sums, outputs_long, residual, solution, solved, weight_of
@@ -137,7 +140,7 @@ TIE, LEAST, CLOCK = 0.02, 0.97, 1.0
 def delay_scan(bands: DataFrame, keys: list[str], f: str = "f", phase: str = "phase", sd: str = "sd", cycle: float = 180.0, tolerance: float = CLOCK, tie: float = TIE, least: float = LEAST) -> DataFrame:
     """keys, n, tau, resultant, expected, alias, half_width, reason, delay, delay_err, intercept, intercept_err, chi2, rms: the delay that puts phases (degrees, known modulo cycle, with errors sd) on a line over frequency, phase = intercept - 360 f delay.
 
-    Delays are tried in steps that turn the highest frequency by a degree, to `tolerance` or half the delay at which the bands' own pattern returns. A delay's score is the weighted resultant of the phases turned back by it; of peaks within `tie` of the highest the nearest to zero is taken, each phase is put on its branch about that line, and the line is fitted with errors scaled by the root of chi2, 1 at least. reason says why there is none: few bands, bound, no line, errors. A key's bands are few and lie in an array, so trying a delay needs no shuffle.
+    Delays are tried in steps that turn the highest frequency by a degree, to `tolerance` or half the delay at which the bands' own pattern returns. A delay's score is the weighted resultant of the phases turned back by it; of peaks within `tie` of the highest the nearest to zero is taken, each phase is put on its branch about that line, and the line is fitted with errors scaled by the root of chi2, 1 at least. reason says why there is none: few bands, bound, no line, errors. A key's bands are few and lie in an array; all its delays are tried at once in the batch (`_scanned`), no row for each.
     """
     good = bands.where(F.col(f).isNotNull() & F.col(phase).isNotNull() & ~F.isnan(phase) & (F.col(sd) > 0) & (F.col(sd) < float("inf")))
     band = F.struct(F.col(f).cast("double").alias("f"), F.col(phase).cast("double").alias("p"), F.col(sd).cast("double").alias("s"))
@@ -145,26 +148,7 @@ def delay_scan(bands: DataFrame, keys: list[str], f: str = "f", phase: str = "ph
     k = 2 * math.pi / cycle
     held = stash(held.withColumn("_step", 1 / (360 * F.col("_top"))).withColumn("expected", _over(lambda b: F.exp(-0.5 * (k * b["s"]) ** 2) / b["s"] ** 2) / F.col("_w")), "bands")
 
-    def turned(tau: Column, own: bool) -> tuple[Column, Column]:
-        angle = lambda b: k * ((F.lit(0.0) if own else b["p"]) + 360 * b["f"] * tau)
-        return tuple(_over(lambda b, g=g: g(angle(b)) / b["s"] ** 2) / F.col("_w") for g in (F.cos, F.sin))
-
-    by = Window.partitionBy(*keys).orderBy("_i")
-    grid = held.where("n >= 3").withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(tolerance / F.col("_step")))))
-    re, im = turned(F.col("_i") * F.col("_step"), True)
-    grid = grid.select(*keys, "_i", "_step", F.sqrt(re * re + im * im).alias("_r"))
-    grid = grid.withColumn("_next", F.lead("_r").over(by)).withColumn("_left", F.max((F.col("_r") < 1 - tie).cast("int")).over(by))
-    grid = grid.withColumn("_back", F.max(((F.col("_left") == 1) & (F.col("_r") >= 1 - tie)).cast("int")).over(by))
-    alias = grid.where((F.col("_back") == 1) & ~F.coalesce(F.col("_next") > F.col("_r"), F.lit(False))).groupBy(*keys).agg(F.min(F.col("_i") * F.col("_step")).alias("alias"))
-    wide = held.where("n >= 3").join(alias, keys, "left").withColumn("_m", F.ceil(F.least(F.lit(tolerance), F.coalesce(F.col("alias") / 2, F.lit(tolerance))) / F.col("_step")))
-    scan = wide.withColumn("_i", F.explode(F.sequence(-F.col("_m"), F.col("_m"))))
-    re, im = turned(F.col("_i") * F.col("_step"), False)
-    scan = scan.select(*keys, "alias", "_m", "_i", "_step", re.alias("_re"), im.alias("_im")).withColumn("_r", F.sqrt(F.col("_re") ** 2 + F.col("_im") ** 2))
-    peak = F.coalesce(F.col("_r") >= F.lag("_r").over(by), F.lit(True)) & F.coalesce(F.col("_r") >= F.lead("_r").over(by), F.lit(True))
-    scan = scan.withColumn("_peak", peak).where("_peak").withColumn("_most", F.max("_r").over(Window.partitionBy(*keys)))
-    near = scan.where(F.col("_r") >= (1 - tie) * F.col("_most"))
-    fields = ("_i", "_m", "alias", "_step", "_r", "_re", "_im")
-    best = near.groupBy(*keys).agg(F.min_by(F.struct(*fields), F.struct(F.abs("_i"), "_i")).alias("_x")).select(*keys, *(F.col(f"_x.{c}").alias(c) for c in fields))
+    best = _scanned(held.where("n >= 3"), keys, k, tolerance, tie)
     out = held.drop("_step").join(best, keys, "left").withColumn("tau", F.col("_i") * F.col("_step"))
     reason = F.when(F.col("n") < 3, "few bands").when(F.abs("_i") == F.col("_m"), "bound").when(F.col("_r") < least, "no line").when(F.col("expected") < least, "errors")
     model = lambda b: F.atan2("_im", "_re") / k - 360 * b["f"] * F.col("tau")
@@ -179,6 +163,65 @@ def delay_scan(bands: DataFrame, keys: list[str], f: str = "f", phase: str = "ph
     return out.select(*keys, "n", "tau", F.col("_r").alias("resultant"), "expected", "alias", (F.col("_m") * F.col("_step")).alias("half_width"), "reason", (-F.col("_slope") / 360).alias("delay"), (scale / F.sqrt("_xx") / 360).alias("delay_err"), (F.col("_a") - cycle * F.ceil(F.col("_a") / cycle - 0.5)).alias("intercept"), (scale * F.sqrt(1 / F.col("_w") + F.col("_mf") ** 2 / F.col("_xx"))).alias("intercept_err"), chi2.alias("chi2"), F.sqrt(F.col("_chi") / F.col("_w")).alias("rms"))
 
 
+def _scanned(held: DataFrame, keys: list[str], k: float, tolerance: float, tie: float) -> DataFrame:
+    """keys, alias, _m, _i, _step, _r, _re, _im: the step nearest to zero among the peaks within `tie` of the highest, of held(keys, _b, _w, _step)."""
+    names = ["alias", "_m", "_i", "_step", "_r", "_re", "_im"]
+    types = StructType([*held.select(*keys).schema.fields, *(StructField(c, LongType() if c in ("_m", "_i") else DoubleType()) for c in names)])
+
+    def resultant(i: np.ndarray, step: float, w: float, f, p, s) -> tuple[np.ndarray, np.ndarray]:
+        re, im = np.zeros(len(i)), np.zeros(len(i))
+        for a in range(0, len(i), 1 << 14):
+            tau = i[a : a + (1 << 14)] * step
+            for fj, pj, sj in zip(f, p, s, strict=True):
+                angle = k * (pj + 360 * fj * tau)
+                re[a : a + len(tau)] += np.cos(angle) / sj**2
+                im[a : a + len(tau)] += np.sin(angle) / sj**2
+        return re / w, im / w
+
+    def steps(width: float, step: float) -> int:
+        x = width / step
+        return int(np.ceil(x)) if x == x else 0
+
+    def whole(n: int, low: int = 0) -> np.ndarray:
+        return np.arange(min(low, n), max(low, n) + 1)
+
+    def tried(w: float, step: float, f, p, s) -> tuple:
+        i = whole(steps(tolerance, step))
+        re, im = resultant(i, step, w, f, np.zeros(len(f)), s)
+        r = _largest(np.sqrt(re * re + im * im))
+        left = np.maximum.accumulate(r < 1 - tie)
+        back = np.maximum.accumulate(left & (r >= 1 - tie))
+        at = i[back & ~np.append(r[1:] > r[:-1], False)] * step
+        alias = float(at.min()) if len(at) else None
+        m = steps(min(tolerance, alias / 2) if alias is not None else tolerance, step)
+        i = whole(m, -m)
+        re, im = resultant(i, step, w, f, p, s)
+        r = np.sqrt(re**2 + im**2)
+        v = _largest(r)
+        peak = np.append(True, v[1:] >= v[:-1]) & np.append(v[:-1] >= v[1:], True)
+        near = np.flatnonzero(peak & (v >= (1 - tie) * v[peak].max()))
+        j = near[np.lexsort((i[near], np.abs(i[near])))[0]]
+        return alias, m, int(i[j]), step, float(r[j]), float(re[j]), float(im[j])
+
+    def run(batches):
+        with np.errstate(invalid="ignore"):
+            for batch in batches:
+                f, p, s = (batch.column(c).to_pylist() for c in "fps")
+                out = [tried(w, step, *map(np.array, x)) for w, step, *x in zip(batch.column("_w").to_pylist(), batch.column("_step").to_pylist(), f, p, s, strict=True)]
+                columns = zip(*out, strict=True) if out else [[]] * len(names)
+                made = [pa.array(c, pa.int64() if n in ("_m", "_i") else pa.float64()) for n, c in zip(names, columns, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), *made], [*keys, *names])
+
+    flat = held.select(*keys, "_w", "_step", *(F.col("_b").getField(c).alias(c) for c in "fps"))
+    parts = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the rows are few and dear: left to size, one task would take them
+    return flat.repartition(parts, *keys).mapInArrow(run, types)
+
+
+def _largest(r: np.ndarray) -> np.ndarray:
+    """r with what is not a number as the largest, as Spark orders it."""
+    return np.where(np.isnan(r), np.inf, r)
+
+
 def _over(term) -> Column:
     """Sum of a term over the bands of the array _b."""
     return F.aggregate("_b", F.lit(0.0), lambda a, b: a + term(b))

@@ -112,3 +112,12 @@ def test_planted_delays_are_found(spark):
     near = {v["site"]: v for v in tensor.delay_scan(df.where("site = 'd'"), ["site"], tolerance=0.1).collect()}
     assert near["d"]["reason"] is not None
     assert df.where(F.lit(False)).count() == 0 and tensor.delay_scan(df.where(F.lit(False)), ["site"]).count() == 0
+
+
+def test_a_delay_tried_makes_no_row(spark):
+    rows = [(site, float(f), 30.0 - 360 * f * 0.003 * site, 2.0) for site in range(4) for f in range(1, 40)]
+    found = tensor.delay_scan(spark.createDataFrame(rows, "site long, f double, phase double, sd double"), ["site"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "explode" not in plan
+    got = {v["site"]: v for v in found.collect()}
+    assert all(abs(got[s]["delay"] - 0.003 * s) < 1e-9 and got[s]["reason"] is None and got[s]["resultant"] > 0.999 for s in range(4))
