@@ -11,9 +11,10 @@ that agree by collision, estimates the similarity; pairs far below the threshold
 the full sets. Thus no link rests on a sketch.
 
 Documents of one set are one node. In a band's bucket every member is compared with one centre (its least id) first, and
-those that this leaves apart with up to CENTRES more; then only members of different components are compared with each other, and of those only pairs that share rare enough
-shingles which the centre lacks, or whose sizes allow a link through the centre's shingles alone. This leaves few pairs
-of a large group of near copies, and loses no link.
+those that this leaves apart with up to CENTRES more; then only members of different components are compared with each other, by
+what sets them apart from the centre: two sets differ in just what their differences from the centre don't share, so a pair
+is linked only if it shares enough of these, and it meets on the rarest. This leaves few pairs of a large group of near
+copies, and loses no link.
 """
 
 from __future__ import annotations
@@ -147,8 +148,8 @@ def _estimated(pairs: DataFrame, regs: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a long, b long, est double")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs(a, b) with n_b, shared and total: the sizes of b's set, the intersection and the union of both full sets; and rest, b's shingles that a lacks."""
+def _verified(pairs: DataFrame, sets: DataFrame, apart: bool = False) -> DataFrame:
+    """pairs(a, b) with n_b, shared and total: the sizes of b's set, the intersection and the union of both full sets; and, if asked for, rest, the shingles that one of the two lacks."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b"))
     names = ["a", "b", "n_b", "shared", "total", "rest"]
@@ -161,7 +162,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 p, q = np.frombuffer(x[i].as_py(), np.uint64), np.frombuffer(y[i].as_py(), np.uint64)
                 lacks = q[~np.isin(q, p, assume_unique=True)] if len(p) else q
                 k = len(q) - len(lacks)
-                out.append((len(q), k, len(p) + len(q) - k, lacks.view(np.int64)))
+                rest = np.concatenate([lacks, p[~np.isin(p, q, assume_unique=True)]]) if apart else lacks[:0]
+                out.append((len(q), k, len(p) + len(q) - k, rest.view(np.int64)))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             columns = list(zip(*out, strict=True)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names)
@@ -228,58 +230,60 @@ def _next_centres(members: DataFrame, root: DataFrame) -> DataFrame:
 
 
 def _checked(pairs: DataFrame, src: DataFrame, rest: bool = False) -> DataFrame:
-    """pairs(a, b) verified on the sets of src's texts, with b's shingles that a lacks if asked for; only texts in pairs are read into sets."""
+    """pairs(a, b) verified on the sets of src's texts, with the shingles that one of the two lacks if asked for; only texts in pairs are read into sets."""
     pairs = stash(pairs, "likely")
     wanted = stash(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
     sets = stash(sets_of(src.join(small(wanted), "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "sets")
-    seen = _verified(pairs, sets)
+    seen = _verified(pairs, sets, rest)
     seen = stash(seen if rest else seen.drop("rest"), "seen")
     release(pairs, wanted, sets)
     return seen
 
 
 def _rest(members: DataFrame, root: DataFrame, src: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one centre in different components that may be similar enough.
+    """Pairs of members of one bucket in different components whose sets are similar enough.
 
-    Of two such texts x and y with s(x), s(y) shingles in the centre, |x & y| >= t (|x| + |y|) with t = percent / (100 + percent); all but s(x) of these, and all but s(y), are shingles that the centre lacks. So they share one of these, or t (|x| + |y|) <= s(x), s(y). And with |x| <= |y|, x holds 2 t |x| - s(x) of the shared ones at least and y holds percent |y| - s(y): each has one of them among its rarest |rest| - need + 1. Bits of the registers that differ too often rule out further pairs, by five standard errors.
+    Of the centre c and two such texts x and y, let X be what only one of x and c has, and Y what only one of y and c has: x and y differ in |X| + |Y| - 2 |X & Y| shingles. They are linked if these are at most u (|x| + |y|) with u = (100 - percent) / (100 + percent), and x is linked with c if |X| <= u (|x| + |c|). As the components differ, one of the two, say y, is not linked with c, so that more than (|X| + u (|c| - |x|)) / 2 of X are shared; and of the Y of a text that is not linked, (|Y| - u (|y| + |c|)) / 2 at least, whatever x is. Thus each has a shared one among its rarest |X| - need + 1, and the pair meets on its rarest shared one, where all that they share is counted. Bits of the registers that differ too often rule out further pairs, by five standard errors.
     """
-    t = percent / (100 + percent)
+    u = (100 - percent) / (100 + percent)
     rows = members.join(small(root.withColumnRenamed("node", "doc_id")), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     mixed = stash(rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key"), "mixed")
-    held = rows.join(small(mixed), "key", "left_semi").where("doc_id <> centre").select("key", "centre", "doc_id", "root")
+    held = rows.join(small(mixed), "key", "left_semi").where("doc_id <> centre").select("centre", "doc_id", "root").distinct()
     held = stash(held, "held")
-    star = _checked(held.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")).distinct(), src, rest=True)
-    facts = stash(star.select(F.col("a").alias("centre"), F.col("b").alias("doc_id"), F.col("n_b").alias("n"), F.col("shared").alias("s"), "rest").join(bits, "doc_id"), "facts")
-    held = stash(held.join(facts.drop("rest"), ["centre", "doc_id"]), "held")
+    star = _checked(held.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")), src, rest=True)
+    size, linked = F.col("total") + F.col("shared") - F.col("n_b"), 100 * F.col("shared") >= percent * F.col("total")
+    facts = star.select(F.col("a").alias("centre"), F.col("b").alias("doc_id"), F.col("n_b").alias("n"), size.alias("c"), linked.alias("linked"), F.size("rest").alias("d"), "rest").join(bits, "doc_id")
+    facts = stash(held.join(facts, ["centre", "doc_id"]), "facts")
 
-    def side(df: DataFrame, name: str, *keys: str) -> DataFrame:
-        return df.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "root", "n", "s", "bits")))
+    items = stash(facts.drop("bits").select("*", F.explode("rest").alias("item")).drop("rest"), "items")
+    often = items.groupBy("centre", "item").agg(F.count("*").alias("often"))
+    rank = F.row_number().over(Window.partitionBy("centre", "doc_id").orderBy("often", "item"))
+    items = items.join(stash(often, "often"), ["centre", "item"]).withColumn("rank", rank).where("often > 1")
+
+    def prefix(need):
+        return F.col("d") - F.greatest(F.lit(1), F.ceil(need - 1e-6 * F.col("d"))) + 1
+
+    all_items = F.transform(F.array_sort(F.collect_list(F.struct("rank", "item")).over(Window.partitionBy("centre", "doc_id"))), lambda z: z["item"])
+    less, more = prefix((F.col("d") + u * (F.col("c") - F.col("n"))) / 2), prefix((F.col("d") - u * (F.col("n") + F.col("c"))) / 2)
+    items = items.withColumn("items", all_items).withColumn("first", F.col("rank") <= less).where(F.col("first") | (~F.col("linked") & (F.col("rank") <= more)))
+    items = stash(items.join(facts.select("centre", "doc_id", "bits"), ["centre", "doc_id"]), "rare")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("centre", "item", *(F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "root", "n", "d", "linked", "first", "rank", "items", "bits")))
 
+    x, y = side(items.where("first"), "x"), side(items.where("not linked"), "y")
     differ = sum(F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(REGISTERS * BITS // 64))
     unlike = 1 - percent / 100
     usual = REGISTERS * unlike * BITS / 2
     error = (REGISTERS * (unlike * (BITS + BITS**2) / 4 - (unlike * BITS / 2) ** 2)) ** 0.5
-    ordered = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_doc_id") < F.col("y_doc_id")))
-    alike = ordered & (F.col("x_root") != F.col("y_root")) & (100 * F.col("x_n") >= percent * F.col("y_n")) & (differ <= usual + 5 * error)
-    pair = [F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")]
-
-    by_size = side(held, "x", "key").join(side(held, "y", "key"), "key").where(alike & (t * 0.999999 * (F.col("x_n") + F.col("y_n")) <= F.least("x_s", "y_s"))).select(*pair)
-
-    once = held.select("centre", "doc_id", "root").distinct()
-    items = stash(once.join(facts, ["centre", "doc_id"]).select("centre", "doc_id", "root", "n", "s", "bits", F.size("rest").alias("k"), F.explode("rest").alias("item")), "items")
-    often = items.groupBy("centre", "item").agg(F.count("*").alias("often"))
-    rank = F.row_number().over(Window.partitionBy("centre", "doc_id").orderBy("often", "item"))
-    items = items.join(stash(often, "often"), ["centre", "item"]).withColumn("rank", rank).where("often > 1")
-    of_text = Window.partitionBy("centre", "doc_id")
-
-    def first(most: str):
-        return F.transform(F.array_sort(F.collect_list(F.when(F.col("rank") <= F.col(most), F.struct("rank", "item"))).over(of_text)), lambda z: z["item"]).alias(f"{most}_items")
+    both, apart = F.col("x_n") + F.col("y_n"), F.col("x_d") + F.col("y_d")
 
-    def need(share: float):
-        return F.greatest(F.lit(1), F.ceil(share * 0.999999 * F.col("n") - F.col("s")))
+    def enough(shared):
+        return 100 * (both - apart + 2 * shared) >= percent * (both + apart - 2 * shared)
 
-    items = stash(items.withColumn("less", F.col("k") - need(2 * t) + 1).withColumn("more", F.col("k") - need(percent / 100) + 1).where("rank <= less or rank <= more").drop("k").select("*", first("less"), first("more")), "rare")
-    x, y = side(items.where("rank <= less"), "x", "centre", "item", "less_items"), side(items.where("rank <= more"), "y", "centre", "item", "more_items")
-    once = F.get(F.array_intersect("less_items", "more_items"), F.lit(0)) == F.col("item")  # a pair meets on its rarest shared one alone
-    by_item = x.join(y, ["centre", "item"]).where(alike & once).select(*pair)
-    return by_size.unionByName(by_item).distinct()
+    once = F.col("x_linked") | (F.col("y_first") & (F.col("x_doc_id") < F.col("y_doc_id")))
+    alike = (F.col("x_root") != F.col("y_root")) & once & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+    alike &= enough(1 + F.least(F.col("x_d") - F.col("x_rank"), F.col("y_d") - F.col("y_rank"))) & (differ <= usual + 5 * error)
+    common = F.array_intersect("x_items", "y_items")
+    alike &= enough(F.size(common)) & (F.get(common, F.lit(0)) == F.col("item"))
+    return x.join(y, ["centre", "item"]).where(alike).select(F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")).distinct()
