@@ -47,20 +47,19 @@ def over_blocks(rows: DataFrame, keys: list[str], columns: list[str], fn: Callab
     for c in made:
         schema = schema.add(c, ArrayType(DoubleType()))
 
-    def run(batches):
-        for batch in batches:
-            out = batch[[*keys, "_block", "_k"]].copy()
-            results = {c: [] for c in made}
-            for i, row in enumerate(batch.to_dict("records")):
-                at = np.asarray(row["_k"], np.int64)
-                values = fn(at, {c: np.asarray(row[c], np.float64) for c in columns}, row["lo"], row["hi"])
-                own = at // block == row["_block"]
-                out.at[out.index[i], "_k"] = at[own]
-                for c, v in zip(made, values, strict=True):
-                    results[c].append(v[own])
-            yield out.assign(**results)
-
-    return unpacked(held.mapInPandas(run, schema), keys, made, k)
+    def run(part):
+        out = part[[*keys, "_block", "_k"]].copy()
+        results = {c: [] for c in made}
+        for i, row in enumerate(part.to_dict("records")):
+            at = np.asarray(row["_k"], np.int64)
+            values = fn(at, {c: np.asarray(row[c], np.float64) for c in columns}, row["lo"], row["hi"])
+            own = at // block == row["_block"]
+            out.at[out.index[i], "_k"] = at[own]
+            for c, v in zip(made, values, strict=True):
+                results[c].append(v[own])
+        return out.assign(**results)
+
+    return unpacked(by_slices(held, run, schema), keys, made, k)
 
 
 def by_slices(blocks: DataFrame, fn: Callable, schema, rows: int = SLICE) -> DataFrame:

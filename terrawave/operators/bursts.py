@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrawave.operators.blocks import BLOCK, ends
+from terrawave.operators.blocks import BLOCK, ends, over_blocks
 from terrawave.session import small, stash
 
 
@@ -48,15 +49,61 @@ def samples_of(rate: float, least: float = 0.05, level: float = 1.0, scale: floa
     return {"width": max(1, round(least * rate)), "size": max(8, round(level * rate)), "half": round(scale / level) // 2}
 
 
+def _middles(sorted_rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Medians of the first n values of each row; not a number where there are none."""
+    i, low = np.arange(len(n)), np.maximum(n - 1, 0) // 2
+    return np.where(n > 0, 0.5 * sorted_rows[i, low] + 0.5 * sorted_rows[i, np.minimum(n // 2, sorted_rows.shape[1] - 1)], np.nan)
+
+
+def _by_block(c: np.ndarray, x: np.ndarray, count: int, size: int) -> np.ndarray:
+    """Medians of the values of each block 0 to count - 1; c are the blocks of the values, in order."""
+    there = ~np.isnan(x)
+    order = np.lexsort((x[there], c[there]))
+    c, x = c[there][order], x[there][order]
+    n = np.bincount(c, minlength=count)
+    table = np.full((count, max(size, n.max(initial=1))), np.nan)
+    table[c, np.arange(len(c)) - (np.cumsum(n) - n)[c]] = x
+    return _middles(table, n)
+
+
+def _ratios(x: str, width: int, size: int, half: int):
+    """The ratios of a block's samples and those around it."""
+
+    def run(at, arrays, lo, hi):
+        v, c = arrays[x], (at - lo) // size
+        base, count = c[0] - 1, int(c[-1] - c[0]) + 3
+        c = c - base
+        first = lo + (np.arange(count) + base) * size
+        centre, middle = (first + np.minimum(first + size, hi) - 1) / 2, _by_block(c, v, count, size)
+        there = np.bincount(c, minlength=count) > 0
+
+        def line(a, b):
+            return middle[a] + (middle[b] - middle[a]) * (at - centre[a]) / (centre[b] - centre[a])
+
+        before = at < centre[c]
+        joined = np.where(before, line(c - 1, c), line(c, c + 1))
+        joined = np.where(there[np.where(before, c - 1, c + 1)] & ~np.isnan(joined), joined, middle[c])
+        d = np.abs(v - joined)
+        near = np.pad(d, (width // 2, width - 1 - width // 2), mode="edge")
+        lost = np.isnan(near)
+        frames = np.lib.stride_tricks.sliding_window_view(np.where(lost, 0.0, near), width)
+        mean = np.where(lost[: len(d)] | lost[width - 1 :], np.nan, frames.sum(axis=1) / width)
+        spread = _by_block(c, d, count, size)
+        spread = np.pad(np.where(spread > 0, spread, np.nan), half, constant_values=np.nan)
+        around = np.sort(np.lib.stride_tricks.sliding_window_view(spread, 2 * half + 1), axis=1)
+        ratio = mean / _middles(around, (~np.isnan(around)).sum(axis=1))[c]
+        return (np.where(np.isnan(ratio), 0.0, ratio),)
+
+    return run
+
+
 def burst_ratio(rows: DataFrame, keys: list[str], x: str, width: int, size: int, half: int, block: int = BLOCK, k: str = "k") -> DataFrame:
-    """keys, k, ratio: the mean distance of x from its local level over `width` samples, over the median of the blocks' own median distances among the `half` blocks to either side. Blocks whose distance is 0 are left out; where no other is near, the ratio is 0."""
-    d = stash(with_level(rows, keys, x, size, "_level", k).select(*keys, k, F.abs(F.col(x) - F.col("_level")).alias("_d")), "distances")
-    mean = moving_mean(d, keys, "_d", width, "_mean", block, k)
-    spread = block_medians(d, keys, "_d", size, k)
-    near = spread.where("v > 0").select(*keys, "v", F.explode(F.sequence(F.col("_c") - half, F.col("_c") + half)).alias("_c"))
-    scale = near.groupBy(*keys, "_c").agg(F.percentile("v", F.lit(0.5)).alias("_scale"))
-    at = mean.join(small(ends(d, keys, k).select(*keys, "lo")), keys).withColumn("_c", F.floor((F.col(k) - F.col("lo")) / size))
-    return at.join(scale.hint("merge"), [*keys, "_c"], "left").select(*keys, k, F.coalesce(F.col("_mean") / F.col("_scale"), F.lit(0.0)).alias("ratio"))
+    """keys, k, ratio: the mean distance of x from its local level over `width` samples, over the median of the blocks' own median distances among the `half` blocks to either side. Blocks whose distance is 0 are left out; where no other is near, the ratio is 0. A sample that is null or not a number is left out of the medians.
+
+    Samples are shuffled once, in blocks with the few that lie around them.
+    """
+    around = (half + 2) * size + width
+    return over_blocks(rows, keys, [x], _ratios(x, width, size, half), ["ratio"], block, around, around, k)
 
 
 def despiked(rows: DataFrame, keys: list[str], x: str, sigmas: float, around: int, block: int = BLOCK, k: str = "k") -> DataFrame:
