@@ -62,7 +62,7 @@ def beside_others(rows: DataFrame, keys: list[str], member: str = "member", x: s
 
 def member_coherence(rows: DataFrame, keys: list[str], rate: float, chunk: int, segment: int, shortest: float, longest: float, per_decade: int = 6, factor: int = 4, levels: int = 1, member: str = "member", x: str = "x", k: str = "k") -> DataFrame:
     """keys, member, chunk, coherence: squared coherence of a member with the mean of the others in each whole chunk of so many samples, the mean over the band's bins of period on each level and of these over the levels, each level taking the periods that the finer ones do not reach."""
-    both = beside_others(rows, keys, member, x, k).withColumnRenamed(x, "member_x")
+    both = stash(beside_others(rows, keys, member, x, k).withColumnRenamed(x, "member_x"), "beside")  # read for its ends and for its blocks
     own = [*keys, member]
     parts = []
     for level, series in enumerate(welch.levels_of(both, own, ["member_x", "others"], factor, levels, k)):
