@@ -124,11 +124,13 @@ def stretch_masks(slots: DataFrame, keys: list[str], records: DataFrame, grain:
 
 def polarity(spectra: DataFrame, keys: list[str], member: str = "member", reject: float = stacks.REJECT, w: str = "w", h: str = "h") -> DataFrame:
     """keys, member, correlation: real correlation of a member's spectra with the mean of the others' kept in the same window, each over its scale. The others' sum is the total less the member's own; windows that keep one member alone don't count."""
+    spectra = stash(spectra.select(*keys, member, w, h, "re", "im"), "spectra")  # read for the powers and again for what is kept
     kept = stacks.kept_members(spectra, keys, member, reject, w).where("kept").select(*keys, member, w, "scale")
     scaled = spectra.join(kept, [*keys, member, w]).select(*keys, member, w, h, (F.col("re") / F.col("scale")).alias("_re"), (F.col("im") / F.col("scale")).alias("_im"))
-    at = Window.partitionBy(*keys, w, h)
-    n = F.count("*").over(at)
-    others = scaled.select(*keys, member, "_re", "_im", n.alias("_n"), *((F.sum(c).over(at) - F.col(c)).alias(f"{c}_o") for c in ("_re", "_im"))).where("_n > 1")
+    scaled = stash(scaled, "scaled")
+    # A window's members are many: their sums meet, not their rows.
+    total = scaled.groupBy(*keys, w, h).agg(F.count("*").alias("_n"), F.sum("_re").alias("_re_o"), F.sum("_im").alias("_im_o")).where("_n > 1")
+    others = scaled.join(small(stash(total, "total")), [*keys, w, h]).select(*keys, member, "_re", "_im", "_n", *((F.col(f"{c}_o") - F.col(c)).alias(f"{c}_o") for c in ("_re", "_im")))
     o_re, o_im = F.col("_re_o") / (F.col("_n") - 1), F.col("_im_o") / (F.col("_n") - 1)
     sums = others.groupBy(*keys, member).agg(F.sum(F.col("_re") * o_re + F.col("_im") * o_im).alias("_c"), F.sum(F.col("_re") ** 2 + F.col("_im") ** 2).alias("_a"), F.sum(o_re**2 + o_im**2).alias("_b"))
     return sums.where("_a > 0 and _b > 0").select(*keys, member, (F.col("_c") / F.sqrt(F.col("_a") * F.col("_b"))).alias("correlation"))
