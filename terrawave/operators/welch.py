@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
-from terrawave.operators.blocks import ends, packed
+from terrawave.operators.blocks import by_slices, ends, packed
 from terrawave.operators.filters import decimated
 from terrawave.operators.spectra import hann
 from terrawave.session import small, stash
@@ -111,37 +111,36 @@ def window_spectra(rows: DataFrame, keys: list[str], channels: list[str], pairs:
         schema = schema.add(n, ArrayType(DoubleType()))
     least = max(LEAST, math.ceil(len(starts) / 2))
 
-    def run(batches):
-        for batch in batches:
-            out = {c: [] for c in schema.names}
-            for row in batch.to_dict("records"):
-                first = row["_block"] * per * step
-                there, series = _laid(row, channels, first, per * step + max(0, window - step))
-                clear = _whole(there, segment)
-                for i in range(per):
-                    if first + i * step + window > row["_n"]:
-                        break
-                    good = starts[clear[i * step + starts]]
-                    for key in keys:
-                        out[key].append(row[key])
-                    out["w"].append(row["_block"] * per + i)
-                    out["t"].append((first + i * step + window / 2) / rate)
-                    if len(good) < least:
-                        out["segments"].append(0)
-                        for n in names:
-                            out[n].append(None)
-                        continue
-                    out["segments"].append(len(good))
-                    f = {c: _transforms(series[c], i * step + good, segment) for c in channels}
-                    for c in channels:
-                        out[f"psd_{c}"].append(scale * np.mean(np.abs(f[c]) ** 2, axis=0))
-                    for a, b in pairs:
-                        z = scale * np.mean(f[a].conj() * f[b], axis=0)
-                        out[f"csd_{a}_{b}_re"].append(z.real.copy())
-                        out[f"csd_{a}_{b}_im"].append(z.imag.copy())
-            yield pd.DataFrame(out)
-
-    return held.mapInPandas(run, schema)
+    def run(part):
+        out = {c: [] for c in schema.names}
+        for row in part.to_dict("records"):
+            first = row["_block"] * per * step
+            there, series = _laid(row, channels, first, per * step + max(0, window - step))
+            clear = _whole(there, segment)
+            for i in range(per):
+                if first + i * step + window > row["_n"]:
+                    break
+                good = starts[clear[i * step + starts]]
+                for key in keys:
+                    out[key].append(row[key])
+                out["w"].append(row["_block"] * per + i)
+                out["t"].append((first + i * step + window / 2) / rate)
+                if len(good) < least:
+                    out["segments"].append(0)
+                    for n in names:
+                        out[n].append(None)
+                    continue
+                out["segments"].append(len(good))
+                f = {c: _transforms(series[c], i * step + good, segment) for c in channels}
+                for c in channels:
+                    out[f"psd_{c}"].append(scale * np.mean(np.abs(f[c]) ** 2, axis=0))
+                for a, b in pairs:
+                    z = scale * np.mean(f[a].conj() * f[b], axis=0)
+                    out[f"csd_{a}_{b}_re"].append(z.real.copy())
+                    out[f"csd_{a}_{b}_im"].append(z.imag.copy())
+        return pd.DataFrame(out)
+
+    return by_slices(held, run, schema)
 
 
 def by_frequency(spectra: DataFrame, keys: list[str], arrays: list[str], rate: float, segment: int) -> DataFrame:
