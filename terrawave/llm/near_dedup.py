@@ -243,7 +243,7 @@ def _checked(pairs: DataFrame, src: DataFrame, rest: bool = False) -> DataFrame:
 def _rest(members: DataFrame, root: DataFrame, src: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of one bucket in different components whose sets are similar enough.
 
-    Of the centre c and two such texts x and y, let X be what only one of x and c has, and Y what only one of y and c has: x and y differ in |X| + |Y| - 2 |X & Y| shingles. They are linked if these are at most u (|x| + |y|) with u = (100 - percent) / (100 + percent), and x is linked with c if |X| <= u (|x| + |c|). As the components differ, one of the two, say y, is not linked with c, so that more than (|X| + u (|c| - |x|)) / 2 of X are shared; and of the Y of a text that is not linked, (|Y| - u (|y| + |c|)) / 2 at least, whatever x is. Thus each has a shared one among its rarest |X| - need + 1, and the pair meets on its rarest shared one, where all that they share is counted. Bits of the registers that differ too often rule out further pairs, by five standard errors.
+    Of the centre c and two such texts x and y, let X be what only one of x and c has, and Y what only one of y and c has: x and y differ in |X| + |Y| - 2 |X & Y| shingles. They are linked if these are at most u (|x| + |y|) with u = (100 - percent) / (100 + percent), and x is linked with c if |X| <= u (|x| + |c|). As the components differ, one of the two, say y, is not linked with c, so that more than (|X| + u (|c| - |x|)) / 2 of X are shared; and of the Y of a text that is not linked, (|Y| - u (|y| + |c|)) / 2 at least, whatever x is. Thus each has a shared one among its rarest |X| - need + 1, and the pair meets there; all that they share is counted once for the pairs that met. Items of one component only can't be shared and count as the rarest. Bits of the registers that differ too often rule out further pairs, by five standard errors.
     """
     u = (100 - percent) / (100 + percent)
     rows = members.join(small(root.withColumnRenamed("node", "doc_id")), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
@@ -252,38 +252,48 @@ def _rest(members: DataFrame, root: DataFrame, src: DataFrame, bits: DataFrame,
     held = stash(held, "held")
     star = _checked(held.select(F.col("centre").alias("a"), F.col("doc_id").alias("b")), src, rest=True)
     size, linked = F.col("total") + F.col("shared") - F.col("n_b"), 100 * F.col("shared") >= percent * F.col("total")
-    facts = star.select(F.col("a").alias("centre"), F.col("b").alias("doc_id"), F.col("n_b").alias("n"), size.alias("c"), linked.alias("linked"), F.size("rest").alias("d"), "rest").join(bits, "doc_id")
+    facts = star.select(F.col("a").alias("centre"), F.col("b").alias("doc_id"), F.col("n_b").alias("n"), size.alias("c"), linked.alias("linked"), F.size("rest").alias("d"), "rest")
     facts = stash(held.join(facts, ["centre", "doc_id"]), "facts")
 
-    items = stash(facts.drop("bits").select("*", F.explode("rest").alias("item")).drop("rest"), "items")
-    often = items.groupBy("centre", "item").agg(F.count("*").alias("often"))
-    rank = F.row_number().over(Window.partitionBy("centre", "doc_id").orderBy("often", "item"))
-    items = items.join(stash(often, "often"), ["centre", "item"]).withColumn("rank", rank).where("often > 1")
+    # Only items that stand in several components can be shared by such a pair; the others come first in every order.
+    items = facts.select("centre", "doc_id", "root", F.explode("rest").alias("item"))
+    often = items.groupBy("centre", "item").agg(F.count("*").alias("often"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("centre", "item", "often")
+    items = items.drop("root").join(small(stash(often, "often")), ["centre", "item"])
+    lists = items.groupBy("centre", "doc_id").agg(F.array_sort(F.collect_list(F.struct("often", "item"))).alias("items")).withColumn("items", F.transform("items", lambda z: z["item"]))
 
     def prefix(need):
         return F.col("d") - F.greatest(F.lit(1), F.ceil(need - 1e-6 * F.col("d"))) + 1
 
-    all_items = F.transform(F.array_sort(F.collect_list(F.struct("rank", "item")).over(Window.partitionBy("centre", "doc_id"))), lambda z: z["item"])
     less, more = prefix((F.col("d") + u * (F.col("c") - F.col("n"))) / 2), prefix((F.col("d") - u * (F.col("n") + F.col("c"))) / 2)
-    items = items.withColumn("items", all_items).withColumn("first", F.col("rank") <= less).where(F.col("first") | (~F.col("linked") & (F.col("rank") <= more)))
-    items = stash(items.join(facts.select("centre", "doc_id", "bits"), ["centre", "doc_id"]), "rare")
+    lists = lists.join(facts.drop("rest"), ["centre", "doc_id"]).withColumn("before", F.col("d") - F.size("items")).withColumn("less", less - F.col("before"))
+    lists = lists.withColumn("most", F.greatest("less", F.when(F.col("linked"), 0).otherwise(more - F.col("before")))).where("most > 0")
+    lists = stash(lists.join(bits, "doc_id"), "lists")
+    def enough(both, apart, shared):
+        return 100 * (both - apart + 2 * shared) >= percent * (both + apart - 2 * shared)
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select("centre", "item", *(F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "root", "n", "d", "linked", "first", "rank", "items", "bits")))
+        return df.select("centre", F.col("doc_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("n", "d", "items", "bits")))
 
-    x, y = side(items.where("first"), "x"), side(items.where("not linked"), "y")
+    pairs = stash(_meeting(lists, percent, enough), "meeting")
+    pairs = pairs.join(side(lists, "x"), ["centre", "x"]).join(side(lists, "y"), ["centre", "y"])
     differ = sum(F.bit_count(F.col("x_bits")[i].bitwiseXOR(F.col("y_bits")[i])) for i in range(REGISTERS * BITS // 64))
     unlike = 1 - percent / 100
     usual = REGISTERS * unlike * BITS / 2
     error = (REGISTERS * (unlike * (BITS + BITS**2) / 4 - (unlike * BITS / 2) ** 2)) ** 0.5
-    both, apart = F.col("x_n") + F.col("y_n"), F.col("x_d") + F.col("y_d")
+    alike = (differ <= usual + 5 * error) & enough(F.col("x_n") + F.col("y_n"), F.col("x_d") + F.col("y_d"), F.size(F.array_intersect("x_items", "y_items")))
+    return pairs.where(alike).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
-    def enough(shared):
-        return 100 * (both - apart + 2 * shared) >= percent * (both + apart - 2 * shared)
 
-    once = F.col("x_linked") | (F.col("y_first") & (F.col("x_doc_id") < F.col("y_doc_id")))
+def _meeting(lists: DataFrame, percent: int, enough) -> DataFrame:
+    """centre, x, y of lists' texts that meet on an item and may share enough by its rank in both. What texts hold stays in lists: a row here is a few numbers."""
+    head = F.transform(F.slice("items", F.lit(1), F.col("most").cast("int")), lambda z, i: F.struct((i + 1).alias("at"), z.alias("item")))
+    items = lists.withColumn("p", F.explode(head)).select("centre", "doc_id", "root", "n", "d", "linked", (F.col("before") + F.col("p.at")).alias("rank"), (F.col("p.at") <= F.col("less")).alias("first"), "p.item")
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select("centre", "item", F.col("doc_id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in ("root", "n", "d", "linked", "first", "rank")))
+
+    x, y = side(items.where("first"), "x"), side(items.where("not linked"), "y")
+    once = F.col("x_linked") | (F.col("y_first") & (F.col("x") < F.col("y")))
     alike = (F.col("x_root") != F.col("y_root")) & once & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
-    alike &= enough(1 + F.least(F.col("x_d") - F.col("x_rank"), F.col("y_d") - F.col("y_rank"))) & (differ <= usual + 5 * error)
-    common = F.array_intersect("x_items", "y_items")
-    alike &= enough(F.size(common)) & (F.get(common, F.lit(0)) == F.col("item"))
-    return x.join(y, ["centre", "item"]).where(alike).select(F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")).distinct()
+    alike &= enough(F.col("x_n") + F.col("y_n"), F.col("x_d") + F.col("y_d"), 1 + F.least(F.col("x_d") - F.col("x_rank"), F.col("y_d") - F.col("y_rank")))
+    return x.join(y, ["centre", "item"]).where(alike).select("centre", "x", "y").distinct()

@@ -37,3 +37,13 @@ def test_a_group_of_near_copies_takes_few_pairs_and_loses_no_link(spark, monkeyp
     assert got == {i: find(i) for i in sets} and len(set(got.values())) > 20
     pairs = {(r["a"], r["b"]) for r in left[0].collect()}
     assert pairs <= set(links)  # what is left for the last comparison is linked
+
+
+def test_lists_of_a_text_are_written_once_not_for_each_item(spark, monkeypatch):
+    written, stash = [], near_dedup.stash
+    monkeypatch.setattr(near_dedup, "release", lambda *frames: None)
+    monkeypatch.setattr(near_dedup, "stash", lambda df, name="t": written.append((name, stash(df, name))) or written[-1][1])
+    near_dedup.near_duplicates(spark.createDataFrame(_group(random.Random(3), 60), "doc_id long, text string")).count()
+    texts = dict(written)["held"].count()
+    listed = {name: t.count() for name, t in written if any(kind.startswith("array") for _, kind in t.dtypes)}
+    assert texts and all(n <= max(texts, 60) for n in listed.values()), listed
