@@ -202,6 +202,14 @@ def test_lines_of_a_key_of_many_are_all_compared(spark):
     assert all(out[1000 + n] == 1 and out[n] == 0 for n in range(150))
 
 
+def test_lines_are_shuffled_as_text(spark):
+    texts = spark.createDataFrame([(1, "a b c"), (2, "a b d"), (3, "e")], "id long, norm string")
+    both = line_dedup._beside(spark.createDataFrame([(1, 2), (1, 3)], "a long, b long"), texts)
+    assert sorted(map(tuple, both.collect())) == [(1, 2, ["a", "b", "c"], ["a", "b", "d"]), (1, 3, ["a", "b", "c"], ["e"])]
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "split(" not in plan[plan.index("Join") :]  # words are cut above the joins only
+
+
 def test_long_lines_changed_all_over_are_found(spark):
     """Every word of six letters has one changed, so that the longest words, and the SimHashes, have hardly anything in common."""
     r = random.Random(13)
