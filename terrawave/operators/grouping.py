@@ -41,13 +41,14 @@ def two_means(points: DataFrame, keys: list[str], tail: float = 0.1, rounds: int
     All keys move in one aggregate a round, until none changes or after so many rounds. Ties go to cluster 0; equal phases are put in order by id. A key's points are its groups of windows.
     """
     level = points.groupBy(*keys).agg(F.percentile("log_z", F.lit(0.5)).alias("_mx"), F.percentile("phase", F.lit(0.5)).alias("_my"), F.count("*").alias("_n"))
+    level = stash(level, "level")
     rows = points.join(small(level), keys)
     spread = rows.groupBy(*keys).agg((1.4826 * F.percentile(F.abs(F.col("log_z") - F.col("_mx")), F.lit(0.5))).alias("_sx"), (1.4826 * F.percentile(F.abs(F.col("phase") - F.col("_my")), F.lit(0.5))).alias("_sy"))
     scaled = lambda v, m, s: (F.col(v) - F.col(m)) / F.when(F.col(s) > 0, F.col(s)).otherwise(1.0)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy("phase", "id"))
     k = F.greatest(F.lit(1), F.rint(tail * F.col("_n")).cast("int"))
+    spread = stash(spread, "spread")
     rows = rows.join(small(spread), keys).withColumn("_x", scaled("log_z", "_mx", "_sx")).withColumn("_y", scaled("phase", "_my", "_sy")).withColumn("_r", rank).withColumn("_k", k)
-    names = [*keys, "id"]
     rows = stash(rows.select(*points.columns, "_x", "_y", (F.col("_r") <= F.col("_k")).alias("_low"), (F.col("_r") > F.col("_n") - F.col("_k")).alias("_high")), "points")
     means = stash(rows.groupBy(*keys).agg(*(F.avg(F.when(F.col(side), F.col(v))).alias(f"_m{i}{v}") for i, side in enumerate(("_low", "_high")) for v in ("_x", "_y"))), "means")
 
@@ -76,11 +77,14 @@ def cluster_split(points: DataFrame, keys: list[str], least: int = 30, separatio
 
     The Earth's cluster is the one whose median phase lies farther from zero. A split is accepted if that phase lies in 0 to 90 degrees, the source's within `source` of zero, they are `separation` degrees and more than `mads` pooled median deviations apart, and the Earth has the share `earth` of the groups; keys of fewer than `least` groups, or of one cluster, are not split.
     """
-    many = points.withColumn("_n", F.count("*").over(Window.partitionBy(*keys))).where(F.col("_n") >= least).drop("_n")
+    enough = stash(points.groupBy(*keys).count().where(F.col("count") >= least).select(*keys), "enough")
+    many = stash(points.join(small(enough), keys, "left_semi").select(*points.columns), "many")  # each look at the points reads this
     labelled = stash(two_means(many, keys, **options), "labels")
+    release(enough, many)
     med = labelled.groupBy(*keys).agg(*(F.percentile(F.when(F.col("label") == i, F.col("phase")), F.lit(0.5)).alias(f"_p{i}") for i in (0, 1)), F.count("*").alias("n"), F.avg(F.col("label").cast("double")).alias("_one"))
     first = F.abs("_p0") >= F.abs("_p1")
     med = med.where("_p0 is not null and _p1 is not null").select(*keys, "n", "_p0", "_p1", F.when(first, 0).otherwise(1).alias("_earth"), F.when(first, F.col("_p0")).otherwise(F.col("_p1")).alias("earth_phase"), F.when(first, F.col("_p1")).otherwise(F.col("_p0")).alias("source_phase"), F.when(first, 1 - F.col("_one")).otherwise(F.col("_one")).alias("earth_fraction"))
+    med = stash(med, "medians")
     own = F.when(F.col("label") == 0, F.col("_p0")).otherwise(F.col("_p1"))
     mad = labelled.join(small(med), keys).groupBy(*keys).agg(F.percentile(F.abs(F.col("phase") - own), F.lit(0.5)).alias("mad"))
     apart = F.abs(F.col("earth_phase") - F.col("source_phase"))

@@ -206,3 +206,10 @@ def test_alignment_and_splice(spark):
     both = grouping.windows_spliced(short, long, ["site"], (4.0, 3000.0)).where("site = 's'").collect()
     assert sorted(v["period"] for v in both if v["source"] == "short") == sorted(p for p in ps if p < 3 * 10**-0.002)
     assert sum(v["source"] == "long" for v in both) == 30
+
+
+def test_sides_of_a_split_are_written_before_they_are_measured(spark, monkeypatch):
+    small, sides = grouping.small, []
+    monkeypatch.setattr(grouping, "small", lambda df, *a: sides.append(hasattr(df, "_stash_path")) or small(df, *a))
+    points = spark.range(40).selectExpr("'a' as band", "id", "cast(id % 7 as double) as log_z", "cast(if(id < 25, 50 + id % 5, id % 5) as double) as phase")
+    assert grouping.cluster_split(points, ["band"])[1].count() == 1 and sides and all(sides)
