@@ -162,8 +162,9 @@ def glitches_subtracted(spark, sf_dir):
 
 @query("filters_applied")
 def filters_applied(spark, sf_dir):
-    """A declared list: a channel turned, bursts filled, slow parts out; tests hold it against the filters one by one."""
-    filters = [{"hp": {"cutoff_hz": 0.01}}, {"flip": {"channels": ["hx"]}}, {"notch": {"f0": 1 / 7, "q": 4.0, "passes": 1, "channels": ["ex"]}}]
+    """A declared list: a channel turned, bursts filled, slow parts and a line out; tests hold it against the filters one by one."""
+    loud = {"threshold": 1.5, "min_len_s": _W, "pad_s": 3, "taper_s": 4, "reference": ["hx", "ex"]}
+    filters = [{"flip": {"channels": ["hx"]}}, {"burst": loud}, {"hp": {"cutoff_hz": 0.01}}, {"notch": {"f0": 1 / 7, "q": 4.0, "passes": 1, "channels": ["ex"]}}]
     return declared.applied(long_dense(spark, sf_dir), ["site"], 1.0, filters).select(*_S, "k", r6("x", "x"))
 
 

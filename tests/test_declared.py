@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terrawave.operators import declared, mains, recursive
+from terrawave.operators import bursts, declared, mains, masking, recursive
+from terrawave.plans import cleaning
 
 
 def _frame(spark, series):
@@ -63,3 +64,24 @@ def test_lists_apply_in_order(spark):
         declared.applied(df, ["site"], rate, [{"hp": {}}])
     assert declared.list_hash([{"hp": {"order": 4, "cutoff_hz": 1}}]) == declared.list_hash([{"hp": {"cutoff_hz": 1, "order": 4}}]) != declared.list_hash([])
     assert declared.list_hash(None) == "97d170e1"
+
+
+def test_the_query_fills_bursts(spark, monkeypatch):
+    """`filters_applied` against its filters one by one: bursts are found on the turned channel and filled before slow parts go."""
+    r = np.random.default_rng(20)
+    x = {c: r.standard_normal(1500) + i for i, c in enumerate(("hx", "ex"))}
+    x["ex"][700:725] += 40 * r.standard_normal(25)
+    df = _frame(spark, x).withColumn("site", F.lit(7).cast("long"))
+    monkeypatch.setattr(cleaning, "long_dense", lambda *_: df)
+    out, by = cleaning.filters_applied(spark, ""), ["site", "channel"]
+    now = df.withColumn("x", F.when(F.col("channel") == "hx", -F.col("x")).otherwise(F.col("x")))
+    hot = bursts.any_louder([bursts.burst_ratio(now, by, "x", 3, 8, 30)], ["site"], 1.5)
+    spans = masking.bursts(hot, ["site"], F.col("loud"), 3, 3).withColumnsRenamed({"a": "a2", "b": "b2"})
+    assert spans.where("a2 <= 720 and b2 >= 725").count() == 1
+    level = bursts.with_level(now, by, "x", 8)
+    filled = masking.spans_filled(level, spans.join(now.select(*by).distinct(), "site"), by, "x", "level", 4, 64)
+    assert np.abs(_series(filled, "ex")[706:718]).max() < 25 < np.abs(x["ex"][700:725]).max()
+    high = recursive.filtered(filled.drop("level"), by, "x", 1.0, 0.01, "high", 4)
+    assert np.allclose(_series(out, "hx"), _series(high, "hx"), atol=1e-5)
+    notched = recursive.notched(high.where("channel = 'ex'"), by, "x", 1.0, f0=1 / 7, q=4.0, passes=1)
+    assert np.allclose(_series(out, "ex"), _series(notched, "ex"), atol=1e-5)
