@@ -10,7 +10,6 @@ from terrawave.operators.intervals import overlap_join
 from terrawave.session import small
 
 ON_GRID, COVER = 1e-3, 0.5
-DAY = 86_400_000_000_000  # nanoseconds
 
 
 def replaced(rows: DataFrame, spec: DataFrame, k: str = "k") -> DataFrame:
@@ -25,15 +24,16 @@ def replaced(rows: DataFrame, spec: DataFrame, k: str = "k") -> DataFrame:
 def borrowed_pieces(local: DataFrame, theirs: DataFrame, pairs: DataFrame, rate: float) -> DataFrame:
     """site, run, donor, donor_run, lo, hi, shift, off_grid: the samples [lo, hi) of each run(site, run, start_ns, n) for which a run of the site's donor has samples; the donor's sample is `shift` less. off_grid is how far, in samples, the donor's run lies off the site's grid.
 
-    Runs meet by days; a pair that overlaps in several is taken once.
+    Runs meet in stretches of twice the longer side's mean run, so that all in all a run is dealt to one and a half; a pair that overlaps in several is taken once.
     """
     step = 1e9 / rate
+    longest = max(df.agg(F.avg("n")).first()[0] or 0.0 for df in (local, theirs))
     wide = lambda at, n: ((at - 2 * step).cast("long"), (at + (n + 2) * step).cast("long"))
     a, b = wide(F.col("start_ns"), F.col("n"))
     a2, b2 = wide(F.col("start_ns"), F.col("n"))
     mine = local.select("site", "run", "start_ns", "n").join(small(pairs.select("site", "donor")), "site").withColumn("a", a).withColumn("b", b)
     other = theirs.select(F.col("site").alias("donor"), F.col("run").alias("donor_run"), F.col("start_ns").alias("_start"), F.col("n").alias("_n"), a2.alias("a2"), b2.alias("b2"))
-    both = overlap_join(mine, other, ["donor"], DAY)
+    both = overlap_join(mine, other, ["donor"], int(2 * step * (longest + 4)) + 1)
     lag = (F.col("_start") - F.col("start_ns")) / step
     both = both.withColumn("_lag", lag).withColumn("shift", F.rint("_lag").cast("long"))
     cut = both.withColumn("lo", F.greatest(F.lit(0), F.col("shift"))).withColumn("hi", F.least("n", F.col("shift") + F.col("_n"))).where("hi > lo")

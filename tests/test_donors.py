@@ -3,6 +3,8 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from terrawave.operators import donors
 
 
@@ -68,3 +70,20 @@ def test_means_of_seconds(spark):
     seconds = np.array([np.mean([x[i] for i in range(o, o + 8) if i % 8 < 5 or i < 200]) for o in range(0, 400, 8)])
     assert np.isclose(got["holes"]["mean_error"], abs(seconds.mean() - kept.mean()) / kept.std())
     assert not {v["site"]: v["passed"] for v in donors.block_means_agree(df, ["site"], "x", 8, 1e-9, 1e-9).collect()}["holes"]
+
+
+def test_long_runs_are_dealt_to_few_stretches(spark, monkeypatch):
+    """Runs of forty days, of which each was dealt to as many."""
+    n, dealt, join = 40 * 86_400, [], donors.overlap_join
+
+    def counted(left, right, keys, width):
+        for df, a, b in ((left, "a", "b"), (right, "a2", "b2")):
+            dealt.append(df.selectExpr(f"floor(({b} - 1) / {width}) - floor({a} / {width}) + 1 as m").agg(F.avg("m")).first()[0])
+        return join(left, right, keys, width)
+
+    monkeypatch.setattr(donors, "overlap_join", counted)
+    rows = [(s, r, (r * 90 + d) * 86_400_000_000_000, n) for s, d in (("s", 0), ("n", 30)) for r in range(30)]
+    runs = spark.createDataFrame(rows, "site string, run long, start_ns long, n long")
+    got = donors.borrowed_pieces(runs, runs, spark.createDataFrame([("s", "n")], "site string, donor string"), 1.0)
+    assert sorted((v["run"], v["donor_run"], v["lo"], v["hi"]) for v in got.collect()) == [(r, r, 30 * 86_400, n) for r in range(30)]
+    assert len(dealt) == 2 and max(dealt) <= 2
