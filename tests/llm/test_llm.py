@@ -210,6 +210,15 @@ def test_lines_are_shuffled_as_text(spark):
     assert "split(" in plan and "split(" not in plan[plan.index("Join") :]  # words are cut above the joins only
 
 
+def test_lines_are_read_again_as_text(spark):
+    docs = spark.createDataFrame([(1, 5, "A b\n-\nc, d!"), (1, 5, "A b\n-\nc, d!"), (2, 6, "e")], "_row long, _doc long, _text string")
+    places = spark.createDataFrame([(10, 5, 1, 0), (11, 5, 1, 2), (12, 6, 2, 0)], "id long, _doc long, _row long, at int")
+    got = line_dedup._read_again(docs, places.hint("merge"))
+    assert sorted(map(tuple, got.collect())) == [(10, "a b"), (11, "c d"), (12, "e")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join(" in plan[plan.index("Join") :]  # words are joined below the join
+
+
 def test_long_lines_changed_all_over_are_found(spark):
     """Every word of six letters has one changed, so that the longest words, and the SimHashes, have hardly anything in common."""
     r = random.Random(13)
